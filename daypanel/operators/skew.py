@@ -1,0 +1,61 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+ROWS_PER_SALT = 2_000_000
+MAX_HOT_KEYS = 100_000
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str,
+    counts: DataFrame,
+    rows_per_salt: int = ROWS_PER_SALT,
+    max_hot_keys: int = MAX_HOT_KEYS,
+) -> DataFrame:
+    """Join a large ``left`` to a ``right`` with one row per key, spreading hot keys over many tasks.
+
+    ``counts`` has ``on`` and ``n_rows``, the left rows of each key. A key above ``rows_per_salt`` gets one salt per
+    ``rows_per_salt`` rows: its left rows are dealt over the salts and its single right row is copied to each. Only
+    those keys are copied, and the table that names them is broadcast: it holds at most ``max_hot_keys`` rows, the
+    hottest. Keys beyond that are joined unsalted, so the result is whole either way.
+
+    The salt is made from the row and its partition number, both the same when a lost task is run again.
+    """
+    if how not in ("inner", "left", "left_semi"):
+        raise ValueError(f"salted_join keeps left rows once only for inner, left and left_semi, not {how}")
+    hot = (
+        counts.filter(F.col("n_rows") > rows_per_salt)
+        .orderBy(F.desc("n_rows"), *on)
+        .limit(max_hot_keys)
+        .select(*on, F.ceil(F.col("n_rows") / rows_per_salt).alias("_salts"))
+    )
+    dealt = (
+        left.join(F.broadcast(hot), list(on), "left")
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn(
+            "_salt",
+            F.when(F.col("_salts").isNull(), F.lit(0).cast("bigint")).otherwise(
+                F.pmod(F.xxhash64("_part", *left.columns), F.col("_salts"))
+            ),
+        )
+        .drop("_part", "_salts")
+    )
+    copied = (
+        right.join(F.broadcast(hot), list(on), "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1)) - 1)))
+        .drop("_salts")
+    )
+    return dealt.join(copied, [*on, "_salt"], how).drop("_salt")
+
+
+def row_counts(df: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows per key; map-side partial counts keep a hot key cheap."""
+    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("n_rows"))
