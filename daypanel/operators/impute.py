@@ -17,7 +17,7 @@ NEIGHBOURS = 10
 NEAREST = 1e-6
 FARTHEST = 1e6
 
-_CHUNK = 256  # rows whose distances to the block are held at once
+_CHUNK = 64  # rows whose distances to the block are held at once
 _PREFIX = 128  # nearest rows looked at first
 
 
@@ -34,16 +34,32 @@ def assign_blocks(rows: DataFrame, n_rows: int | Column, block_rows: int = BLOCK
     return rows.withColumn("block", F.pmod(bucket_hash(key), blocks))
 
 
-def _distances(x: np.ndarray, seen: np.ndarray, rows: slice) -> np.ndarray:
-    """Mean squared difference from some rows to all rows over the features both have; inf where they share none."""
-    total = np.zeros((rows.stop - rows.start, len(x)))
-    shared = np.zeros_like(total)
-    for value, has in zip(x.T, seen.T):
-        both = has[rows, None] & has[None, :]
-        gap = np.where(both, value[rows, None] - value[None, :], 0.0)
-        total += gap * gap
-        shared += both
-    return np.where(shared > 0, total / np.maximum(shared, 1.0), np.inf)
+class _Block:
+    """Mean squared differences between rows over the features both have.
+
+    Complete 0/1 features are counted by one matrix product, which is exact on whole numbers; the others are summed
+    feature by feature, always in the same order, so that equal rows get equal distances.
+    """
+
+    def __init__(self, x: np.ndarray, seen: np.ndarray):
+        flags = seen.all(axis=0) & ((x == 0) | (x == 1)).all(axis=0)
+        self.flags, self.ones = x[:, flags], x[:, flags].sum(axis=1)
+        self.seen = seen.astype(float)
+        others = np.flatnonzero(~flags & seen.any(axis=0))
+        self.rest = [(x[:, j].copy(), self.seen[:, j].copy(), seen[:, j].all()) for j in others]
+
+    def distances(self, rows: slice) -> np.ndarray:
+        """From some rows to all rows; inf where they share no feature."""
+        total = self.ones[rows, None] + self.ones - 2.0 * (self.flags[rows] @ self.flags.T)
+        for value, has, complete in self.rest:
+            gap = np.subtract.outer(value[rows], value)
+            if not complete:
+                gap *= has[rows, None]
+                gap *= has
+            gap *= gap
+            total += gap
+        shared = self.seen[rows] @ self.seen.T
+        return np.where(shared > 0, total / np.maximum(shared, 1.0), np.inf)
 
 
 def _mean_of_nearest(near, distance, value, has, k):
@@ -63,30 +79,27 @@ def fill_block(x: np.ndarray, k: int = NEIGHBOURS) -> np.ndarray:
     seen = ~np.isnan(x)
     plain = np.where(seen, x, 0.0)
     filled = plain.copy()
-    live = seen.any(axis=0)
-    gaps = live & ~seen.all(axis=0)
+    block = _Block(plain, seen)
+    gaps = seen.any(axis=0) & ~seen.all(axis=0)
     parts = [slice(i, min(i + _CHUNK, len(x))) for i in range(0, len(x), _CHUNK)]
-    far = None
+    far, largest = np.inf, 1.0
     if not seen.all(axis=0).any():  # some rows may share no feature: their distance depends on the largest one
-        largest = 1.0
         for rows in parts:
-            d = _distances(plain[:, live], seen[:, live], rows)
+            d = block.distances(rows)
             largest = max(largest, d[np.isfinite(d)].max(initial=0.0))
         far = FARTHEST * largest
     for rows in parts:
         if seen[rows][:, gaps].all():
             continue
-        d = np.maximum(_distances(plain[:, live], seen[:, live], rows), NEAREST)
-        if far is not None:
-            d = np.minimum(d, far)
+        d = np.clip(block.distances(rows), NEAREST, far)
         order = np.argsort(d, axis=1, kind="stable")
         d = np.take_along_axis(d, order, axis=1)
         for j in np.flatnonzero(gaps):
             todo = np.flatnonzero(~seen[rows, j])
             wanted = min(k, int(seen[:, j].sum()))
             for width in (_PREFIX, len(x)):
-                mean, found = _mean_of_nearest(order[todo, :width], d[todo, :width], plain[:, j], seen[:, j], k)
-                done = found >= wanted
+                mean, picked = _mean_of_nearest(order[todo, :width], d[todo, :width], plain[:, j], seen[:, j], k)
+                done = picked >= wanted
                 filled[rows.start + todo[done], j] = mean[done]
                 todo = todo[~done]
     return filled

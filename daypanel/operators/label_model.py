@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from daypanel.operators.encode import multi_hot
 from daypanel.operators.sequences import split_of
+from daypanel.session import staged
 
 
 def label_model(steps: DataFrame, labels: Sequence[int], n_drugs: int, max_iter: int = 10) -> DataFrame:
@@ -23,9 +24,10 @@ def label_model(steps: DataFrame, labels: Sequence[int], n_drugs: int, max_iter:
 
     ``steps`` has the day's ``drugs`` and ``features`` and the next day's drugs as ``label``; ``labels`` are the
     vocabulary positions to learn. Each training pass is a distributed aggregate over the cached vectors; the driver
-    holds one coefficient vector per label.
+    holds one coefficient vector per label. The steps are written to the shared folder first: many passes follow, and a
+    lost executor then costs a re-read of the steps and not the whole pipeline before them.
     """
-    vectors = steps.select(
+    vectors = staged(steps.select("hadm_id", "step", "drugs", "features", "label"), "steps").select(
         "hadm_id",
         "step",
         "label",

@@ -21,7 +21,7 @@ def wide_panel(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
     """
     means = daily_signal_mean(cleaned, spine)
     wide = means.groupBy(*KEYS).agg(
-        *[F.max(F.when(F.col("signal") == R.CODE_OF[name], F.col("mean"))).alias(name) for name in SIGNAL_ORDER]
+        *[F.expr(f"max(case when signal = {R.CODE_OF[name]} then mean end) as {name}") for name in SIGNAL_ORDER]
     )
     return spine.join(wide, KEYS, "left").select(*KEYS, *SIGNAL_ORDER)
 

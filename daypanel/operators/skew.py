@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_SALT = 2_000_000
 MAX_HOT_KEYS = 100_000
+OPEN_KEY_SALTS = 1_000
 
 
 def salted_join(
@@ -27,6 +29,8 @@ def salted_join(
     those keys are copied, and the table that names them is broadcast: it holds at most ``max_hot_keys`` rows, the
     hottest. Keys beyond that are joined unsalted, so the result is whole either way.
 
+    A row with a null in its key meets nothing, so such rows are dealt as well.
+
     The salt is made from the row and its partition number, both the same when a lost task is run again.
     """
     if how not in ("inner", "left", "left_semi"):
@@ -37,15 +41,12 @@ def salted_join(
         .limit(max_hot_keys)
         .select(*on, F.ceil(F.col("n_rows") / rows_per_salt).alias("_salts"))
     )
+    open_key = reduce(Column.__or__, [F.col(name).isNull() for name in on])
+    salts = F.coalesce("_salts", F.when(open_key, F.lit(OPEN_KEY_SALTS)).otherwise(F.lit(1))).cast("bigint")
     dealt = (
         left.join(F.broadcast(hot), list(on), "left")
         .withColumn("_part", F.spark_partition_id())
-        .withColumn(
-            "_salt",
-            F.when(F.col("_salts").isNull(), F.lit(0).cast("bigint")).otherwise(
-                F.pmod(F.xxhash64("_part", *left.columns), F.col("_salts"))
-            ),
-        )
+        .withColumn("_salt", F.when(salts > 1, F.pmod(F.xxhash64("_part", *left.columns), salts)).otherwise(0))
         .drop("_part", "_salts")
     )
     copied = (

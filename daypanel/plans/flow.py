@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,38 +15,54 @@ from daypanel.sources.tables import read_base
 VOCABULARY = 400
 
 
-@dataclass
-class Relations:
-    """What the flow reads. ``tagged`` are readings with their signal, ``body`` the readings of height and weight."""
-
-    admissions: DataFrame
-    patients: DataFrame
-    prescriptions: DataFrame
-    tagged: DataFrame
-    body: DataFrame
-
-    @classmethod
-    def from_base(cls, spark: SparkSession, root: str) -> Relations:
-        chart = read_base(spark, root, "chartevents")
-        by_source = [
-            signals.tag_signals(chart, "chart", read_base(spark, root, "d_items")),
-            signals.tag_signals(
-                read_base(spark, root, "labevents"), "lab", read_base(spark, root, "d_labitems")
-            ),
-        ]
-        return cls(
-            read_base(spark, root, "admissions"),
-            read_base(spark, root, "patients"),
-            read_base(spark, root, "prescriptions"),
-            by_source[0].unionByName(by_source[1]),
-            chart,
-        )
-
-    @classmethod
-    def from_events(cls, spark: SparkSession, sf_dir: str) -> Relations:
-        tables = [view(spark, sf_dir, f"fx_{name}") for name in ("admissions", "patients", "prescriptions")]
-        tagged = signals.tag_signals(view(spark, sf_dir, "fx_readings"), dictionary=view(spark, sf_dir, "fx_items"))
-        return cls(*tables, tagged, view(spark, sf_dir, "fx_body"))
+class BaseRelations:
+    """What the flow reads, from the seven base relations. Nothing is opened before it is asked for."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root
+
+    def _read(self, name: str) -> DataFrame:
+        return read_base(self.spark, self.root, name)
+
+    @cached_property
+    def admissions(self) -> DataFrame:
+        return self._read("admissions")
+
+    @cached_property
+    def patients(self) -> DataFrame:
+        return self._read("patients")
+
+    @cached_property
+    def prescriptions(self) -> DataFrame:
+        return self._read("prescriptions")
+
+    @cached_property
+    def tagged(self) -> DataFrame:
+        """Readings with their signal; one scan per event table."""
+        chart = signals.tag_signals(self._read("chartevents"), "chart", self._read("d_items"))
+        lab = signals.tag_signals(self._read("labevents"), "lab", self._read("d_labitems"))
+        return chart.unionByName(lab)
+
+    @cached_property
+    def body(self) -> DataFrame:
+        """The readings that height and weight are taken from."""
+        return self._read("chartevents")
+
+
+class EventRelations(BaseRelations):
+    """The same relations derived from the event table."""
+
+    def _read(self, name: str) -> DataFrame:
+        return view(self.spark, self.root, f"fx_{name}")
+
+    @cached_property
+    def tagged(self) -> DataFrame:
+        return signals.tag_signals(self._read("readings"), dictionary=self._read("items"))
+
+    @cached_property
+    def body(self) -> DataFrame:
+        return self._read("body")
 
 
 class Flow:
@@ -55,7 +70,7 @@ class Flow:
 
     def __init__(
         self,
-        relations: Relations,
+        relations: BaseRelations,
         n_drugs: int = VOCABULARY,
         stay_days: tuple[int, int] = panel.STAY_DAYS,
         block_rows: int = impute.BLOCK_ROWS,

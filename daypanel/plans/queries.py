@@ -13,7 +13,7 @@ from daypanel.operators import registry as R
 from daypanel.operators import sequences as S
 from daypanel.operators import vocabulary as V
 from daypanel.plans import settings as P
-from daypanel.plans.flow import Flow, Relations
+from daypanel.plans.flow import EventRelations, Flow
 from daypanel.sources.schemas import CATEGORIES, KEYS, SIGNAL_ORDER, STATIC_ORDER
 from daypanel.sources.standins import view
 
@@ -27,7 +27,7 @@ def query(build: Query) -> Query:
 
 
 def flow(spark: SparkSession, sf_dir: str) -> Flow:
-    return Flow(Relations.from_events(spark, sf_dir), P.N_DRUGS, block_rows=P.BLOCK_ROWS)
+    return Flow(EventRelations(spark, sf_dir), P.N_DRUGS, block_rows=P.BLOCK_ROWS)
 
 
 def line_spine_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -19,6 +19,9 @@ SETTINGS = {
 }
 
 
+_OWN: dict[str, str] = {}  # scratch folders of local sessions, by application
+
+
 def build_session(app: str = "daypanel", **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     for key, value in {**SETTINGS, **extra}.items():
@@ -48,11 +51,12 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    if context.applicationId not in _OWN:
+        _OWN[context.applicationId] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _OWN[context.applicationId]
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -37,6 +37,23 @@ BASE = {
     "d_labitems": _DICTIONARY,
 }
 
+# The given tables behind the stand-ins.
+_L, _I, _S, _D, _TS = T.LongType(), T.IntegerType(), T.StringType(), T.DoubleType(), T.TimestampNTZType()
+GIVEN = {
+    "region": _schema(r_regionkey=_I, r_name=_S),
+    "nation": _schema(n_nationkey=_I, n_name=_S, n_regionkey=_I),
+    "customer": _schema(c_custkey=_L, c_name=_S, c_nationkey=_I, c_acctbal=_D, c_mktsegment=_S),
+    "part": _schema(p_partkey=_L, p_name=_S, p_brand=_S, p_type=_S, p_size=_I, p_retailprice=_D),
+    "orders": _schema(
+        o_orderkey=_L, o_custkey=_L, o_orderstatus=_S, o_totalprice=_D, o_orderdate=_TS, o_orderpriority=_S
+    ),
+    "lineitem": _schema(
+        l_orderkey=_L, l_partkey=_L, l_suppkey=_L, l_linenumber=_I, l_quantity=_D, l_extendedprice=_D, l_discount=_D,
+        l_tax=_D, l_returnflag=_S, l_linestatus=_S, l_shipdate=_TS,
+    ),
+    "events": _schema(event_id=_L, ts=_TS, user_id=_L, event_type=_S, value=_D, props=_S),
+}
+
 # Column order of the exported modelling table: keys, signals, static attributes.
 SIGNAL_ORDER = [
     "agap", "albu", "blood_glucose", "bica", "bilirut", "blood_oxygen_saturation", "body_temperature", "calc", "chlor",

@@ -13,6 +13,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from daypanel.operators.registry import SIGNALS
+from daypanel.sources.schemas import GIVEN
 
 _ITEMS = [item for spec in SIGNALS for item in spec.items]
 _ITEM_ROWS = ", ".join(f"({k}, {item})" for k, item in enumerate(_ITEMS))
@@ -85,12 +86,11 @@ join (values {_ITEM_ROWS}) as m(k, itemid) on (l.l_partkey * 7 + l.l_linenumber)
 left join (values {_ODD_ROWS}) as w(k, word) on (l.l_orderkey * 13 + l.l_linenumber * 5) % {10 * len(ODD_TEXTS)} = w.k""",
 }
 
-_TABLES = ("events", "customer", "nation", "region", "lineitem", "orders", "part")
-_FROM = re.compile(rf"\b(from|join) ({'|'.join(_TABLES)})\b")
+_FROM = re.compile(rf"\b(from|join) ({'|'.join(GIVEN)})\b")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One stand-in relation over the parquet tables in ``sf_dir``."""
     names = {found.group(2) for found in _FROM.finditer(VIEWS[name])}
-    tables = {table: spark.read.parquet(f"{sf_dir}/{table}.parquet") for table in names}
+    tables = {table: spark.read.schema(GIVEN[table]).parquet(f"{sf_dir}/{table}.parquet") for table in names}
     return spark.sql(_FROM.sub(r"\1 {\2}", VIEWS[name]), **tables)
