@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daypanel.operators import registry as R
-from daypanel.operators.signals import daily_signal_mean
+from daypanel.operators.signals import spine_means
 from daypanel.sources.schemas import CATEGORIES, KEYS, SIGNAL_ORDER, STATIC_ORDER
 
 STAY_DAYS = (2, 100)
@@ -16,14 +16,14 @@ def wide_panel(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
     """The spine with the daily mean of all signals, null where there was no reading.
 
     Readings are tallied in long form first, which is cheap per reading and shrinks them to one row per (admission,
-    day, signal) before anything is joined or pivoted. One conditional aggregate then lays the signals side by side; it
-    lands on the partitioning of the distinct spine, so the join that follows moves nothing.
+    day, signal). After the one exchange by admission inside ``spine_means``, laying the signals side by side and
+    joining static attributes move nothing more; days without readings are kept by the spine's own rows.
     """
-    means = daily_signal_mean(cleaned, spine)
-    wide = means.groupBy(*KEYS).agg(
-        *[F.expr(f"max(case when signal = {R.CODE_OF[name]} then mean end) as {name}") for name in SIGNAL_ORDER]
+    return (
+        spine_means(cleaned, spine)
+        .groupBy(*KEYS)
+        .agg(*[F.expr(f"max(case when signal = {R.CODE_OF[name]} then mean end) as {name}") for name in SIGNAL_ORDER])
     )
-    return spine.join(wide, KEYS, "left").select(*KEYS, *SIGNAL_ORDER)
 
 
 def cohort_panel(panel: DataFrame, cohort: DataFrame) -> DataFrame:

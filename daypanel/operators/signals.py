@@ -16,6 +16,8 @@ from daypanel.operators import registry as R
 from daypanel.operators.skew import row_counts, salted_join
 from daypanel.sources.schemas import KEYS
 
+NO_SIGNAL = -1  # stands for "this day is on the spine"
+
 _SLOTS = max(len(spec.rules) for spec in R.SIGNALS)
 _FENCE = "\u0003"
 _KEEP = "keep"
@@ -41,7 +43,8 @@ def tag_signals(readings: DataFrame, source: str | None = None, dictionary: Data
 
     All signals of a source are taken from one scan: the item list reaches the scan as a filter, the code comes from a
     broadcast of the fixed item table. With ``dictionary`` the item must be listed there; after the item filter that
-    side has no more rows than the registry has items.
+    side has no more rows than the registry has items. A reading without admission or time can meet no day and is left
+    out here.
     """
     items = signal_items(readings, source)
     if dictionary is not None:
@@ -49,6 +52,7 @@ def tag_signals(readings: DataFrame, source: str | None = None, dictionary: Data
         items = items.join(F.broadcast(listed), "itemid", "left_semi")
     return (
         readings.filter(F.col("itemid").isin(_codes(source)))
+        .filter(F.col("hadm_id").isNotNull() & F.col("charttime").isNotNull())
         .join(F.broadcast(items), "itemid")
         .withColumn("startdate", F.to_date("charttime"))
     )
@@ -174,14 +178,32 @@ def reading_tally(cleaned: DataFrame, keys: Iterable[str] = ("hadm_id", "startda
     )
 
 
-def with_fill(tally: DataFrame) -> DataFrame:
-    """Add ``fill``, the admission's mean of the signal rounded to its scale.
+def spine_tally(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
+    """The tally of readings on spine days with ``fill``, the admission's mean of the signal rounded to its scale.
 
-    Works on one row per (admission, day, signal), so a window partition holds at most one row per calendar day however
-    many readings an admission has.
+    Every spine day also has one row with signal ``NO_SIGNAL``, readings or not. The spine comes in as such rows of the
+    same table instead of through a join, so that one exchange by admission serves the restriction to spine days, the
+    fill, and whatever is grouped or joined by admission or by day afterwards. An admission has at most one row per
+    calendar day and signal here, however many readings it has, which bounds the window partitions.
     """
-    stay = Window.partitionBy("hadm_id", "signal")
-    return tally.withColumn("fill", rounded_quotient(F.sum("total").over(stay), F.sum("n_valued").over(stay)))
+    nothing = F.lit(0).cast("bigint")
+    days = spine.select(
+        *KEYS,
+        F.lit(NO_SIGNAL).alias("signal"),
+        F.lit(None).cast("bigint").alias("total"),
+        nothing.alias("n_valued"),
+        nothing.alias("n_missing"),
+    )
+    day, stay = Window.partitionBy(*KEYS), Window.partitionBy("hadm_id", "signal")
+    return (
+        reading_tally(cleaned)
+        .unionByName(days)
+        .repartition("hadm_id")
+        .withColumn("_on_spine", F.max(F.col("signal") == NO_SIGNAL).over(day))
+        .filter("_on_spine")
+        .drop("_on_spine")
+        .withColumn("fill", rounded_quotient(F.sum("total").over(stay), F.sum("n_valued").over(stay)))
+    )
 
 
 def mean_after_fill(total: Column, n_valued: Column, n_missing: Column, fill: Column, size: Column) -> Column:
@@ -193,16 +215,17 @@ def mean_after_fill(total: Column, n_valued: Column, n_missing: Column, fill: Co
     return F.when(n > 0, filled.cast("double") / (n * size).cast("double"))
 
 
-def daily_signal_mean(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
-    """Mean per (admission, day, signal) on spine days, missing readings filled first.
-
-    The readings are tallied before anything is joined: the spine, the fill and the mean all work on the tally.
-    """
-    filled = with_fill(reading_tally(cleaned).join(spine, KEYS, "left_semi"))
+def spine_means(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
+    """Mean per (admission, day, signal) on spine days, missing readings filled first; keeps the ``NO_SIGNAL`` rows."""
     mean = mean_after_fill(
         F.col("total"), F.col("n_valued"), F.col("n_missing"), F.col("fill"), unit_size(F.col("signal"))
     )
-    return filled.select(*KEYS, "signal", mean.alias("mean"))
+    return spine_tally(cleaned, spine).select(*KEYS, "signal", mean.alias("mean"))
+
+
+def daily_signal_mean(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
+    """Mean per (admission, day, signal) on spine days, missing readings filled first."""
+    return spine_means(cleaned, spine).filter(F.col("signal") != NO_SIGNAL)
 
 
 def filled_readings(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
@@ -212,7 +235,7 @@ def filled_readings(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
     and the tally already tells how many readings each of them will meet, which steers the salting.
     """
     keys = [*KEYS, "signal"]
-    filled = with_fill(reading_tally(cleaned).join(spine, KEYS, "left_semi"))
+    filled = spine_tally(cleaned, spine).filter(F.col("signal") != NO_SIGNAL)
     counts = filled.select(*keys, (F.col("n_valued") + F.col("n_missing")).alias("n_rows"))
     return salted_join(cleaned, filled.select(*keys, "fill"), keys, "inner", counts).withColumn(
         "units", F.coalesce("units", "fill")

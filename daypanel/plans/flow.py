@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daypanel.operators import encode, impute, panel, sequences, signals, statics, vocabulary
-from daypanel.sources.schemas import KEYS
 from daypanel.sources.standins import view
 from daypanel.sources.tables import read_base
 
@@ -154,9 +153,8 @@ class Flow:
 
     @cached_property
     def labelled_days(self) -> DataFrame:
-        """Next-day labels without features; what the labels need is only the days and their drugs."""
-        days = self.drug_sets.join(self.keys, KEYS, "left_semi")
-        return sequences.next_day_labels(days, self.stays)
+        """Next-day labels without features. Days with drugs are the spine, and ``stays`` are of the cohort already."""
+        return sequences.next_day_labels(self.drug_sets, self.stays)
 
     @cached_property
     def steps(self) -> DataFrame:

@@ -349,7 +349,7 @@ def _shown_sequences(spark, sf_dir) -> DataFrame:
     """Sequences whose features are two signals of the panel, 0 where not measured."""
     f = flow(spark, sf_dir)
     shown = F.array(*[F.coalesce(F.col(name), F.lit(0.0)) for name in _SHOWN])
-    days = f.drug_sets.join(f.keys, KEYS, "left_semi").join(f.panel.select(*KEYS, shown.alias("features")), KEYS)
+    days = f.drug_sets.join(f.panel.select(*KEYS, shown.alias("features")), KEYS)
     return S.sequences(S.next_day_labels(days, f.stays))
 
 
