@@ -100,6 +100,18 @@ def feature_matrix(dataset: DataFrame, layout: FeatureLayout) -> DataFrame:
     return dataset.select(*KEYS, layout.vector().alias("features"))
 
 
+def flat_frame(rows: DataFrame, layout: FeatureLayout, drugs: Sequence[str] = ()) -> DataFrame:
+    """The exchange form of a matrix: one named column per feature, drugs first when they are given in name order.
+
+    Column order: admission, day, one 0/1 column per drug, signals, static numbers, one 0/1 column per category value.
+    """
+    hot = [
+        F.array_contains("drugs", F.lit(place)).cast("int").alias(f"drug_{name}") for place, name in enumerate(drugs)
+    ]
+    cells = [F.col("features")[place].alias(name) for place, name in enumerate(layout.names)]
+    return rows.select(*KEYS, *hot, *cells)
+
+
 def with_drugs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """Attach the day's drugs by key. Both sides have one row per (admission, day)."""
     return rows.join(sets, KEYS)

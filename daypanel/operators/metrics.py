@@ -27,32 +27,60 @@ def labelled_steps(scored: DataFrame) -> DataFrame:
     return scored.filter(F.exists("truth", lambda t: t > 0))
 
 
-def _hits(scored: DataFrame) -> DataFrame:
-    """Per step: cells both true and predicted, cells true, cells predicted."""
+def step_counts(scored: DataFrame) -> DataFrame:
+    """Per step: cells both true and predicted, cells true, cells predicted, and the ranking precision.
+
+    Columns that the metric at hand does not ask for are pruned. The precision of a step is, over its true labels, the
+    mean share of true labels among those scored at least as high; equal scores share the larger rank.
+    """
     predicted = F.transform("score", lambda s: (s >= THRESHOLD).cast("int"))
-    return scored.withColumn("_predicted", predicted).select(
+    true_scores = F.transform(
+        F.filter(F.arrays_zip("truth", "score"), lambda cell: cell["truth"] > 0), lambda cell: cell["score"]
+    )
+    share = F.transform(
+        "_true",
+        lambda mine: F.size(F.filter("_true", lambda s: s >= mine)) / F.size(F.filter("score", lambda s: s >= mine)),
+    )
+    return scored.withColumns({"_predicted": predicted, "_true": true_scores}).select(
         _whole(F.zip_with("truth", "_predicted", lambda t, p: t * p)).alias("both"),
         _whole(F.col("truth")).alias("is_true"),
         _whole(F.col("_predicted")).alias("is_predicted"),
+        (_total(share, F.lit(0.0)) / F.nullif(F.size("_true"), F.lit(0))).alias("precision"),
     )
 
 
+def _jaccard() -> Column:
+    union = F.col("is_true") + F.col("is_predicted") - F.col("both")
+    return F.round(F.avg(F.col("both") / union), DIGITS).alias("jaccard")
+
+
+def _precision() -> Column:
+    return F.round(F.avg("precision"), DIGITS).alias("lrap")
+
+
+def _micro_f1() -> Column:
+    return F.round(F.sum("both") * 2 / (F.sum("is_true") + F.sum("is_predicted")), DIGITS).alias("micro_f1")
+
+
 def jaccard(scored: DataFrame) -> DataFrame:
     """Mean over labelled steps of |true and predicted| / |true or predicted|."""
-    union = F.col("is_true") + F.col("is_predicted") - F.col("both")
-    return _hits(labelled_steps(scored)).agg(F.round(F.avg(F.col("both") / union), DIGITS).alias("jaccard"))
+    return step_counts(labelled_steps(scored)).agg(_jaccard())
+
+
+def ranking_precision(scored: DataFrame) -> DataFrame:
+    """Label-ranking average precision over labelled steps."""
+    return step_counts(labelled_steps(scored)).agg(_precision())
 
 
 def micro_f1(scored: DataFrame) -> DataFrame:
     """2 TP / (2 TP + FP + FN) over all cells of labelled steps."""
-    cells = F.sum("is_true") + F.sum("is_predicted")
-    return _hits(labelled_steps(scored)).agg(F.round(F.sum("both") * 2 / cells, DIGITS).alias("micro_f1"))
+    return step_counts(labelled_steps(scored)).agg(_micro_f1())
 
 
 def pooled_jaccard(scored: DataFrame) -> DataFrame:
     """Jaccard over all cells at once, padding included."""
     union = F.sum("is_true") + F.sum("is_predicted") - F.sum("both")
-    return _hits(scored).agg(F.round(F.sum("both") / union, DIGITS).alias("pooled_jaccard"))
+    return step_counts(scored).agg(F.round(F.sum("both") / union, DIGITS).alias("pooled_jaccard"))
 
 
 def soft_jaccard(scored: DataFrame) -> DataFrame:
@@ -66,32 +94,7 @@ def soft_jaccard(scored: DataFrame) -> DataFrame:
     return per_step.agg(F.round(loss, DIGITS).alias("soft_jaccard_loss"))
 
 
-def ranking_precision(scored: DataFrame) -> DataFrame:
-    """Label-ranking average precision: for each true label, the share of true labels among those scored at least as
-    high, averaged per step and then over steps. Equal scores share the larger rank."""
-    true_scores = F.transform(
-        F.filter(F.arrays_zip("truth", "score"), lambda cell: cell["truth"] > 0), lambda cell: cell["score"]
-    )
-    share = F.transform(
-        "_true",
-        lambda mine: F.size(F.filter("_true", lambda s: s >= mine)) / F.size(F.filter("score", lambda s: s >= mine)),
-    )
-    return (
-        labelled_steps(scored)
-        .withColumn("_true", true_scores)
-        .select((_total(share, F.lit(0.0)) / F.size("_true")).alias("precision"))
-        .agg(F.round(F.avg("precision"), DIGITS).alias("lrap"))
-    )
-
-
 def run_report(scored: DataFrame, model: str, seconds: float) -> DataFrame:
-    """One row with the model's name, its seconds and the three metrics."""
-    jac, rank, f1 = (metric(scored).scalar() for metric in (jaccard, ranking_precision, micro_f1))
-    one = scored.sparkSession.range(1)
-    return one.select(
-        F.lit(model).alias("model"),
-        F.lit(float(seconds)).alias("seconds"),
-        jac.alias("jaccard"),
-        rank.alias("lrap"),
-        f1.alias("micro_f1"),
-    )
+    """One row with the model's name, its seconds and the three metrics, from a single pass over the steps."""
+    figures = step_counts(labelled_steps(scored)).agg(_jaccard(), _precision(), _micro_f1())
+    return figures.select(F.lit(model).alias("model"), F.lit(float(seconds)).alias("seconds"), *figures.columns)

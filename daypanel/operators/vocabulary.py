@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daypanel.sources.schemas import KEYS
 
+VOCABULARY_SIZES = (1000, 800, 600, 400, 200)
 MAX_BROADCAST_DRUGS = 100_000
 
 
@@ -25,6 +28,17 @@ def top_drugs(icu: DataFrame, n: int) -> DataFrame:
     )
 
 
+def vocabulary_sizes(icu: DataFrame, sizes: Sequence[int] = VOCABULARY_SIZES) -> DataFrame:
+    """The vocabularies of several sizes, told apart by ``size``, from one count of the drugs.
+
+    Ranks are given after the cut to the largest size, so the window sees at most ``max(sizes)`` rows.
+    """
+    order = Window.orderBy(F.desc("num"), F.asc_nulls_last("drug"))
+    ranked = top_drugs(icu, max(sizes)).withColumn("_rank", F.row_number().over(order))
+    fitting = F.filter(F.array(*[F.lit(n) for n in sizes]), lambda size: size >= F.col("_rank"))
+    return ranked.select(F.explode(fitting).alias("size"), "drug", "num")
+
+
 def in_vocabulary(icu: DataFrame, vocabulary: DataFrame, n: int) -> DataFrame:
     """Rows whose drug belongs to a vocabulary of at most ``n`` drugs; broadcast only while ``n`` keeps it small."""
     names = vocabulary.select("drug")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from daypanel.operators import encode, impute, metrics, scoring, sequences, vocabulary
 from daypanel.plans.flow import VOCABULARY, BaseRelations, Flow
 from daypanel.session import build_session
-from daypanel.sources.tables import StageStore
+from daypanel.sources.tables import StageStore, write_csv
 
 MODEL_NAMES = {"rnn": "cross-attention RNN", "lstm": "cross-attention LSTM", "gru": "cross-attention GRU"}
 
@@ -37,8 +37,11 @@ def prepare(store: StageStore, relations: BaseRelations, n_drugs: int = VOCABULA
         store.export(name, df)
 
     matrix = store.write("onehot", encode.feature_matrix(flow.dataset, flow.layout))
+    write_csv(encode.flat_frame(matrix, flow.layout), store.path("csv/dataset_onehot"))
     blocked = impute.assign_blocks(matrix, flow.keys.count(), flow.block_rows)
     flow.imputed = store.write("imputed", impute.knn_impute(blocked))
+    drugs = [row.drug for row in flow.positions.orderBy("position").collect()]  # the vocabulary, at most n_drugs names
+    write_csv(encode.flat_frame(flow.matrix, flow.layout, drugs), store.path("csv/dataset_imputed"))
     split = sequences.split_of(F.col("hadm_id")).alias("split")
     store.write("sequences", flow.sequences.select("hadm_id", split, "steps"))
     return flow

@@ -229,6 +229,10 @@ _PRESENT = {
 QUERIES = {
     "icu_prescriptions": "select hadm_id, startdate, drug, icustay_id from icu",
     "top_drugs": "select drug, num from vocab",
+    "vocabulary_sizes": """select cast(size as int) as size, drug, num
+        from (select drug, count(*) as num, row_number() over (order by count(*) desc, drug) as place from icu
+          group by drug) as c
+        join (values (60), (40), (20), (10)) as s(size) on c.place <= s.size""",
     "daily_drug_use": "select distinct hadm_id, startdate, drug from icu",
     "vocabulary_filter": "select * from used",
     "spine": "select * from days",
@@ -306,6 +310,11 @@ QUERIES = {
         select avg(true_above / above) as precision from ranked where truth = 1 group by hadm_id, position)""",
     "metric_micro_f1": """select round(sum(n_both) * 2 / (sum(is_true) + sum(is_predicted)), 8) as micro_f1
         from hits where is_true > 0""",
+    "run_report": """select 'hash' as model, cast(0 as double) as seconds, jaccard, lrap, micro_f1 from
+        (select round(avg(n_both / (is_true + is_predicted - n_both)), 8) as jaccard,
+          round(sum(n_both) * 2 / (sum(is_true) + sum(is_predicted)), 8) as micro_f1 from hits where is_true > 0) as a
+        cross join (select round(avg(precision), 8) as lrap from (select avg(true_above / above) as precision
+          from ranked where truth = 1 group by hadm_id, position) as r) as b""",
     "metric_pooled_jaccard": """select round(sum(n_both) / (sum(is_true) + sum(is_predicted) - sum(n_both)), 8)
         as pooled_jaccard from hits""",
     "metric_soft_jaccard": """select round(1 - sum(truth * score) / (sum(truth) + sum((1 - truth) * score)), 8)

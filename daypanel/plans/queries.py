@@ -67,6 +67,11 @@ def top_drugs(spark, sf_dir):
     return flow(spark, sf_dir).vocabulary
 
 
+@query
+def vocabulary_sizes(spark, sf_dir):
+    return V.vocabulary_sizes(flow(spark, sf_dir).icu, P.VOCABULARY_SIZES)
+
+
 @query
 def daily_drug_use(spark, sf_dir):
     return V.daily_drug_use(flow(spark, sf_dir).icu)
@@ -449,6 +454,11 @@ def metric_soft_jaccard(spark, sf_dir):
     return metrics.soft_jaccard(_hash_scored(spark, sf_dir))
 
 
+@query
+def run_report(spark, sf_dir):
+    return metrics.run_report(_hash_scored(spark, sf_dir), "hash", 0.0)
+
+
 # Models
 
 

@@ -1,6 +1,7 @@
 """Sizes the registered queries run with; the vocabularies of the stand-ins are small."""
 
 N_DRUGS = 40  # of 100 drug names derived from events
+VOCABULARY_SIZES = (60, 40, 20, 10)
 LINE_DRUGS = 20  # of 64 part names
 BLOCK_ROWS = 500
 PAD_STEPS = 10  # shorter than many stays, so that both padding and truncation happen

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows handed to Python hold whole sequences or feature vectors, so batches are kept short.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }

@@ -80,13 +80,6 @@ def test_scoring_and_reports_append(spark, done):
     assert all(0 <= r.jaccard <= 1 and 0 <= r.lrap <= 1 for r in reports)
 
 
-def test_job_can_run_again(spark, base, done):
-    store, _ = done
-    before = store.read("dataset").count()
-    job.prepare(store, BaseRelations(spark, base), 40, block_rows=50)
-    assert store.read("dataset").count() == before
-
-
 def test_blank_cells_are_null(spark, tmp_path):
     (tmp_path / "x.csv").write_text("hadm_id,num\n1,\n2,5\n")
     rows = tables.read_csv(spark, str(tmp_path / "x.csv"), schemas.ADMISSION_DAYS).orderBy("hadm_id").collect()
@@ -112,3 +105,23 @@ def test_staged_cuts_the_lineage(spark):
     df = session.staged(spark.range(5).toDF("n"), "numbers")
     assert df.count() == 5
     assert df._jdf.queryExecution().executedPlan().toString().count("Range") == 0
+
+
+def test_flat_exchange_frames(spark, done):
+    store, flow = done
+    frame = spark.read.option("header", True).option("inferSchema", True).csv(store.path("csv/dataset_imputed"))
+    names = frame.columns
+    assert names[:2] == ["hadm_id", "startdate"] and all(name.startswith("drug_") for name in names[2:42])
+    assert names[2:42] == sorted(names[2:42]) and names[42:] == flow.layout.names
+    assert frame.count() == flow.keys.count()
+    assert frame.filter(" or ".join(f"`{name}` is null" for name in names)).count() == 0
+    onehot = spark.read.option("header", True).csv(store.path("csv/dataset_onehot"))
+    assert onehot.columns == ["hadm_id", "startdate", *flow.layout.names]
+
+
+def test_job_can_run_again(spark, base, done):
+    """Last, since it replaces the files that the first run's frames list."""
+    store, _ = done
+    before = store.read("dataset").count()
+    job.prepare(store, BaseRelations(spark, base), 40, block_rows=50)
+    assert store.read("dataset").count() == before
