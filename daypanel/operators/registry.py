@@ -17,6 +17,7 @@ PERCENT = "percent"  # a fraction written ".5" or ".25" becomes 50 or 25
 
 # The text shapes the readings are known to take.
 NUMERIC_TEXT = r"^([0-9]+[.]?[0-9]*|[.][0-9]+)\z"
+PLAIN_TEXT = r"^[0-9]+([.][0-9]*)?\z"  # what nearly every reading looks like
 UPPER_BOUND = "GREATER THAN "
 GLUCOSE_MARKS = ("cs", "fs", "\\")
 CELSIUS_ITEMS = (223762, 676)

@@ -113,19 +113,18 @@ def with_units(tagged: DataFrame, strict: bool = False) -> DataFrame:
     """Add ``units`` and keep every reading.
 
     The rules come as columns of a broadcast table, so the generated code holds one short chain of searches instead of
-    one chain per signal. Plain digits match no rule of a signal that accepts only them, so such texts, nearly all of
-    them, pass after one test.
+    one chain per signal. No rule of any signal matches digits that start with a digit, so such texts, nearly all of
+    them, pass after one test; only the others are folded, fenced and searched.
     """
+    text, fenced = F.col("_text"), F.col("_fenced")
     ruled = tagged.join(F.broadcast(rule_table(tagged)), "signal").withColumn(
         "_text", F.when(F.col("_marked"), _without_marks(F.col("value"))).otherwise(F.col("value"))
     )
-
-    text = F.col("_text")
-    fenced = F.concat(F.lit(_FENCE), F.lower(text), F.lit(_FENCE))
-    hit = F.when(F.col("_numeric_only") & text.rlike(R.NUMERIC_TEXT), F.lit(_KEEP))
+    odd = F.when(~text.rlike(R.PLAIN_TEXT), F.concat(F.lit(_FENCE), F.lower(text), F.lit(_FENCE)))
+    hit = F.when(fenced.isNull(), F.lit(_KEEP))
     for k in range(_SLOTS):
         hit = hit.when(fenced.contains(F.col(f"_needle_{k}")), F.col(f"_outcome_{k}"))
-    hit = hit.when(~F.col("_numeric_only"), F.lit(_KEEP))
+    hit = hit.when(~F.col("_numeric_only") | text.rlike(R.NUMERIC_TEXT), F.lit(_KEEP))
 
     stripped = F.replace(text, F.lit(R.UPPER_BOUND), F.lit(""))
     fraction = F.regexp_extract(text, "^[.][0-9]{1,2}", 0).try_cast("decimal(4,2)")
@@ -152,7 +151,8 @@ def with_units(tagged: DataFrame, strict: bool = False) -> DataFrame:
         .otherwise(F.col("_number"))
     )
     return (
-        ruled.withColumn("_hit", hit)
+        ruled.withColumn("_fenced", odd)
+        .withColumn("_hit", hit)
         .withColumn("_settled", settled)
         .withColumn("_number", number)
         .select(*tagged.columns, final.alias("units"))
@@ -231,13 +231,12 @@ def daily_signal_mean(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
 def filled_readings(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
     """Every reading on a spine day, missing values replaced by the admission's rounded mean of the signal.
 
-    One join brings both the spine restriction and the fill. Its right side has one row per (admission, day, signal),
-    and the tally already tells how many readings each of them will meet, which steers the salting.
+    One join brings both the spine restriction and the fill; its right side has one row per (admission, day, signal).
+    The row counts that steer the salting need no values, so that pass reads and counts without cleaning.
     """
     keys = [*KEYS, "signal"]
-    filled = spine_tally(cleaned, spine).filter(F.col("signal") != NO_SIGNAL)
-    counts = filled.select(*keys, (F.col("n_valued") + F.col("n_missing")).alias("n_rows"))
-    return salted_join(cleaned, filled.select(*keys, "fill"), keys, "inner", counts).withColumn(
+    filled = spine_tally(cleaned, spine).filter(F.col("signal") != NO_SIGNAL).select(*keys, "fill")
+    return salted_join(cleaned, filled, keys, "inner", row_counts(cleaned, keys)).withColumn(
         "units", F.coalesce("units", "fill")
     )
 

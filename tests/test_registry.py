@@ -92,12 +92,16 @@ def test_items_belong_to_one_signal():
     assert len(items) == len(set(items)) and len(R.SIGNALS) == 30
 
 
-@pytest.mark.parametrize("spec", [s for s in R.SIGNALS if s.numeric_only], ids=lambda s: s.name)
+@pytest.mark.parametrize("spec", R.SIGNALS, ids=lambda s: s.name)
 def test_plain_digits_match_no_rule(spec):
-    """What lets plain digits pass before the rules: every needle holds something that plain digits cannot."""
+    """What lets plain digits pass before the rules: no needle can be found in, or at the start of, such a text."""
+    plain = re.compile(R.PLAIN_TEXT.replace(r"\z", r"\Z"))
     shape = re.compile(R.NUMERIC_TEXT.replace(r"\z", r"\Z"))
     for kind, pattern, outcome in spec.rules:
-        assert not re.fullmatch(r"[0-9]*[.]?[0-9]*", pattern) or kind == R.IS and not shape.match(pattern)
+        if kind == R.HAS:
+            assert re.search(r"[^0-9.]|[.].*[.]", pattern)
+        else:
+            assert not plain.match(pattern) and (kind == R.IS or not pattern[0].isdigit())
         if outcome not in (R.MISSING, R.STRIP, R.PERCENT):
             assert shape.match(outcome)
 
