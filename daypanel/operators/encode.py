@@ -23,10 +23,11 @@ def drug_sets(use: DataFrame, positions: DataFrame) -> DataFrame:
     """Per (admission, day) the sorted vocabulary positions of its drugs.
 
     This is the multi-hot vector with only its ones written down. It stays in this form through joins and sequences; a
-    set has at most as many members as the vocabulary.
+    set has at most as many members as the vocabulary. Rows without admission or day belong to no set.
     """
     return (
-        use.join(F.broadcast(positions), "drug")
+        use.dropna(subset=KEYS)
+        .join(F.broadcast(positions), "drug")
         .groupBy(*KEYS)
         .agg(F.sort_array(F.collect_set("position")).alias("drugs"))
     )

@@ -170,7 +170,8 @@ CTES = {
         {_hash(f"concat(hadm_id, ':', cast(floor((startdate - date '1970-01-01') / {BLOCK_ROWS}.0) as bigint))")}
         % greatest(1, cast(ceil((select count(*) from aligned) / {BLOCK_ROWS}.0) as bigint)) as block from aligned""",
     "knn_rows": "select * from modelling join blocks using (hadm_id, startdate)",
-    "n_dummies": " union all ".join(f"select count(distinct {c}) as n from tidy" for c in CATEGORIES),
+    "listed": "select * from tidy where hadm_id in (select hadm_id from aligned)",
+    "n_dummies": " union all ".join(f"select count(distinct {c}) as n from listed" for c in CATEGORIES),
     "pairs": f"""select a.hadm_id, a.startdate, b.hadm_id as other, b.startdate as other_day,
         {', '.join(f'a.{s} as own_{s}, b.{s} as {s}' for s in LIVE)},
         greatest(1e-6, ({' + '.join(_GAPS)})
@@ -214,7 +215,7 @@ CTES = {
 
 _ONE_HOT = ", ".join(
     f"""(select string_agg(case when v = t.{c} then '1' else '0' end, '' order by v)
-        from (select distinct {c} as v from tidy where {c} is not null)) as {c}_hot"""
+        from (select distinct {c} as v from listed where {c} is not null)) as {c}_hot"""
     for c in CATEGORIES
 )
 _PRESENT = {

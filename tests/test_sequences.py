@@ -78,7 +78,7 @@ def test_one_hot_and_layout(spark):
 
 
 def test_multi_hot(spark):
-    use = spark.createDataFrame([(1, D[0], "b"), (1, D[0], "b"), (1, D[0], "a"), (1, D[1], "c")], "hadm_id bigint, startdate date, drug string")
+    use = spark.createDataFrame([(1, D[0], "b"), (1, D[0], "b"), (1, D[0], "a"), (1, D[1], "c"), (1, None, "c")], "hadm_id bigint, startdate date, drug string")
     vocabulary = spark.createDataFrame([("c",), ("a",)], "drug string")
     sets = encode.drug_sets(use, encode.drug_positions(vocabulary))
     got = {r.startdate: r.v for r in sets.select("startdate", encode.multi_hot(F.col("drugs"), 3).alias("v")).collect()}
