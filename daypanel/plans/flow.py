@@ -36,17 +36,22 @@ class BaseRelations:
     def prescriptions(self) -> DataFrame:
         return self._read("prescriptions")
 
+    @cached_property
+    def events(self) -> tuple[DataFrame, DataFrame]:
+        """The chart and the lab readings as stored."""
+        return self._read("chartevents"), self._read("labevents")
+
     @cached_property
     def tagged(self) -> DataFrame:
         """Readings with their signal; one scan per event table."""
-        chart = signals.tag_signals(self._read("chartevents"), "chart", self._read("d_items"))
-        lab = signals.tag_signals(self._read("labevents"), "lab", self._read("d_labitems"))
-        return chart.unionByName(lab)
+        chart, lab = self.events
+        tagged = signals.tag_signals(chart, "chart", self._read("d_items"))
+        return tagged.unionByName(signals.tag_signals(lab, "lab", self._read("d_labitems")))
 
     @cached_property
     def body(self) -> DataFrame:
         """The readings that height and weight are taken from."""
-        return self._read("chartevents")
+        return self.events[0]
 
 
 class EventRelations(BaseRelations):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from daypanel.operators import encode, impute, metrics, scoring, sequences, vocabulary
 from daypanel.plans.flow import VOCABULARY, BaseRelations, Flow
-from daypanel.session import build_session
+from daypanel.session import build_session, size_shuffles
 from daypanel.sources.tables import StageStore, write_csv
 
 MODEL_NAMES = {"rnn": "cross-attention RNN", "lstm": "cross-attention LSTM", "gru": "cross-attention GRU"}
@@ -69,7 +69,9 @@ def score(
 
 def run(spark: SparkSession, base_dir: str, out_dir: str, n_drugs: int = VOCABULARY) -> None:
     store = StageStore(spark, out_dir)
-    flow = prepare(store, BaseRelations(spark, base_dir), n_drugs)
+    relations = BaseRelations(spark, base_dir)
+    size_shuffles(spark, relations.prescriptions, *relations.events)
+    flow = prepare(store, relations, n_drugs)
     n_features = len(flow.layout.names)
     for cell in MODEL_NAMES:
         score(store, cell, scoring.random_weights(cell, n_drugs, n_features), n_drugs, n_features)

@@ -21,6 +21,8 @@ SETTINGS = {
 }
 
 
+PARTITION_BYTES = 128 * 1024 * 1024
+MAX_PARTITIONS = 100_000
 _OWN: dict[str, str] = {}  # scratch folders of local sessions, by application
 
 
@@ -44,6 +46,20 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "daypan
     )
 
 
+def size_shuffles(spark: SparkSession, *inputs: DataFrame) -> int:
+    """Set the number of shuffle partitions from the stored size of the inputs, and return it.
+
+    One partition per ``PARTITION_BYTES`` of input, never fewer than the session has now. AQE merges the small ones
+    again but cannot split a plain exchange, so a count fit for gigabytes would make partitions spill at terabytes.
+    Reads file sizes only.
+    """
+    total = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(max(now, -(-total // PARTITION_BYTES)), MAX_PARTITIONS)
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 

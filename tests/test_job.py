@@ -101,6 +101,17 @@ def test_shared_folder(spark, tmp_path):
     assert session.shared_dir(spark) == session.shared_dir(spark)
 
 
+def test_shuffles_grow_with_the_input(spark, base, monkeypatch):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        chart, lab = BaseRelations(spark, base).events
+        assert session.size_shuffles(spark, chart, lab) == int(before)
+        monkeypatch.setattr(session, "PARTITION_BYTES", 500)
+        assert session.size_shuffles(spark, chart, lab) > int(before)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_staged_cuts_the_lineage(spark):
     df = session.staged(spark.range(5).toDF("n"), "numbers")
     assert df.count() == 5

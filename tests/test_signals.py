@@ -107,3 +107,36 @@ def test_hot_key_is_spread(spark):
 def test_on_spine_keeps_each_reading_once(small):
     cleaned, spine = small
     assert signals.on_spine(cleaned, spine).count() == cleaned.join(spine, KEYS, "left_semi").count()
+
+
+def test_one_admission_with_a_third_of_the_rows(spark):
+    """The panel of a skewed table against pandas."""
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    n = 6000
+    raw = pd.DataFrame(
+        {
+            "hadm_id": np.where(np.arange(n) % 3 == 0, 1, rng.integers(2, 60, n)),
+            "itemid": rng.choice([211, 220045, 646], n),
+            "day": rng.integers(0, 6, n),
+            "value": np.where(rng.random(n) < 0.2, None, rng.integers(50, 99, n).astype(str)),
+        }
+    )
+    rows = [(int(r.hadm_id), int(r.itemid), DAY[r.day], r.value) for r in raw.itertuples()]
+    listed = raw[["hadm_id", "day"]].drop_duplicates().query("day != 3 or hadm_id % 2 == 0")
+    spine = days(spark, [(int(r.hadm_id), DAY[r.day]) for r in listed.itertuples()])
+    got = panel.wide_panel(readings(spark, rows), spine).select(*KEYS, "heart_rate", "spo2").toPandas()
+
+    kept = raw.merge(listed, on=["hadm_id", "day"])
+    kept["signal"] = np.where(kept.itemid == 646, "spo2", "heart_rate")
+    kept["value"] = kept.value.astype(float)
+    mean = kept.groupby(["hadm_id", "signal"]).value.transform("mean")
+    kept["value"] = kept.value.fillna(np.floor(mean + 0.5))
+    wanted = kept.pivot_table(index=["hadm_id", "day"], columns="signal", values="value", aggfunc="mean")
+    got["day"] = got.startdate.map(lambda d: d.day - 1)
+    both = got.set_index(["hadm_id", "day"]).sort_index()[["heart_rate", "spo2"]]
+    wanted = wanted.reindex(both.index)
+    np.testing.assert_allclose(both.to_numpy(float), wanted[["heart_rate", "spo2"]].to_numpy(float), rtol=1e-12)
+    assert len(both) == len(listed)
