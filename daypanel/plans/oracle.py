@@ -10,6 +10,7 @@ import re
 
 from daypanel.operators import registry as R
 from daypanel.operators.impute import NEIGHBOURS
+from daypanel.plans.oracle_network import network_query
 from daypanel.plans.settings import BLOCK_ROWS, LINE_DRUGS, N_DRUGS, PAD_STEPS, SCORED_STEPS
 from daypanel.sources.schemas import CATEGORIES, SIGNAL_ORDER, STATIC_ORDER
 from daypanel.sources.standins import VIEWS
@@ -323,6 +324,11 @@ QUERIES = {
 }
 
 
+for _cell in ("rnn", "lstm", "gru"):
+    _parts, QUERIES[f"score_{_cell}"] = network_query(_cell)
+    CTES |= _parts
+
+
 def _needed(sql: str) -> list[str]:
     found: set[str] = set()
     todo = [sql]
@@ -341,15 +347,18 @@ def oracle(name: str) -> str:
 
     def place(cte: str) -> None:
         for inner in _needed(CTES[cte]):
-            if inner not in ordered:
+            if inner not in ordered and inner != cte:
                 place(inner)
         if cte not in ordered:
             ordered.append(cte)
 
     for cte in _needed(sql):
         place(cte)
-    parts = ",\n".join(f"{cte} as materialized ({CTES[cte]})" for cte in ordered)
-    return f"with {parts}\n{sql}" if parts else sql
+    recursive = {cte for cte in ordered if re.search(rf"\b(from|join) {cte}\b", CTES[cte])}
+    parts = ",\n".join(
+        f"{cte} as {'' if cte in recursive else 'materialized '}({CTES[cte]})" for cte in ordered
+    )
+    return f"with {'recursive ' if recursive else ''}{parts}\n{sql}" if parts else sql
 
 
 def oracle_sql() -> dict[str, str]:

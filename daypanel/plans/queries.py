@@ -463,10 +463,8 @@ def run_report(spark, sf_dir):
 
 
 def _scored(spark, sf_dir, cell: str) -> DataFrame:
-    f = flow(spark, sf_dir)
-    n_features = len(f.layout.names)
-    padded = S.pad_truncate(f.sequences, n_features, P.SCORED_STEPS)
-    weights = scoring.random_weights(cell, P.N_DRUGS, n_features, **P.SMALL_MODEL)
+    padded = S.pad_truncate(_shown_sequences(spark, sf_dir), len(_SHOWN), P.SCORED_STEPS)
+    weights = scoring.random_weights(cell, P.N_DRUGS, len(_SHOWN), **P.SMALL_MODEL)
     scored = scoring.score_sequences(padded, cell, weights)
     best = F.array_max("score")
     return scored.select(
@@ -475,6 +473,7 @@ def _scored(spark, sf_dir, cell: str) -> DataFrame:
         _listed(F.col("label")).alias("label"),
         (F.array_position("score", best) - 1).alias("best_place"),
         F.round(best, 6).alias("best_score"),
+        F.round(F.aggregate("score", F.lit(0.0), lambda total, s: total + s), 6).alias("total_score"),
     )
 
 

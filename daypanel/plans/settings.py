@@ -7,4 +7,4 @@ BLOCK_ROWS = 500
 PAD_STEPS = 10  # shorter than many stays, so that both padding and truncation happen
 SCORED_STEPS = 35
 TOP_LABELS = 3
-SMALL_MODEL = {"embedding": 16, "units": 32, "dense": 32}
+SMALL_MODEL = {"embedding": 3, "units": 4, "dense": 5}  # small enough to be written out in SQL

@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as contract
 
 QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
-ROWS_ONLY = {"score_rnn", "score_lstm", "score_gru", "label_model_scores"}
+ROWS_ONLY = {"label_model_scores"}
 
 
 @pytest.fixture(scope="module")
