@@ -46,27 +46,38 @@ class _Block:
         self.flags, self.ones = x[:, flags], x[:, flags].sum(axis=1)
         self.seen = seen.astype(float)
         others = np.flatnonzero(~flags & seen.any(axis=0))
-        self.rest = [(x[:, j].copy(), self.seen[:, j].copy(), seen[:, j].all()) for j in others]
+        self.rest = [(x[:, j].copy(), self.seen[:, j].copy()) for j in others]
 
     def distances(self, rows: slice) -> np.ndarray:
         """From some rows to all rows; inf where they share no feature."""
         total = self.ones[rows, None] + self.ones - 2.0 * (self.flags[rows] @ self.flags.T)
-        for value, has, complete in self.rest:
-            gap = np.subtract.outer(value[rows], value)
-            if not complete:
-                gap *= has[rows, None]
-                gap *= has
+        for value, has in self.rest:
+            mine = np.flatnonzero(has[rows])
+            gap = np.subtract.outer(value[rows][mine], value)
             gap *= gap
-            total += gap
+            gap *= has
+            total[mine] += gap
         shared = self.seen[rows] @ self.seen.T
         return np.where(shared > 0, total / np.maximum(shared, 1.0), np.inf)
 
 
-def _mean_of_nearest(near, distance, value, has, k):
+def _nearest(d: np.ndarray, width: int) -> np.ndarray:
+    """The ``width`` nearest rows of each row of ``d`` in order of distance, equal distances in row order."""
+    if width >= d.shape[1]:
+        return np.argsort(d, axis=1, kind="stable")
+    limit = np.partition(d, width - 1, axis=1)[:, width - 1]
+    order = np.empty((len(d), width), dtype=np.int64)
+    for k, row in enumerate(d):
+        near = np.flatnonzero(row <= limit[k])
+        order[k] = near[np.argsort(row[near], kind="stable")[:width]]
+    return order
+
+
+def _mean_of_nearest(near, d, value, has, k):
     """Weighted mean over the first ``k`` rows of ``near`` that have the value, and how many were found."""
     usable = has[near]
     picked = usable & (np.cumsum(usable, axis=1) <= k)
-    weight = np.where(picked, 1.0 / distance, 0.0)
+    weight = np.where(picked, 1.0 / np.take_along_axis(d, near, axis=1), 0.0)
     return (weight * value[near]).sum(axis=1) / np.maximum(weight.sum(axis=1), 1e-300), picked.sum(axis=1)
 
 
@@ -92,16 +103,16 @@ def fill_block(x: np.ndarray, k: int = NEIGHBOURS) -> np.ndarray:
         if seen[rows][:, gaps].all():
             continue
         d = np.clip(block.distances(rows), NEAREST, far)
-        order = np.argsort(d, axis=1, kind="stable")
-        d = np.take_along_axis(d, order, axis=1)
+        nearest = _nearest(d, _PREFIX)
         for j in np.flatnonzero(gaps):
-            todo = np.flatnonzero(~seen[rows, j])
             wanted = min(k, int(seen[:, j].sum()))
-            for width in (_PREFIX, len(x)):
-                mean, picked = _mean_of_nearest(order[todo, :width], d[todo, :width], plain[:, j], seen[:, j], k)
-                done = picked >= wanted
-                filled[rows.start + todo[done], j] = mean[done]
-                todo = todo[~done]
+            todo = np.flatnonzero(~seen[rows, j])
+            mean, found = _mean_of_nearest(nearest[todo], d[todo], plain[:, j], seen[:, j], k)
+            filled[rows.start + todo, j] = mean
+            todo = todo[found < wanted]  # too few among the nearest: look at all rows
+            if len(todo):
+                mean, _ = _mean_of_nearest(_nearest(d[todo], len(x)), d[todo], plain[:, j], seen[:, j], k)
+                filled[rows.start + todo, j] = mean
     return filled
 
 
