@@ -105,7 +105,8 @@ def clean_units(tagged: DataFrame, strict: bool = False) -> DataFrame:
     raw text: a filter on ``units`` would be pushed down by copying all of the cleaning into the filter.
     """
     text = _without_marks(F.col("value"))
-    usable = text.rlike(R.NUMERIC_TEXT) | text.isin(*_DROPPING_CONSTANTS)
+    number = text.rlike(R.NUMERIC_TEXT) & text.try_cast(f"decimal({R.DIGITS},0)").isNotNull()
+    usable = number | text.isin(*_DROPPING_CONSTANTS)
     return with_units(tagged.filter(~F.col("signal").isin(_DROPPING) | usable), strict)
 
 
@@ -137,7 +138,7 @@ def with_units(tagged: DataFrame, strict: bool = False) -> DataFrame:
     )
 
     def units(scale: int) -> Column:
-        kind = f"decimal(18,{scale})"
+        kind = f"decimal({R.DIGITS},{scale})"
         number = F.col("_settled").cast(kind) if strict else F.col("_settled").try_cast(kind)
         return (number * 10**scale).cast("bigint")
 

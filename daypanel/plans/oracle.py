@@ -70,8 +70,8 @@ def _rule_steps(source: str) -> str:
 select * exclude (t, number),
   case when itemid in ({celsius}) then cast(cast(number * 1.8 + 32 as decimal(18,0)) as bigint)
     when signal = {R.CODE_OF["fio2"]} and number = 1 then 100 else number end as units
-from (select *, case when size = 1 then cast(try_cast(t as decimal(18,0)) as bigint)
-  else cast(try_cast(t as decimal(18,2)) * 100 as bigint) end as number from ({sql}))"""
+from (select *, case when size = 1 then cast(try_cast(t as decimal({R.DIGITS},0)) as bigint)
+  else cast(try_cast(t as decimal({R.DIGITS},2)) * 100 as bigint) end as number from ({sql}))"""
 
 
 def _chain(p: str) -> dict[str, str]:
