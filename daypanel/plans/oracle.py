@@ -202,7 +202,8 @@ CTES = {
         cross join range(1, {SCORED_STEPS} + 1) as r(position)""",
     "scored": f"""select s.hadm_id, s.position, cast(place as int) as place,
         coalesce(cast(substr(x.label_hot, cast(place as int) + 1, 1) as int), 0) as truth,
-        ({_hash("concat(s.hadm_id, ':', s.position, ':', place)")} % 101) / cast(100 as double) as score
+        (({_hash("concat(s.hadm_id, ':', s.position)")} * (2 * place + 1) + place * place) % 101)
+          / cast(100 as double) as score
         from scored_slots s cross join range({N_DRUGS}) as r(place)
         left join labelled x on x.hadm_id = s.hadm_id
           and x.step = s.position + greatest(s.n - {SCORED_STEPS}, 0)""",

@@ -403,12 +403,18 @@ def dual_sequence(spark, sf_dir):
 
 def _hash_scored(spark, sf_dir) -> DataFrame:
     padded = S.pad_truncate(S.sequences(_without_features(flow(spark, sf_dir))), 0, P.SCORED_STEPS)
-    cells = padded.select("hadm_id", F.posexplode("labels").alias("at", "label"))
-    steps = cells.select("hadm_id", (F.col("at") + 1).alias("position"), "label")
+    hadm_id = F.col("hadm_id").cast("string")
+    seeds = F.transform(
+        F.sequence(F.lit(1), F.lit(P.SCORED_STEPS)),
+        lambda position: bucket_hash(F.concat_ws(":", hadm_id, position.cast("string"))),
+    )
+    cells = padded.select("hadm_id", F.posexplode(F.arrays_zip("labels", seeds.alias("seeds"))).alias("at", "cell"))
+    steps = cells.select(
+        "hadm_id", (F.col("at") + 1).alias("position"), F.col("cell.labels").alias("label"), F.col("cell.seeds").alias("seed")
+    )
 
     def chance(place: Column) -> Column:
-        key = F.concat_ws(":", F.col("hadm_id").cast("string"), F.col("position").cast("string"), place.cast("string"))
-        return F.pmod(bucket_hash(key), F.lit(101)) / F.lit(100.0)
+        return F.pmod(F.col("seed") * (place * 2 + 1) + place * place, F.lit(101)) / F.lit(100.0)
 
     places = F.sequence(F.lit(0), F.lit(P.N_DRUGS - 1))
     return steps.select(
