@@ -119,11 +119,15 @@ def fill_block(x: np.ndarray, k: int = NEIGHBOURS) -> np.ndarray:
 def knn_impute(blocked: DataFrame, k: int = NEIGHBOURS, key_as_feature: bool = False) -> DataFrame:
     """Fill the gaps of ``features`` within each block; input and output have one row per (admission, day).
 
-    One block is one task's group: about ``BLOCK_ROWS`` rows, with the distances of a few hundred rows in memory at a
-    time. ``key_as_feature`` lets the admission number take part in the distance.
+    One block is one group of a task: about ``BLOCK_ROWS`` rows, with the distances of a few dozen rows in memory at a
+    time. Blocks are small in bytes and long in work, so they are dealt to the shuffle partitions in turn; left to
+    hashing and size-based merging, some tasks would get several more of them than others. ``key_as_feature`` lets the
+    admission number take part in the distance.
     """
-    wanted = blocked.select("block", "hadm_id", "startdate", "features")
-    schema = T.StructType([field for field in wanted.schema if field.name != "block"])
+    parts = int(blocked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = blocked.select("hadm_id", "startdate", "features", "block")
+    schema = T.StructType(wanted.schema.fields[:3])
+    dealt = wanted.withColumn("part", F.pmod("block", F.lit(parts)).cast("int")).repartitionById(parts, F.col("part"))
 
     def fill(block: pa.Table) -> pa.Table:
         block = block.sort_by([("hadm_id", "ascending"), ("startdate", "ascending")])
@@ -136,4 +140,4 @@ def knn_impute(blocked: DataFrame, k: int = NEIGHBOURS, key_as_feature: bool = F
         features = pa.ListArray.from_arrays(ends, np.ascontiguousarray(done).ravel())
         return pa.table([block["hadm_id"], block["startdate"], features], names=schema.fieldNames())
 
-    return wanted.groupBy("block").applyInArrow(fill, schema)
+    return dealt.groupBy("part", "block").applyInArrow(fill, schema)

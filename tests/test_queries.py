@@ -65,3 +65,25 @@ def test_spine_reads_only_what_it_needs(spark, sf_dir):
     text = plan(QUERIES["line_top_drugs"](spark, sf_dir))
     assert "l_extendedprice" not in text and "o_totalprice" not in text and "p_brand" not in text
     assert "TakeOrderedAndProject" in text
+
+
+def test_panel_moves_readings_once(spark, sf_dir):
+    """Exchanges of the panel: vocabulary count, distinct spine, item dictionary, tally, and one by admission."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES["wide_panel"](spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") == 5
+    assert text.count("REPARTITION_BY_COL") == 1 and "SortMergeJoin" not in text
+    assert text.count("FileScan parquet") == 4  # vocabulary, spine, readings, dictionary
+
+
+def test_static_side_joins_without_moving_the_panel(spark, sf_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES["dataset"](spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joined = text[: text.index("REPARTITION_BY_COL")]
+    assert "SortMergeJoin [hadm_id" in joined and joined.count("Exchange") == 1  # the repartition itself

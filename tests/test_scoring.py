@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from daypanel.operators import encode, label_model, metrics, scoring
+from daypanel.operators import label_model, metrics, scoring
 
 N_DRUGS, N_FEATURES, STEPS = 7, 5, 6
 
@@ -82,4 +82,3 @@ def test_label_model_learns_a_plain_rule(spark):
     scored = label_model.label_model(steps, [0, 1], 2)
     assert 0 < scored.select("hadm_id").distinct().count() < 80
     assert metrics.jaccard(scored).first()[0] == 1.0
-    assert encode.multi_hot is not None
