@@ -94,6 +94,12 @@ class NamedFolder:
         self.sparkContext = type("Context", (), {"master": "spark://host:7077", "applicationId": "x"})
 
 
+def test_midnight_stamps_are_read_as_days(spark, tmp_path):
+    (tmp_path / "use.csv").write_text("hadm_id,startdate,drug\n1,2101-10-20 00:00:00,a\n")
+    row = tables.read_csv(spark, str(tmp_path / "use.csv"), schemas.DRUG_USE).first()
+    assert str(row.startdate) == "2101-10-20"
+
+
 def test_shared_folder(spark, tmp_path):
     assert session.shared_dir(NamedFolder(str(tmp_path))) == str(tmp_path)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
