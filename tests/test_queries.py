@@ -9,7 +9,8 @@ import pytest
 
 import __spark_entry__ as contract
 
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES = {k: f for k, f in contract.queries().items() if k not in contract.TEXT_QUERIES}  # tests/llm has those
+ORACLE = {k: q for k, q in contract.oracle_sql().items() if k not in contract.TEXT_QUERIES}
 ROWS_ONLY = {"label_model_scores"}
 
 
