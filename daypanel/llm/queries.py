@@ -94,7 +94,7 @@ with d as (
   select doc_id, row_number() over () r, coalesce(text, '') text from documents
 ), w as (
   select r, doc_id, text, regexp_extract_all(text, '{_WORD}') w,
-    list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '{_WORD}')) lines
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) lines
   from d
 ), grams as (
   select r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] g from w, unnest(range(1, len(w) - 1)) t(i)
@@ -104,7 +104,7 @@ with d as (
   select r, count(distinct i + j) n from twice, unnest([0, 1, 2]) t(j) group by r
 ), m as (
   select r, doc_id, cast(len(w) as bigint) n_words,
-    cast(coalesce(list_sum(list_transform(w, x -> length(x))), 0) as bigint) word_chars,
+    cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) word_chars,
     cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) n_symbols,
     cast(len(lines) as bigint) n_lines,
     cast(len(lines) - len(list_distinct(lines)) as bigint) n_dup_lines,
@@ -196,7 +196,7 @@ _OP10 = """
 with h as (
   select doc_id, hex(encode(coalesce(text, ''))) h from documents
 ), p as (
-  select doc_id, i, substr(h, 2 * i + 1, 2) byte, case when 2 * i + 200 <= length(h) then substr(h, 2 * i + 1, 200) end key
+  select doc_id, i, substr(h, 2 * i + 1, 2) byte, case when 2 * i + 200 <= length(h) then hash(substr(h, 2 * i + 1, 200)) end key
   from h, unnest(range(0, length(h) // 2)) t(i)
 ), again as (
   select doc_id, i, byte, key is not null and row_number() over (partition by key order by doc_id, i) > 1 again from p
