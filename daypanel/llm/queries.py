@@ -156,7 +156,8 @@ with w as (
 ), again as (
   select doc_id, i, word, key is not null and count(*) over (partition by key) > 1 again from p
 ), gone as (
-  select doc_id, i, word, max(again) over (partition by doc_id order by i rows between 34 preceding and current row) gone
+  select doc_id, i, word, coalesce(i - max(case when again then i end) over (partition by doc_id order by i
+    rows between unbounded preceding and current row) < 35, false) gone
   from again
 ), kept as (
   select doc_id, count(*) n_words, count(*) filter (gone) n_removed,
@@ -201,7 +202,8 @@ with h as (
 ), again as (
   select doc_id, i, byte, key is not null and row_number() over (partition by key order by doc_id, i) > 1 again from p
 ), gone as (
-  select doc_id, i, byte, max(again) over (partition by doc_id order by i rows between 99 preceding and current row) gone
+  select doc_id, i, byte, coalesce(i - max(case when again then i end) over (partition by doc_id order by i
+    rows between unbounded preceding and current row) < 100, false) gone
   from again
 ), edges as (
   select *, gone and not coalesce(lag(gone) over (partition by doc_id order by i), false) edge from gone

@@ -3,7 +3,8 @@
 A window of 35 words can only repeat where its anchor, a gram of five words chosen by the window's own content,
 repeats. So the hashes go through Spark in two steps:
 
-1. The anchors of all windows are counted by their hash. What has no repeated anchor cannot repeat.
+1. The anchors of all windows are counted by their hash, each once for a document. What has no repeated anchor cannot
+   repeat.
 2. Windows of repeated anchors are hashed. Those that share an anchor travel as one row (their hashes packed), to the
    task of that anchor, where equal hashes are counted. Rows with all windows equal are folded into one first, already
    in the block of documents that they come from, so a passage copied a million times sends one row from each block.
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from .textscan import (
     SPANS,
+    Block,
     Rolling,
     Words,
     anchored_runs,
@@ -60,8 +62,25 @@ def _runs(block, window: int):
     return found, rolling, grams, anchored_runs(grams, gram, found.offsets, window)
 
 
+ANCHORS = "anchor long, d long, k long, twice boolean"
+
+
+def anchors_of(block: Block, code: np.ndarray, row: np.ndarray) -> pa.RecordBatch:
+    """One row for each anchor hash of a document; ``twice`` if the document has it at several places."""
+    order = np.lexsort((code, row))
+    new = np.append(True, (code[order[1:]] != code[order[:-1]]) | (row[order[1:]] != row[order[:-1]]))[: len(order)]
+    first = np.flatnonzero(new)
+    row = row[order[first]]
+    return batch_of(
+        anchor=as_long(code[order[first]]),
+        d=block.column("d")[row],
+        k=block.column("k")[row],
+        twice=np.diff(np.append(first, len(order))) > 1,
+    )
+
+
 def repeated(found: DataFrame) -> DataFrame:
-    """From (anchor, d, k, low) the rows whose anchor has another row, as a list of ``low`` for each (d, k)."""
+    """From rows of ``ANCHORS`` those that repeat, as a list of ``anchors`` for each (d, k)."""
 
     def pick(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = gathered(batches)
@@ -70,13 +89,28 @@ def repeated(found: DataFrame) -> DataFrame:
         anchor = table.column("anchor").to_numpy()
         order = np.argsort(anchor)
         same = anchor[order[1:]] == anchor[order[:-1]]
-        again = np.zeros(len(order), bool)
+        again = table.column("twice").to_numpy()[order]
         again[1:] |= same
         again[:-1] |= same
-        yield from table.select(["d", "k", "low"]).take(pa.array(np.sort(order[again]))).to_batches()
+        yield from table.select(["d", "k", "anchor"]).take(pa.array(np.sort(order[again]))).to_batches()
+
+    dealt = found.repartition("anchor").mapInArrow(pick, "d long, k long, anchor long")
+    return dealt.groupBy("d", "k").agg(F.collect_set("anchor").alias("anchors"))
+
 
-    dealt = found.repartition("anchor").mapInArrow(pick, "d long, k long, low int")
-    return dealt.groupBy("d", "k").agg(F.collect_set("low").alias("lows"))
+def wanted_runs(block: Block, code: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Places of the runs whose anchor hash is in the row's list. A false one among 2^64 does no harm."""
+    lists = block.batch.column("anchors")
+    owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+    listed = lists.flatten().to_numpy().view(np.uint64) ^ mix(owner.astype(np.uint64))
+    return np.flatnonzero(np.isin(code ^ mix(row.astype(np.uint64)), listed))
+
+
+def joined_runs(row: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Intervals in the order of rows and places, those that touch as one."""
+    new = np.append(True, (row[1:] != row[:-1]) | (low[1:] > high[:-1]))[: len(row)]
+    first = np.flatnonzero(new)
+    return row[first], low[first], high[np.append(first[1:] - 1, len(row) - 1)[: len(first)]]
 
 
 def fold(codes: np.ndarray, d: np.ndarray, k: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,23 +143,14 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     def anchors(batches):
         for block in text_blocks(batches):
             found, _, grams, runs = _runs(block, window)
-            row = block.row_of(runs.low, found.offsets)
-            yield batch_of(
-                anchor=as_long(grams[runs.anchor]),
-                d=block.column("d")[row],
-                k=block.column("k")[row],
-                low=(runs.low - found.offsets[row]).astype(np.int32),
-            )
+            yield anchors_of(block, grams[runs.anchor], block.row_of(runs.low, found.offsets))
 
     def hashed(batches):
         for block in text_blocks(batches):
             found, rolling, grams, runs = _runs(block, window)
             row = block.row_of(runs.low, found.offsets)
             low = runs.low - found.offsets[row]
-            lists = block.batch.column("lows")
-            flat, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
-            wanted = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0)) << 32 | flat.astype(np.int64)
-            pick = np.flatnonzero(np.isin(row.astype(np.int64) << 32 | low, wanted))
+            pick = wanted_runs(block, grams[runs.anchor], row)
             if not len(pick):
                 continue
             row, low, count = row[pick], low[pick].astype(np.int32), (runs.high - runs.low + 1)[pick]
@@ -140,22 +165,23 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW) -> DataFrame:
             many = np.zeros(len(pick), bool)
             open_[order[first]] = True
             many[order] = size[group] > 1
-            seen = np.zeros(len(pick), bool)
-            seen[order] = True
+            # What is settled here needs no anchor any more; its intervals are joined and dealt by document.
+            settled = np.zeros(len(pick), bool)
+            settled[order[~first]] = True
+            at, begin, end = joined_runs(row[settled], low[settled], (low + count + window - 1)[settled])
+            none = np.zeros(len(at), np.int64)
+            yield batch_of(
+                anchor=block.column("k")[at], whole=none, d=block.column("d")[at], k=block.column("k")[at],
+                low=begin.astype(np.int32), n=(end - begin).astype(np.int32), many=none.astype(bool),
+                hashes=pa.nulls(len(at), pa.binary()),
+            )
             packed = each.tobytes()
             ends = np.cumsum(count) * 8
             yield batch_of(
-                anchor=anchor[seen],
-                whole=whole[seen],
-                d=d[seen],
-                k=k[seen],
-                low=low[seen],
-                n=count[seen].astype(np.int32),
-                many=many[seen],
-                hashes=pa.array(
-                    [packed[e - 8 * n : e] if o else None for e, n, o in zip(ends[seen], count[seen], open_[seen])], pa.binary()
-                ),
-            )
+                anchor=anchor[open_], whole=whole[open_], d=d[open_], k=k[open_], low=low[open_],
+                n=count[open_].astype(np.int32), many=many[open_],
+                hashes=pa.array([packed[e - 8 * n : e] for e, n in zip(ends[open_], count[open_])], pa.binary()),
+            )
 
     def counted(batches):
         table = gathered(batches)
@@ -170,7 +196,7 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW) -> DataFrame:
             d=done.column("d").to_numpy(),
             k=done.column("k").to_numpy(),
             low=done.column("low").to_numpy(),
-            high=(done.column("low").to_numpy() + done.column("n").to_numpy() + window - 1).astype(np.int32),
+            high=done.column("low").to_numpy() + done.column("n").to_numpy(),
         )
         if not table.num_rows:
             return
@@ -204,8 +230,8 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW) -> DataFrame:
             high=(place + window).astype(np.int32),
         )
 
-    listed = repeated(rows.mapInArrow(anchors, "anchor long, d long, k long, low int"))
-    runs = rows.join(listed, ["d", "k"]).select("d", "k", "text", "lows")
+    # The same columns as in ``with_spans``, so that Spark can use one exchange of the texts for both joins.
+    runs = rows.join(repeated(rows.mapInArrow(anchors, ANCHORS)), ["d", "k"]).select("doc_id", "d", "k", "text", "anchors")
     packed = runs.mapInArrow(
         hashed, "anchor long, whole long, d long, k long, low int, n int, many boolean, hashes binary"
     )

@@ -1,14 +1,15 @@
 """Removal of 100-byte strings that also start earlier, by a range-partitioned sparse suffix array.
 
-A full suffix array has an entry for each byte. Here only anchors have one: the 24-byte gram with the smallest hash in
+A full suffix array has an entry for each byte. Here only anchors have one: the 32-byte gram with the smallest hash in
 a window, so that equal windows hold equal anchors at the same distance. One byte in about forty is an anchor.
 
 1. Anchors are counted by the hash of their gram; what has no repeated anchor cannot repeat.
 2. Each repeated anchor sends its suffix: the bytes from the anchor to the end of the last window that it stands for,
    then those before it (the context of its windows). Equal contexts from one block of documents are folded into the
    earliest one first, so copies send one suffix from each block.
-3. Sampled splitters range-partition the suffixes by their leading bytes, ties by document and place. A leading gram
-   of very many suffixes so runs over several buckets.
+3. Splitters from a bounded sample (``SAMPLE_LEADS`` anchors of about ``SAMPLE_DOCUMENTS`` documents) range-partition
+   the suffixes by their leading bytes, ties by document and place. A leading gram of very many suffixes so runs over
+   several buckets. The sample decides on balance only, not on the result.
 4. Each bucket sorts its suffixes by multikey quicksort on 8-byte keys: what ties by one key is sorted by the next.
    Suffixes with the same leading gram stand together then; among them equal contexts are settled at once and the
    windows of the others one by one: all but the earliest of equal windows are repetitions.
@@ -26,10 +27,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .substring_dedup import repeated
+from .substring_dedup import ANCHORS, anchors_of, fold, joined_runs, repeated, wanted_runs
 from .textscan import (
     SPANS,
     Rolling,
@@ -47,7 +48,9 @@ from .textscan import (
 )
 
 WINDOW = 100
-GRAM = 24
+GRAM = 32
+SAMPLE_DOCUMENTS = 4000
+SAMPLE_LEADS = 40_000
 _ONE, _TWO = byte_values(101), byte_values(102)
 _SPANS = "d long, k long, low int, high int, one long, two long"
 
@@ -102,55 +105,62 @@ def earlier_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     def anchors(batches):
         for block in text_blocks(batches):
             _, grams, runs = _runs(block, window)
-            row = block.row_of(runs.low)
-            yield batch_of(
-                anchor=as_long(grams[runs.anchor]),
-                d=block.column("d")[row],
-                k=block.column("k")[row],
-                low=(runs.low - block.offsets[row]).astype(np.int32),
-            )
+            yield anchors_of(block, grams[runs.anchor], block.row_of(runs.low))
 
     def suffixes(batches):
+        edges = splitters.value
         for block in text_blocks(batches):
             rolling, grams, runs = _runs(block, window)
             row = block.row_of(runs.low)
-            low = runs.low - block.offsets[row]
-            lists = block.batch.column("lows")
-            flat, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
-            wanted = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0)) << 32 | flat.astype(np.int64)
-            pick = np.flatnonzero(np.isin(row.astype(np.int64) << 32 | low, wanted))
+            pick = wanted_runs(block, grams[runs.anchor], row)
             if not len(pick):
                 continue
-            row, low, start, stop, at = row[pick], low[pick], runs.low[pick], runs.high[pick] + window, runs.anchor[pick]
+            row, start, stop, at = row[pick], runs.low[pick], runs.high[pick] + window, runs.anchor[pick]
+            low = start - block.offsets[row]
             d, k = block.column("d")[row], block.column("k")[row]
             code = rolling.stretch(start, stop) ^ mix((at - start).astype(np.uint64))
-            order = np.lexsort((low, k, d, code, grams[at]))
-            equal = (code[order[1:]] == code[order[:-1]]) & (grams[at][order[1:]] == grams[at][order[:-1]])
-            equal &= (stop - start)[order[1:]] == (stop - start)[order[:-1]]
-            same = equal & (d[order[1:]] == d[order[:-1]]) & (k[order[1:]] == k[order[:-1]])
-            same &= low[order[1:]] == low[order[:-1]]
-            later = np.zeros(len(pick), bool)
-            later[order[1:]] = equal
-            stay = np.ones(len(pick), bool)
-            stay[order[1:][same]] = False
+            order, _, first = fold([grams[at], code, stop - start], d, k, low)
+            open_, settled = np.zeros(len(pick), bool), np.zeros(len(pick), bool)
+            open_[order[first]] = True
+            settled[order[~first]] = True
+            at_row, begin, end = joined_runs(row[settled], low[settled], (low + stop - start)[settled])
+            owner = block.column("k")[at_row]
+            yield batch_of(
+                bucket=(owner % (len(edges) + 1)).astype(np.int32), context=pa.nulls(len(owner), pa.binary()),
+                before=np.zeros(len(owner), np.int32), d=block.column("d")[at_row], k=owner,
+                low=begin.astype(np.int32), high=end.astype(np.int32),
+            )
             raw = block.data.tobytes()
-            context = [
-                raw[a : a + gram] if gone else raw[a:e] + raw[s:a]
-                for a, s, e, gone in zip(at[stay].tolist(), start[stay].tolist(), stop[stay].tolist(), later[stay].tolist())
-            ]
+            places = zip(at[open_].tolist(), start[open_].tolist(), stop[open_].tolist())
+            context = [raw[a:e] + raw[s:a] for a, s, e in places]
+            d, k, low = d[open_], k[open_], low[open_]
             yield batch_of(
+                bucket=np.searchsorted(edges, _place_keys([c[:gram] for c in context], d, k, low), "right").astype(np.int32),
                 context=pa.array(context, pa.binary()),
-                before=(at - start)[stay].astype(np.int32),
-                d=d[stay],
-                k=k[stay],
-                low=low[stay].astype(np.int32),
-                high=np.where(later, low + stop - start, -1)[stay].astype(np.int32),
-            )
+                before=(at - start)[open_].astype(np.int32),
+                d=d, k=k, low=low.astype(np.int32), high=np.full(len(d), -1, np.int32),
+            )
+
+    def leads(batches):
+        """Leading bytes and place of some anchors of sampled documents."""
+        for block in text_blocks(batches):
+            _, grams, runs = _runs(block, window)
+            row = block.row_of(runs.low)
+            raw = block.data.tobytes()
+            low = runs.low - block.offsets[row]
+            d, k = block.column("d")[row], block.column("k")[row]
+            keys = _place_keys([raw[a : a + gram] for a in runs.anchor.tolist()], d, k, low)
+            yield batch_of(draw=as_long(mix(grams[runs.anchor] ^ d.view(np.uint64))), key=pa.array(keys.tolist(), pa.binary()))
 
-    def bucket(batches):
+    def buckets(batches):
         table = gathered(batches)
         if table is None:
             return
+        which = table.column("bucket").to_numpy()
+        for b in np.unique(which):
+            yield from bucket(table.filter(pa.array(which == b)))
+
+    def bucket(table):
         settled = pa.compute.greater_equal(table.column("high"), 0)
         done, table = table.filter(settled), table.filter(pa.compute.invert(settled)).combine_chunks()
         none = np.zeros(done.num_rows, bool)
@@ -235,15 +245,42 @@ def earlier_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
             two=pa.array(two.astype(np.int64), mask=~open_),
         )
 
-    listed = repeated(rows.mapInArrow(anchors, "anchor long, d long, k long, low int"))
-    picked = rows.join(listed, ["d", "k"]).select("d", "k", "text", "lows")
-    found = picked.mapInArrow(suffixes, "context binary, before int, d long, k long, low int, high int")
-    dealt = found.repartitionByRange(F.substring("context", 1, gram), "d", "k", "low")
-    spans = dealt.mapInArrow(bucket, _SPANS)
-    place = Window.partitionBy("one", "two").orderBy("d", "k", "low")
-    across = spans.filter("one is not null").withColumn("nth", F.rank().over(place)).filter("nth > 1")
-    inner = spans.filter("one is null")
-    return inner.select("d", "k", "low", "high").unionByName(across.select("d", "k", "low", "high"))
+    def across(batches):
+        """Of equal windows from several buckets all but the earliest; other rows pass."""
+        table = gathered(batches)
+        if table is None:
+            return
+        yield from table.filter(pa.compute.is_null(table.column("one"))).select(["d", "k", "low", "high"]).to_batches()
+        open_ = table.filter(pa.compute.is_valid(table.column("one"))).combine_chunks()
+        d, k, low, high, one, two = (open_.column(x).to_numpy() for x in ("d", "k", "low", "high", "one", "two"))
+        order, group, first = fold([one, two], d, k, low)
+        later = order[~first]
+        yield batch_of(d=d[later], k=k[later], low=low[later], high=high[later])
+
+    n = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(1, -(-rows.count() // SAMPLE_DOCUMENTS))
+    sampled = rows.filter(F.pmod(F.xxhash64("d", "k", F.lit("splitter")), F.lit(share)) == 0).mapInArrow(
+        leads, "draw long, key binary"
+    )
+    keys = sorted(r.key for r in sampled.orderBy("draw").limit(SAMPLE_LEADS).collect())
+    edges = [keys[len(keys) * i // n] for i in range(1, n)] if keys else []
+    splitters = documents.sparkSession.sparkContext.broadcast(np.array(edges, f"S{gram + 20}"))
+
+    # The same columns as in ``with_spans``, so that Spark can use one exchange of the texts for both joins.
+    picked = rows.join(repeated(rows.mapInArrow(anchors, ANCHORS)), ["d", "k"]).select("doc_id", "d", "k", "text", "anchors")
+    found = picked.mapInArrow(suffixes, "bucket int, context binary, before int, d long, k long, low int, high int")
+    spans = found.repartitionById(n, F.col("bucket")).mapInArrow(buckets, _SPANS)
+    return spans.repartition(F.coalesce("one", "k")).mapInArrow(across, "d long, k long, low int, high int")
+
+
+def _place_keys(lead: list[bytes], d: np.ndarray, k: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Strings that sort by leading bytes, then document, then place."""
+    sign = np.uint64(1 << 63)
+    tail = np.rec.fromarrays(
+        [(d.view(np.uint64) ^ sign).astype(">u8"), (k.view(np.uint64) ^ sign).astype(">u8"), low.astype(">u4")]
+    ).tobytes()
+    size = max(map(len, lead), default=0) + 20
+    return np.array([x + tail[20 * i : 20 * i + 20] for i, x in enumerate(lead)], f"S{size}")
 
 
 def remove_earlier_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
