@@ -27,7 +27,7 @@ def drug_sets(use: DataFrame, positions: DataFrame) -> DataFrame:
     """
     return (
         use.dropna(subset=KEYS)
-        .join(F.broadcast(positions), "drug")
+        .join(positions, "drug")
         .groupBy(*KEYS)
         .agg(F.sort_array(F.collect_set("position")).alias("drugs"))
     )

@@ -24,9 +24,10 @@ CELSIUS_ITEMS = (223762, 676)
 HEIGHT_ITEM = 226730
 WEIGHT_ITEM = 3693
 
-# Longer numbers are no readings. Up to here sums of units stay exact in 64 bits for tens of thousands of readings per
-# admission, day and signal, even if all of them were that long.
-DIGITS = 14
+# Longer whole parts are no readings and are counted as rejected. Up to here a sum of units is exact in the 38 digits
+# of a decimal for a million readings per admission, day and signal, even if all of them were that long; a sum beyond
+# that stops the job.
+DIGITS = 30
 
 
 @dataclass(frozen=True)

@@ -1,7 +1,7 @@
 """Readings: extraction, text cleaning, mean fill and daily means.
 
-A reading is carried as a whole number of ``units``: the value times 10**scale of its signal. Sums of units are exact,
-so every later mean is one division and does not depend on the order in which tasks add up.
+A reading is carried as a whole number of ``units``: the value times 10**scale of its signal, as decimal(38,0). Sums of
+units are exact, so every later mean is one division and does not depend on the order in which tasks add up.
 """
 
 from __future__ import annotations
@@ -11,15 +11,15 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daypanel.functions.numbers import rounded_quotient
+from daypanel.functions.numbers import WHOLE, rounded_quotient
 from daypanel.operators import registry as R
-from daypanel.operators.skew import row_counts, salted_join
 from daypanel.sources.schemas import KEYS
 
 NO_SIGNAL = -1  # stands for "this day is on the spine"
 
 _SLOTS = max(len(spec.rules) for spec in R.SIGNALS)
 _FENCE = "\u0003"
+_SHORT = 10**9
 _KEEP = "keep"
 _DROPPING = [code for code, spec in enumerate(R.SIGNALS) if spec.drop_missing]
 _DROPPING_CONSTANTS = [
@@ -63,8 +63,8 @@ def _codes(source: str | None) -> list[int]:
 
 
 def on_spine(tagged: DataFrame, spine: DataFrame) -> DataFrame:
-    """Readings taken on a day of the spine; a day with very many readings is spread over tasks."""
-    return salted_join(tagged, spine, KEYS, "left_semi", row_counts(tagged, KEYS))
+    """Readings taken on a day of the spine. A day with very many readings is split over tasks by the adaptive join."""
+    return tagged.join(spine, KEYS, "left_semi")
 
 
 def _quoted(text: str | None) -> str:
@@ -138,17 +138,17 @@ def with_units(tagged: DataFrame, strict: bool = False) -> DataFrame:
     )
 
     def units(scale: int) -> Column:
-        kind = f"decimal({R.DIGITS},{scale})"
+        kind = f"decimal({R.DIGITS + scale},{scale})"
         number = F.col("_settled").cast(kind) if strict else F.col("_settled").try_cast(kind)
-        return (number * 10**scale).cast("bigint")
+        return (number * 10**scale).cast(WHOLE)
 
     number = F.when(F.col("_scale") == 0, units(0)).otherwise(units(2))
     # After rounding: Celsius to Fahrenheit, rounded again, and a fraction of one written as "1" is the full percentage.
     celsius = F.col("itemid").isin(*R.CELSIUS_ITEMS)
     one = (F.col("signal") == R.CODE_OF["fio2"]) & (F.col("_number") == 1)
     final = (
-        F.when(celsius, rounded_quotient(F.col("_number") * 18 + 320, F.lit(10).cast("bigint")))
-        .when(one, F.lit(100).cast("bigint"))
+        F.when(celsius, rounded_quotient((F.col("_number") * 18 + 320).cast(WHOLE), F.lit(10)))
+        .when(one, F.lit(100).cast(WHOLE))
         .otherwise(F.col("_number"))
     )
     return (
@@ -171,9 +171,17 @@ def signal_name(signal: Column) -> Column:
 
 
 def reading_tally(cleaned: DataFrame, keys: Iterable[str] = ("hadm_id", "startdate", "signal")) -> DataFrame:
-    """Sum of units, readings with and without a value per key. Partial sums are made before the shuffle."""
+    """Sum of units, readings with and without a value per key. Partial sums are made before the shuffle.
+
+    Units below ``_SHORT``, nearly all of them, are added in 64 bits, which hold a billion of them; the others as
+    decimals. The total is the exact sum of both.
+    """
+    units = F.col("units")
+    short = F.when(F.abs(units) < _SHORT, units).cast("bigint")
+    long = F.when(F.abs(units) >= _SHORT, units)
+    both = [F.coalesce(F.sum(part).cast(WHOLE), F.lit(0).cast(WHOLE)) for part in (short, long)]
     return cleaned.groupBy(*keys).agg(
-        F.sum("units").alias("total"),
+        F.when(F.count(units) > 0, (both[0] + both[1]).cast(WHOLE)).alias("total"),
         F.count("units").alias("n_valued"),
         F.count_if(F.col("units").isNull() & ~F.col("signal").isin(_DROPPING)).alias("n_missing"),
     )
@@ -191,7 +199,7 @@ def spine_tally(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
     days = spine.select(
         *KEYS,
         F.lit(NO_SIGNAL).alias("signal"),
-        F.lit(None).cast("bigint").alias("total"),
+        F.lit(None).cast(WHOLE).alias("total"),
         nothing.alias("n_valued"),
         nothing.alias("n_missing"),
     )
@@ -209,9 +217,8 @@ def spine_tally(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
 
 def mean_after_fill(total: Column, n_valued: Column, n_missing: Column, fill: Column, size: Column) -> Column:
     """Mean of a day in which every missing reading counts as ``fill``; null when the admission has no value at all."""
-    filled = F.coalesce(total, F.lit(0).cast("bigint")) + F.when(n_missing > 0, n_missing * fill).otherwise(
-        F.lit(0).cast("bigint")
-    )
+    none = F.lit(0).cast(WHOLE)
+    filled = F.coalesce(total, none) + F.when(n_missing > 0, (n_missing * fill).cast(WHOLE)).otherwise(none)
     n = n_valued + n_missing
     return F.when(n > 0, filled.cast("double") / (n * size).cast("double"))
 
@@ -232,14 +239,12 @@ def daily_signal_mean(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
 def filled_readings(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
     """Every reading on a spine day, missing values replaced by the admission's rounded mean of the signal.
 
-    One join brings both the spine restriction and the fill; its right side has one row per (admission, day, signal).
-    The row counts that steer the salting need no values, so that pass reads and counts without cleaning.
+    One join brings both the spine restriction and the fill; its right side has one row per (admission, day, signal),
+    and a key with very many readings is split over tasks by the adaptive join.
     """
     keys = [*KEYS, "signal"]
     filled = spine_tally(cleaned, spine).filter(F.col("signal") != NO_SIGNAL).select(*keys, "fill")
-    return salted_join(cleaned, filled, keys, "inner", row_counts(cleaned, keys)).withColumn(
-        "units", F.coalesce("units", "fill")
-    )
+    return cleaned.join(filled, keys).withColumn("units", F.coalesce("units", "fill"))
 
 
 def reject_report(tagged: DataFrame) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from daypanel.functions.numbers import age_years
 from daypanel.operators.registry import HEIGHT_ITEM, WEIGHT_ITEM
-from daypanel.operators.skew import row_counts, salted_join
 from daypanel.sources.schemas import CATEGORIES
 
 ADULT_AGES = (18, 89)
@@ -21,8 +20,9 @@ SINGLE_FROM = 80
 
 
 def body_measures(chart: DataFrame, strict: bool = False) -> DataFrame:
-    """Mean height and weight per admission from one pass over the chart readings."""
-    number = F.col("value").cast("decimal(18,6)") if strict else F.col("value").try_cast("decimal(18,6)")
+    """Mean height and weight per admission from one pass over the chart readings; exact for 26 whole digits."""
+    kind = "decimal(32,6)"
+    number = F.col("value").cast(kind) if strict else F.col("value").try_cast(kind)
 
     def mean_of(item: int) -> Column:
         value = F.when(F.col("itemid") == item, F.col("number"))
@@ -46,13 +46,7 @@ def admission_body(admissions: DataFrame, chart: DataFrame) -> DataFrame:
 
 def with_patient(admissions: DataFrame, patients: DataFrame) -> DataFrame:
     """Admissions with gender and date of birth; a patient may own any number of admissions."""
-    return salted_join(
-        admissions,
-        patients.select("subject_id", "gender", "dob"),
-        ["subject_id"],
-        "left",
-        row_counts(admissions, ["subject_id"]),
-    )
+    return admissions.join(patients.select("subject_id", "gender", "dob"), "subject_id", "left")
 
 
 def patient_age(admissions: DataFrame, patients: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from daypanel.sources.schemas import KEYS
 
 VOCABULARY_SIZES = (1000, 800, 600, 400, 200)
-MAX_BROADCAST_DRUGS = 100_000
 
 
 def icu_prescriptions(prescriptions: DataFrame) -> DataFrame:
@@ -39,10 +38,9 @@ def vocabulary_sizes(icu: DataFrame, sizes: Sequence[int] = VOCABULARY_SIZES) ->
     return ranked.select(F.explode(fitting).alias("size"), "drug", "num")
 
 
-def in_vocabulary(icu: DataFrame, vocabulary: DataFrame, n: int) -> DataFrame:
-    """Rows whose drug belongs to a vocabulary of at most ``n`` drugs; broadcast only while ``n`` keeps it small."""
-    names = vocabulary.select("drug")
-    return icu.join(F.broadcast(names) if n <= MAX_BROADCAST_DRUGS else names, "drug", "left_semi")
+def in_vocabulary(icu: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Rows whose drug belongs to the vocabulary; how the two meet is left to size-based planning."""
+    return icu.join(vocabulary.select("drug"), "drug", "left_semi")
 
 
 def daily_drug_use(icu: DataFrame) -> DataFrame:

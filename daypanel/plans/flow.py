@@ -95,7 +95,7 @@ class Flow:
     @cached_property
     def use(self) -> DataFrame:
         """Prescriptions of vocabulary drugs, not yet distinct."""
-        return vocabulary.in_vocabulary(self.icu, self.vocabulary, self.n_drugs)
+        return vocabulary.in_vocabulary(self.icu, self.vocabulary)
 
     @cached_property
     def spine(self) -> DataFrame:

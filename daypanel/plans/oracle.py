@@ -27,7 +27,7 @@ def _hash(key: str) -> str:
 
 
 def _rounded(total: str, n: str) -> str:
-    return f"cast(sign({total}) * ((2 * abs({total}) + {n}) // (2 * {n})) as bigint)"
+    return f"cast(sign({total}) * ((2 * abs({total}) + {n}) // (2 * {n})) as hugeint)"
 
 
 def _text(value: str) -> str:
@@ -68,10 +68,10 @@ def _rule_steps(source: str) -> str:
     celsius = ", ".join(map(str, R.CELSIUS_ITEMS))
     return f"""
 select * exclude (t, number),
-  case when itemid in ({celsius}) then cast(cast(number * 1.8 + 32 as decimal(18,0)) as bigint)
+  case when itemid in ({celsius}) then {_rounded("(number * 18 + 320)", "10")}
     when signal = {R.CODE_OF["fio2"]} and number = 1 then 100 else number end as units
-from (select *, case when size = 1 then cast(try_cast(t as decimal({R.DIGITS},0)) as bigint)
-  else cast(try_cast(t as decimal({R.DIGITS},2)) * 100 as bigint) end as number from ({sql}))"""
+from (select *, case when size = 1 then cast(try_cast(t as decimal(30,0)) as hugeint)
+  else cast(try_cast(t as decimal(32,2)) * 100 as hugeint) end as number from ({sql}))"""
 
 
 def _chain(p: str) -> dict[str, str]:
@@ -111,7 +111,7 @@ def _age(a: str = "a", b: str = "b") -> str:
 
 
 def _mean_item(item: int) -> str:
-    number = f"case when itemid = {item} then try_cast(value as decimal(18,6)) end"
+    number = f"case when itemid = {item} then try_cast(value as decimal(32,6)) end"
     return f"cast(sum({number}) as double) / count({number})"
 
 
@@ -119,7 +119,9 @@ _SQUARE = "(height / 100) * (height / 100)"
 _TIDY = ", ".join(f"replace(lower({name}), ' ', '') as {name}" for name in CATEGORIES)
 _SHARED = [f"(case when a.{s} is null or b.{s} is null then 0 else 1 end)" for s in LIVE]
 _GAPS = [f"coalesce(pow(a.{s} - b.{s}, 2), 0)" for s in LIVE]
-_GAPS += [f"pow(a.{n} - b.{n}, 2)" for n in ("age", "weight", "height", "hospital_expire_flag")]
+_GAPS += [f"pow(a.{n} - b.{n}, 2)" for n in ("age", "weight", "height")]
+_SHARED += ["(case when a.hospital_expire_flag is null or b.hospital_expire_flag is null then 0 else 1 end)"]
+_GAPS += ["coalesce(pow(a.hospital_expire_flag - b.hospital_expire_flag, 2), 0)"]
 # Two one-hot vectors differ in one place per value that is set on one side only.
 _GAPS += [
     f"(case when a.{c} is not distinct from b.{c} then 0 else (a.{c} is not null)::int + (b.{c} is not null)::int end)"
@@ -130,6 +132,10 @@ CTES = {
     **VIEWS,
     **_chain(""),
     **_chain("line_"),
+    "long_valued": _rule_steps(
+        f"""(select r.hadm_id, cast(r.charttime as date) as startdate, r.itemid, r.value, m.signal, m.name, m.size
+        from fx_long_readings r join (values {_ITEM_ROWS}) as m(item, signal, name, size) on r.itemid = m.item)"""
+    ),
     "body": f"""select hadm_id, {_mean_item(R.HEIGHT_ITEM)} as height, {_mean_item(R.WEIGHT_ITEM)} as weight
         from fx_body group by hadm_id""",
     "static": f"""select a.subject_id, a.hadm_id, b.gender, {_age()} as age, c.weight, c.height,
@@ -147,7 +153,8 @@ CTES = {
           when (gender = 'M' and age < 31) or (gender = 'F' and age < 28) then 'SINGLE'
           when age < 80 then 'MARRIED' when age >= 80 then 'SINGLE' end as marital_status) from height_set""",
     "adults": "select * from static_set where age between 18 and 89",
-    "flagged": """select c.*, cast(coalesce(a.hospital_expire_flag, 0) as double) as hospital_expire_flag
+    "flagged": """select c.*, cast(case when a.hadm_id is null then 0 else a.hospital_expire_flag end as double)
+          as hospital_expire_flag
         from adults c left join fx_admissions a using (hadm_id)""",
     "tidy": f"select * replace ({_TIDY}) from flagged",
     "aligned": "select d.* from days d where d.hadm_id in (select hadm_id from adults)",
@@ -176,7 +183,7 @@ CTES = {
     "pairs": f"""select a.hadm_id, a.startdate, b.hadm_id as other, b.startdate as other_day,
         {', '.join(f'a.{s} as own_{s}, b.{s} as {s}' for s in LIVE)},
         greatest(1e-6, ({' + '.join(_GAPS)})
-          / ({' + '.join(_SHARED)} + 4 + (select sum(n) from n_dummies))) as distance
+          / ({' + '.join(_SHARED)} + 3 + (select sum(n) from n_dummies))) as distance
         from knn_rows a join knn_rows b on a.block = b.block
           and (a.hadm_id <> b.hadm_id or a.startdate <> b.startdate)""",
     **{
@@ -223,7 +230,7 @@ _ONE_HOT = ", ".join(
 _PRESENT = {
     "signals": " + ".join(f"(coalesce(m.{s}, 0) <> 0)::int" for s in SIGNAL_ORDER),
     "statics": " + ".join(
-        [f"(m.{s} <> 0)::int" for s in ("age", "weight", "height", "hospital_expire_flag")]
+        [f"coalesce(m.{s} <> 0, false)::int" for s in ("age", "weight", "height", "hospital_expire_flag")]
         + [f"(m.{c} is not null)::int" for c in CATEGORIES]
     ),
     "drugs": "(length(h.drugs) - length(replace(h.drugs, ',', '')) + 1)",
@@ -254,10 +261,14 @@ QUERIES = {
         cast(units as double) / cast(size as double) as value from kept""",
     "line_clean_values": """select hadm_id, startdate, itemid, name as signal,
         cast(units as double) / cast(size as double) as value from line_kept""",
-    "clean_temperature": f"""select hadm_id, startdate, itemid, value as raw, units as value from line_kept
+    "clean_temperature": f"""select hadm_id, startdate, itemid, value as raw, cast(units as bigint) as value from line_kept
         where signal = {R.CODE_OF["body_temperature"]}""",
-    "clean_fraction": f"""select hadm_id, startdate, itemid, value as raw, units as value from line_kept
+    "clean_fraction": f"""select hadm_id, startdate, itemid, value as raw, cast(units as bigint) as value from line_kept
         where signal = {R.CODE_OF["fio2"]}""",
+    "clean_long_numbers": f"""select hadm_id, startdate, name as signal, cast(sum(units) as varchar) as total,
+        count(units) as n_valued, count(*) filter (units is null) as n_missing,
+        cast({_rounded("sum(units)", "count(units)")} as varchar) as rounded_mean
+        from long_valued group by hadm_id, startdate, name""",
     "reject_report": """select name as signal, count(*) as n_readings,
         count(*) filter (value is null) as n_blank,
         count(*) filter (value is not null and units is null) as n_rejected from line_valued group by name""",
@@ -281,7 +292,7 @@ QUERIES = {
     "onehot_static": f"select t.hadm_id, {_ONE_HOT} from tidy t",
     "feature_groups": f"""select m.hadm_id, m.startdate, cast({_PRESENT["drugs"]} as bigint) as n_drugs,
         cast({_PRESENT["signals"]} as bigint) as n_signals, cast({_PRESENT["statics"]} as bigint) as n_statics,
-        cast({_PRESENT["statics"]} - (m.hospital_expire_flag <> 0)::int as bigint) as n_without_outcome
+        cast({_PRESENT["statics"]} - coalesce(m.hospital_expire_flag <> 0, false)::int as bigint) as n_without_outcome
         from modelling m join hot h using (hadm_id, startdate)""",
     "null_audit": " union all ".join(
         f"select '{c}' as column_name, count(*) filter ({c} is null) as n_null from modelling"

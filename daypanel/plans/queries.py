@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypanel.functions.numbers import bucket_hash
+from daypanel.functions.numbers import bucket_hash, rounded_quotient
 from daypanel.operators import encode, impute, label_model, metrics, panel, scoring, signals, statics
 from daypanel.operators import registry as R
 from daypanel.operators import sequences as S
@@ -33,7 +33,7 @@ def flow(spark: SparkSession, sf_dir: str) -> Flow:
 def line_spine_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     icu = V.icu_prescriptions(view(spark, sf_dir, "fx_line_prescriptions"))
     top = V.top_drugs(icu, P.LINE_DRUGS)
-    return top, V.spine(V.in_vocabulary(icu, top, P.LINE_DRUGS))
+    return top, V.spine(V.in_vocabulary(icu, top))
 
 
 def line_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +162,7 @@ def line_clean_values(spark, sf_dir):
 def _one_signal(spark, sf_dir, name):
     mine = line_tagged(spark, sf_dir).filter(F.col("signal") == R.CODE_OF[name])
     return signals.clean_units(mine).select(
-        *KEYS, "itemid", F.col("value").alias("raw"), F.col("units").alias("value")
+        *KEYS, "itemid", F.col("value").alias("raw"), F.col("units").cast("bigint").alias("value")
     )
 
 
@@ -176,6 +176,21 @@ def clean_fraction(spark, sf_dir):
     return _one_signal(spark, sf_dir, "fio2")
 
 
+@query
+def clean_long_numbers(spark, sf_dir):
+    """Numbers of 13 to 30 digits, a third of them on one day: exact totals and rounded means, as text."""
+    tally = signals.reading_tally(signals.clean_units(signals.tag_signals(view(spark, sf_dir, "fx_long_readings"))))
+    mean = rounded_quotient(F.col("total"), F.col("n_valued"))
+    return tally.select(
+        *KEYS,
+        signals.signal_name(F.col("signal")).alias("signal"),
+        F.col("total").cast("string").alias("total"),
+        "n_valued",
+        "n_missing",
+        mean.cast("string").alias("rounded_mean"),
+    )
+
+
 @query
 def reject_report(spark, sf_dir):
     return signals.reject_report(line_tagged(spark, sf_dir))

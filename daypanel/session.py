@@ -22,7 +22,6 @@ SETTINGS = {
 
 
 PARTITION_BYTES = 128 * 1024 * 1024
-MAX_PARTITIONS = 100_000
 _OWN: dict[str, str] = {}  # scratch folders of local sessions, by application
 
 
@@ -55,7 +54,7 @@ def size_shuffles(spark: SparkSession, *inputs: DataFrame) -> int:
     """
     total = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
     now = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(max(now, -(-total // PARTITION_BYTES)), MAX_PARTITIONS)
+    wanted = max(now, -(-total // PARTITION_BYTES))
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return wanted
 

@@ -30,8 +30,8 @@ VIEWS = {
     "fx_prescriptions": """
 select user_id as hadm_id, cast(ts as date) as startdate,
   concat(event_type, '_', cast(cast(regexp_extract(props, '([0-9]+)', 1) as int) % 20 as string)) as drug,
-  case when event_id % 10 = 0 then null else event_id end as icustay_id
-from events where event_id % 3 <> 0""",
+  case when event_id % 10 = 0 or event_id % 3 = 0 then null else event_id end as icustay_id
+from events""",
     "fx_readings": """
 select user_id as hadm_id,
   case event_type when 'click' then 211 when 'view' then 618 when 'error' then
@@ -60,7 +60,7 @@ select c.c_custkey as subject_id, c.c_custkey as hadm_id, a.admittime,
   case c.c_custkey % 4 when 0 then null when 1 then 'MARRIED' when 2 then 'SINGLE' else 'WIDOWED' end
     as marital_status,
   case when c.c_custkey % 6 = 0 then null else concat(r.r_name, ' ', c.c_mktsegment) end as ethnicity,
-  case when c.c_custkey % 9 = 0 then 1 else 0 end as hospital_expire_flag
+  case when c.c_custkey % 13 = 0 then null when c.c_custkey % 9 = 0 then 1 else 0 end as hospital_expire_flag
 from customer c
 join (select user_id, min(ts) as admittime from events group by user_id) a on c.c_custkey = a.user_id
 join nation n on c.c_nationkey = n.n_nationkey join region r on n.n_regionkey = r.r_regionkey""",
@@ -70,12 +70,21 @@ select c_custkey as subject_id, case when c_nationkey % 2 = 0 then 'M' else 'F'
 from customer""",
     "fx_body": """
 select c_custkey as hadm_id, case when c_custkey % 2 = 0 then 226730 else 3693 end as itemid,
-  cast(cast(150 + c_custkey % 40 as decimal(18,2)) as string) as value
-from customer where c_custkey % 3 <> 0""",
+  case when c_custkey % 3 <> 0 then cast(cast(150 + c_custkey % 40 as decimal(18,2)) as string) end as value
+from customer""",
     "fx_line_prescriptions": """
 select o.o_custkey as hadm_id, cast(l.l_shipdate as date) as startdate, p.p_name as drug,
   case when (l.l_orderkey + l.l_linenumber) % 10 = 0 then null else l.l_orderkey end as icustay_id
 from lineitem l join orders o on l.l_orderkey = o.o_orderkey join part p on l.l_partkey = p.p_partkey""",
+    "fx_long_readings": """
+select case when l.l_orderkey % 3 = 0 then 1 else o.o_custkey end as hadm_id,
+  case l.l_linenumber % 3 when 0 then 211 when 1 then 50971 else 50813 end as itemid,
+  case when l.l_orderkey % 3 = 0 then cast('1995-01-01' as timestamp) else cast(l.l_shipdate as timestamp) end as charttime,
+  case l.l_orderkey % 5 when 0 then concat('9', lpad(cast(l.l_orderkey * 7 as string), 12, '0'))
+    when 1 then concat('8', lpad(cast(l.l_partkey * 13 as string), 14, '3'), '.25')
+    when 2 then concat('7', lpad(cast(l.l_orderkey + l.l_linenumber as string), 29, '5'))
+    when 3 then null else cast(l.l_partkey % 100 as string) end as value
+from lineitem l join orders o on l.l_orderkey = o.o_orderkey""",
     "fx_line_readings": f"""
 select o.o_custkey as hadm_id, m.itemid, l.l_shipdate as charttime,
   case when (l.l_orderkey * 3 + l.l_linenumber) % 11 = 0 then null

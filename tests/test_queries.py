@@ -69,13 +69,16 @@ def test_spine_reads_only_what_it_needs(spark, sf_dir):
 
 
 def test_panel_moves_readings_once(spark, sf_dir):
-    """Exchanges of the panel: vocabulary count, distinct spine, item dictionary, tally, and one by admission."""
+    """Exchanges of the panel without any broadcast by size.
+
+    Vocabulary count, both sides of the vocabulary join, distinct spine, item dictionary, tally, one by admission.
+    """
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         text = plan(QUERIES["wide_panel"](spark, sf_dir))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert text.count("Exchange hashpartitioning") == 5
+    assert text.count("Exchange hashpartitioning") == 7
     assert text.count("REPARTITION_BY_COL") == 1 and "SortMergeJoin" not in text
     assert text.count("FileScan parquet") == 4  # vocabulary, spine, readings, dictionary
 

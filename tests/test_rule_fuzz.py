@@ -41,7 +41,7 @@ def expected(spec, item, text):
         number = Decimal(text.strip()) if text is not None else None
     except ArithmeticError:
         number = None
-    if number is not None and abs(number) >= 10 ** (R.DIGITS - spec.scale):
+    if number is not None and abs(number) >= 10**R.DIGITS:
         number = None
     if number is None:
         return "gone" if spec.drop_missing else None

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from daypanel.operators import panel, signals, skew
+from daypanel.operators import panel, signals
 from daypanel.operators.registry import CODE_OF
 from daypanel.sources.schemas import KEYS, SIGNAL_ORDER
 
@@ -47,7 +47,7 @@ def test_fill_then_mean(small):
 def test_filled_readings_agree_with_daily_means(small):
     filled = signals.filled_readings(*small)
     size = signals.unit_size(F.col("signal"))
-    from_readings = filled.groupBy(*KEYS, "signal").agg((F.sum("units") / F.count("units") / F.first(size)).alias("m"))
+    from_readings = filled.groupBy(*KEYS, "signal").agg((F.sum("units").cast("double") / F.count("units") / F.first(size)).alias("m"))
     both = from_readings.join(signals.daily_signal_mean(*small), [*KEYS, "signal"]).collect()
     assert len(both) == 5
     assert all(r.m == pytest.approx(r["mean"]) for r in both)
@@ -74,34 +74,24 @@ def test_negative_values_round_away_from_zero(spark):
     assert sorted(r["mean"] for r in means) == [-3.0, -2.5]
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
-def test_salted_join_equals_plain_join(spark, how):
-    """Key 1 holds a third of the rows, many of them equal; some keys are null."""
-    left = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 40).alias("k"),
-        (F.col("id") % 5).alias("v"),
-    )
-    right = spark.range(0, 40, 1).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w")).filter("k <> 7")
-    plain = left.join(right, "k", how)
-    counts = skew.row_counts(left, ["k"])
-    for hot_keys in (100, 1, 0):
-        salted = skew.salted_join(left, right, ["k"], how, counts, rows_per_salt=20, max_hot_keys=hot_keys)
-        salted = salted.select(plain.columns)
-        assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
-
-
-def test_hot_key_is_spread(spark):
-    left = spark.range(0, 4000, 1, 4).select(F.lit(1).cast("bigint").alias("k"), (F.col("id") % 2).alias("v"))
-    right = spark.createDataFrame([(1, 2)], "k bigint, w bigint")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        joined = skew.salted_join(left, right, ["k"], "inner", skew.row_counts(left, ["k"]), rows_per_salt=100)
-        used = joined.groupBy(F.spark_partition_id()).count().collect()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert sum(r["count"] for r in used) == 4000 and len(used) >= 2  # copies of two rows only, still dealt
+def test_long_numbers_are_added_exactly(spark):
+    long = ["9" * 13, "8" * 15 + ".25", "7" * 30, "6" * 30 + ".99"]
+    rows = [(1, 50971, DAY[0], text) for text in long * 25_000] + [(1, 50971, DAY[0], "1" * 31)]
+    tally = signals.reading_tally(readings(spark, rows)).first()
+    assert int(tally.total) == 25_000 * (int("9" * 13 + "00") + int("8" * 15 + "25") + int("7" * 30 + "00") + int("6" * 30 + "99"))
+    assert (tally.n_valued, tally.n_missing) == (100_000, 1)
+    tagged = spark.createDataFrame([(1, 50971, dt.datetime(2024, 1, 1), "1" * 31)], "hadm_id bigint, itemid int, charttime timestamp_ntz, value string")
+    assert signals.reject_report(signals.tag_signals(tagged)).first().n_rejected == 1
+
+
+def test_quotients_round_away_from_zero(spark):
+    from daypanel.functions.numbers import rounded_quotient
+
+    cases = [(5, 2), (-5, 2), (7, 3), (-7, 3), (0, 4), (10**20 + 5, 10), (-(10**20) - 5, 10), (3 * 10**31 + 1, 2), (8, 0), (None, 1)]
+    rows = spark.createDataFrame([(str(t) if t is not None else None, n) for t, n in cases], "t string, n bigint")
+    got = rows.select(rounded_quotient(F.col("t").cast("decimal(38,0)"), F.col("n")).alias("q")).collect()
+    want = [None if t is None or not n else (1 if t >= 0 else -1) * ((2 * abs(t) + n) // (2 * n)) for t, n in cases]
+    assert [None if r.q is None else int(r.q) for r in got] == want
 
 
 def test_on_spine_keeps_each_reading_once(small):

@@ -10,7 +10,7 @@ from daypanel.sources.standins import VIEWS, view
 
 def test_counts(spark, sf_dir):
     flow = Flow(EventRelations(spark, sf_dir), 40)
-    assert flow.relations.prescriptions.count() == 666 and flow.icu.count() == 600
+    assert flow.relations.prescriptions.count() == 1000 and flow.icu.count() == 600
     assert flow.icu.select("drug").distinct().count() == 100 and flow.spine.count() == 236
     assert flow.relations.admissions.count() == 15
     assert flow.static.filter("age < 18").count() == 0 and flow.static.filter("age > 89").count() == 9

@@ -66,5 +66,5 @@ def test_ties_and_nulls_in_the_vocabulary(spark):
     )
     top = vocabulary.top_drugs(icu, 4)
     assert [(r.drug, r.num) for r in top.collect()] == [("c", 3), (None, 3), ("b", 2), ("a", 1)]
-    days = vocabulary.spine(vocabulary.in_vocabulary(icu, vocabulary.top_drugs(icu, 3), 3))
+    days = vocabulary.spine(vocabulary.in_vocabulary(icu, vocabulary.top_drugs(icu, 3)))
     assert sorted(r.hadm_id for r in days.collect()) == [1, 2]
