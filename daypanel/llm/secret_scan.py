@@ -4,7 +4,7 @@ All of it is DataFrame code. A pattern's matches and the gaps between them come
 ``split``; their places are running sums of lengths over the few rows of texts that have a match.
 
 The models hold, for random strings and for ordinary identifiers, the probability of each character after the one
-before, smoothed by one half of a count. They are trained from labelled samples (``value``, ``label``): by default the
+before, smoothed towards the frequency of the character alone (``BACK_OFF`` pairs). They are trained from labelled samples (``value``, ``label``): by default the
 values that the base patterns find in the corpus, all of them, against the identifiers of a bounded sample of its
 documents (``SAMPLE_DOCUMENTS``, chosen by hash). A candidate, a long stretch of identifier characters with a letter,
 is a secret if its log-likelihood ratio is above ``THRESHOLD`` for each character, unless it touches a base span.
@@ -36,6 +36,7 @@ ADDED = "random"
 KINDS = [*PATTERNS, ADDED]
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 THRESHOLD = 1.0
+BACK_OFF = 5.0
 SAMPLE_DOCUMENTS = 4000
 ORDINARY = r"[A-Za-z_][A-Za-z0-9_]{3,}"
 
@@ -121,15 +122,17 @@ def train(labelled: DataFrame) -> list[float]:
     )
     n = len(ALPHABET)
     place = {c: i for i, c in enumerate(ALPHABET)}
-    counts = {label: [[0.5] * n for _ in range(n)] for label in (0, 1)}
-    seen = {0: 0, 1: 0}
+    counts = {label: [[0.0] * n for _ in range(n)] for label in (0, 1)}
     for label, pair, count in pairs.collect():
         counts[label][place[pair[0]]][place[pair[1]]] += count
-        seen[label] += count
-    if not all(seen.values()):
+    if not all(any(map(any, rows)) for rows in counts.values()):
         return [0.0] * (n * n)
-    rows = [(r, o, sum(r), sum(o)) for r, o in zip(counts[1], counts[0])]
-    return [math.log(a / random * ordinary / b) for r, o, random, ordinary in rows for a, b in zip(r, o)]
+    chance = {}
+    for label, rows in counts.items():
+        single = [0.5 + sum(r[b] for r in rows) for b in range(n)]
+        single = [x / sum(single) for x in single]
+        chance[label] = [(r[b] + BACK_OFF * single[b]) / (sum(r) + BACK_OFF) for r in rows for b in range(n)]
+    return [math.log(one / other) for one, other in zip(chance[1], chance[0])]
 
 
 def added_spans(rows: DataFrame, base: DataFrame, table: list[float], threshold: float = THRESHOLD) -> DataFrame:
