@@ -51,6 +51,7 @@ WINDOW = 100
 GRAM = 32
 SAMPLE_DOCUMENTS = 4000
 SAMPLE_LEADS = 40_000
+PORTION = 400_000
 _ONE, _TWO = byte_values(101), byte_values(102)
 _SPANS = "d long, k long, low int, high int, one long, two long"
 
@@ -196,27 +197,29 @@ def earlier_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
         pick = np.flatnonzero(fresh & (edge | several))
         rank = np.lexsort((low[pick], k[pick], d[pick]))
         pick = pick[rank]
-        one, two = Rolling(_ONE[data]), Rolling(_TWO[data])
-        yield from _windows(d, k, low, before, starts, ends, group, edge, pick, one, two)
+        yield from _windows(data, d, k, low, before, starts, ends, group, edge, pick)
 
-    def _windows(d, k, low, before, starts, ends, group, edge, pick, one, two):
+    def _windows(data, d, k, low, before, starts, ends, group, edge, pick):
         """The windows of contexts that share their leading gram with others, or may do so in another bucket."""
         # Whole leading grams together, in portions, so that memory is bounded by the largest of them.
         groups, index = np.unique(group[pick], return_inverse=True)
         count = (ends - starts)[pick] - window + 1
         load = np.cumsum(np.bincount(index, count).astype(np.int64))
-        portion = (load // 2_000_000)[index]
+        portion = (load // PORTION)[index]
         for p in np.unique(portion):
             some = pick[portion == p]
-            n = (ends - starts)[some] - window + 1
+            size = (ends - starts)[some]
+            text = data[stretches(starts[some], size)]
+            first = np.cumsum(size) - size
+            n = size - window + 1
             of = np.repeat(np.arange(len(some)), n)
             t = stretches(np.zeros(len(some), np.int64), n)
-            tail = (ends - before)[some][of]
-            right = starts[some][of] + window - before[some][of] + t
+            tail = (first + size - before[some])[of] + t
+            right = first[of] + window - before[some][of] + t
             codes = []
-            for rolling in (one, two):
-                left = rolling.stretch(tail + t, ends[some][of])
-                codes.append(rolling.stretch(starts[some][of], right) ^ mix(left + (before[some][of] - t).astype(np.uint64)))
+            for rolling in (Rolling(_ONE[text]), Rolling(_TWO[text])):
+                left = rolling.stretch(tail, (first + size)[of])
+                codes.append(rolling.stretch(first[of], right) ^ mix(left + (before[some][of] - t).astype(np.uint64)))
             # Windows lie in the order of their places, so a stable order leaves the earliest in front.
             by = np.lexsort((codes[1], codes[0]))
             same = (codes[0][by[1:]] == codes[0][by[:-1]]) & (codes[1][by[1:]] == codes[1][by[:-1]])
@@ -246,11 +249,20 @@ def earlier_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
         )
 
     def across(batches):
-        """Of equal windows from several buckets all but the earliest; other rows pass."""
+        """Of equal windows from several buckets all but the earliest; the intervals of a document as maximal ones."""
         table = gathered(batches)
         if table is None:
             return
-        yield from table.filter(pa.compute.is_null(table.column("one"))).select(["d", "k", "low", "high"]).to_batches()
+        done = table.filter(pa.compute.is_null(table.column("one"))).combine_chunks()
+        d, k, low, high = (done.column(x).to_numpy() for x in ("d", "k", "low", "high"))
+        order = np.lexsort((low, k, d))
+        d, k, low, high = d[order], k[order], low[order], high[order]
+        row = np.cumsum(np.append(True, (d[1:] != d[:-1]) | (k[1:] != k[:-1]))[: len(d)])
+        # The furthest end so far in the document; rows that repeat a place would break a plain comparison.
+        reach = np.maximum.accumulate(high + row * (1 << 32)) - row * (1 << 32)
+        _, begin, end = joined_runs(row, low, reach)
+        at = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (low[1:] > reach[:-1]))[: len(row)])
+        yield batch_of(d=d[at], k=k[at], low=begin, high=end.astype(np.int32))
         open_ = table.filter(pa.compute.is_valid(table.column("one"))).combine_chunks()
         d, k, low, high, one, two = (open_.column(x).to_numpy() for x in ("d", "k", "low", "high", "one", "two"))
         order, group, first = fold([one, two], d, k, low)
@@ -270,7 +282,7 @@ def earlier_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     picked = rows.join(repeated(rows.mapInArrow(anchors, ANCHORS)), ["d", "k"]).select("doc_id", "d", "k", "text", "anchors")
     found = picked.mapInArrow(suffixes, "bucket int, context binary, before int, d long, k long, low int, high int")
     spans = found.repartitionById(n, F.col("bucket")).mapInArrow(buckets, _SPANS)
-    return spans.repartition(F.coalesce("one", "k")).mapInArrow(across, "d long, k long, low int, high int")
+    return spans.repartition(F.coalesce("one", F.xxhash64("d", "k"))).mapInArrow(across, "d long, k long, low int, high int")
 
 
 def _place_keys(lead: list[bytes], d: np.ndarray, k: np.ndarray, low: np.ndarray) -> np.ndarray:
