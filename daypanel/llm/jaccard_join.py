@@ -35,11 +35,11 @@ from .components import components
 from .textscan import Rolling, as_long, batch_of, byte_values, gathered, keyed, lower, mix, text_blocks, words
 
 SHINGLE = 5
-COUNTERS = 1 << 20
+COUNTERS = 1 << 22
 CHUNKS = 16
 CELL = 256
 PARTNERS = 512
-BAND = 1.1
+BAND = 1.04
 _BYTES = byte_values(2)
 _SEEDS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))
 
@@ -103,7 +103,7 @@ def _sets_and_counts(rows: DataFrame) -> DataFrame:
         for block in text_blocks(batches):
             sets = Sets(block)
             some = True
-            counts += np.bincount(_counter(sets.shingles), minlength=COUNTERS).astype(np.int32)
+            np.add.at(counts, _counter(sets.shingles), 1)
             n = len(sets.sizes)
             yield batch_of(
                 doc_id=pa.array(block.batch.column("doc_id")).cast(pa.int64()),
@@ -123,8 +123,9 @@ def _sets_and_counts(rows: DataFrame) -> DataFrame:
 
 
 def _levels(scanned: DataFrame) -> np.ndarray:
-    """For each counter 0, or for one that stands out, a level that rises with its count. One megabyte, always."""
+    """For each counter 0, or for one that stands out, a level that rises with its count. A byte for each counter."""
     width = COUNTERS // CHUNKS
+    mean = float(scanned.agg(F.sum("size")).first()[0] or 0) / COUNTERS
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
@@ -133,16 +134,17 @@ def _levels(scanned: DataFrame) -> np.ndarray:
                 raw = pa.decompress(packed.as_buffer(), 4 * width, "zstd", asbytes=True)
                 sums[chunk] = sums.get(chunk, 0) + np.frombuffer(raw, np.int32).astype(np.int64)
         if sums:
-            yield batch_of(chunk=np.array(list(sums), np.int32), sums=pa.array([x.tobytes() for x in sums.values()]))
+            levels = []
+            for total in sums.values():
+                level = 1 + np.floor(np.log2(np.maximum(total - mean, 1)))
+                levels.append(np.where(total - mean > 5 * np.sqrt(mean) + 5, level, 0).astype(np.uint8).tobytes())
+            yield batch_of(chunk=np.array(list(sums), np.int32), levels=pa.array(levels, pa.binary()))
 
     parts = scanned.filter("chunk is not null").select("chunk", "counts").repartition(CHUNKS, "chunk")
-    total = np.zeros(COUNTERS, np.int64)
-    for r in parts.mapInArrow(add, "chunk int, sums binary").collect():  # CHUNKS rows of a fixed size
-        total[r.chunk * width : (r.chunk + 1) * width] = np.frombuffer(r.sums, np.int64)
-    mean = total.mean()
-    above = total - mean
-    level = 1 + np.floor(np.log2(np.maximum(above, 1)))
-    return np.where(above > 5 * np.sqrt(mean) + 5, level, 0).astype(np.uint8)
+    out = np.zeros(COUNTERS, np.uint8)
+    for r in parts.mapInArrow(add, "chunk int, levels binary").collect():  # CHUNKS rows of a fixed size
+        out[r.chunk * width : (r.chunk + 1) * width] = np.frombuffer(r.levels, np.uint8)
+    return out
 
 
 def _shared_prefixes(rows: DataFrame, levels) -> DataFrame:
@@ -203,7 +205,7 @@ def _cells(shared: DataFrame) -> DataFrame:
 
 
 def _cell_pairs(shared: DataFrame, cells: DataFrame) -> DataFrame:
-    """(one, other, n): cells that share enough prefix shingles; n is the number of nodes in ``other``."""
+    """(one, other, n_one, n): cells that share enough prefix shingles, and how many nodes the two have."""
 
     def pairs(batches):
         table = gathered(batches)
@@ -244,12 +246,26 @@ def _cell_pairs(shared: DataFrame, cells: DataFrame) -> DataFrame:
     summed = found.groupBy("one", "low", "high", "other", "other_low", "other_high").agg(F.sum("common").alias("common"))
     enough = F.least(need("low", "high", "other_low", "other_high"), need("other_low", "other_high", "low", "high"))
     size = cells.groupBy(F.col("cell").alias("other")).agg(F.count(F.lit(1)).alias("n"))
-    return summed.filter(F.col("common") >= enough).select("one", "other").join(size, "other")
+    chosen = summed.filter(F.col("common") >= enough).select("one", "other")
+    return chosen.join(size, "other").join(size.toDF("one", "n_one"), "one")
 
 
 def _tasks(cells: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(task, inner, partner, name): the nodes of each comparison; ``inner`` tasks also compare a cell with itself."""
+    """(task, inner, partner, name): the nodes of each comparison; ``inner`` tasks also compare a cell with itself.
+
+    Of two cells the one with more partners is the task, so that the nodes of a hub are not sent to each of them.
+    """
     pairs = staged(pairs, "shingle-pairs")
+    ends = pairs.select("one").unionByName(pairs.select(F.col("other").alias("one")))
+    partners = ends.groupBy("one").agg(F.count(F.lit(1)).alias("partners"))
+    degree = pairs.join(partners, "one").join(partners.toDF("other", "other_partners"), "other")
+    turned = F.col("other_partners") > F.col("partners")
+    pairs = degree.select(
+        F.when(turned, F.col("other")).otherwise(F.col("one")).alias("one"),
+        F.when(turned, F.col("one")).otherwise(F.col("other")).alias("other"),
+        F.when(turned, F.col("n_one")).otherwise(F.col("n")).alias("n"),
+    )
+    pairs = staged(pairs, "shingle-turned")
     split = pairs.groupBy("one").agg(F.ceil(F.sum("n") / PARTNERS).cast("int").alias("parts"))
     several = cells.filter("n > 1").select(F.col("cell").alias("one")).distinct()
     split = split.join(several, "one", "full").select("one", F.coalesce("parts", F.lit(1)).alias("parts"))
