@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
@@ -40,6 +40,7 @@ CHUNKS = 16
 CELL = 256
 PARTNERS = 512
 BAND = 1.04
+BITMAP = 1 << 24
 _BYTES = byte_values(2)
 _SEEDS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))
 
@@ -186,8 +187,8 @@ def _shared_prefixes(rows: DataFrame, levels) -> DataFrame:
 
 def _cells(shared: DataFrame) -> DataFrame:
     """(name, size, cell, low, high, n): each node's cell, with the sizes in it and how many nodes it has."""
-    home = shared.groupBy("name").agg(F.min("key").alias("home"))
-    around = shared.select("shingle", "name").join(home, "name").groupBy("shingle").agg(F.min("home").alias("home"))
+    own = F.min("key").over(Window.partitionBy("name"))  # a node has as many rows as its prefix at most
+    around = shared.select("shingle", own.alias("home")).groupBy("shingle").agg(F.min("home").alias("home"))
     label = (
         shared.join(around, "shingle")
         .groupBy("name")
@@ -213,6 +214,7 @@ def _cell_pairs(shared: DataFrame, cells: DataFrame) -> DataFrame:
             return
         shingle, cell, low, high = (table.column(x).to_numpy() for x in ("shingle", "cell", "low", "high"))
         order = np.lexsort((cell, shingle))
+        order = order[np.append(True, (shingle[order[1:]] != shingle[order[:-1]]) | (cell[order[1:]] != cell[order[:-1]]))]
         shingle, cell, low, high = shingle[order], cell[order], low[order].astype(np.int64), high[order].astype(np.int64)
         found = []
         at, step = np.arange(len(shingle)), 1
@@ -240,9 +242,10 @@ def _cell_pairs(shared: DataFrame, cells: DataFrame) -> DataFrame:
         a = F.least(F.greatest(F.col(low), F.ceil(F.col(other_high) * 4 / 5)), F.col(high))
         return F.floor((20 * a - 16 * F.greatest(F.col(other_high), a)) / 45) + 1
 
-    listed = shared.join(cells.select("name", "cell", "low", "high"), "name").select("shingle", "cell", "low", "high")
+    cell = cells.select("name", "cell", F.col("low").cast("int").alias("low"), F.col("high").cast("int").alias("high"))
+    listed = shared.select("shingle", "name").join(cell, "name").select("shingle", "cell", "low", "high")
     schema = "one long, low long, high long, other long, other_low long, other_high long, common long"
-    found = listed.distinct().repartition("shingle").mapInArrow(pairs, schema)
+    found = listed.repartition("shingle").mapInArrow(pairs, schema)
     summed = found.groupBy("one", "low", "high", "other", "other_low", "other_high").agg(F.sum("common").alias("common"))
     enough = F.least(need("low", "high", "other_low", "other_high"), need("other_low", "other_high", "low", "high"))
     size = cells.groupBy(F.col("cell").alias("other")).agg(F.count(F.lit(1)).alias("n"))
@@ -318,6 +321,20 @@ def _linked(rows: list[np.ndarray], partner: np.ndarray, inner: bool, levels: np
             yield i, j
 
 
+def _likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose (d, k) may be in ``wanted``, by a bitmap of ``BITMAP`` bits, so that few texts are shuffled.
+
+    The bitmap is a table of ``BITMAP / 64`` rows at most, whatever the input, so it can be broadcast. On inputs that
+    fill it, it lets more rows pass; the exact join comes afterwards.
+    """
+    bit = F.pmod(F.xxhash64("d", "k"), F.lit(BITMAP))
+    place, inside = (bit / 64).cast("int"), (bit % 64).cast("int")
+    mark = F.call_function("shiftleft", F.lit(1).cast("long"), inside)
+    bits = wanted.select(place.alias("place"), mark.alias("mark")).groupBy("place").agg(F.bit_or("mark").alias("marks"))
+    met = rows.withColumn("place", place).join(F.broadcast(bits), "place")
+    return met.filter(F.col("marks").bitwiseAND(mark) != 0).drop("place", "marks")
+
+
 def _links(tasks: DataFrame, texts: DataFrame, levels) -> DataFrame:
     """(u, v, n): links that hold the groups together (n null), and for each node u the copies it links with, as n."""
 
@@ -391,7 +408,9 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     cells = _cells(shared)
     tasks = staged(_tasks(cells, _cell_pairs(shared, cells)), "shingle-tasks")
     wanted = tasks.select("name").distinct().join(classes, "name").select("name", "copies", "first.*")
-    texts = rows.select("d", "k", "text").join(wanted, ["d", "k"]).select("name", "copies", "text")
+    wanted = staged(wanted, "shingle-wanted")
+    likely = _likely(rows.select("d", "k", "text"), wanted)
+    texts = likely.join(wanted, ["d", "k"]).select("name", "copies", "text")
     found = _links(tasks, texts, levels)
     roots = components(found.filter("v is not null").select("u", "v")).withColumnRenamed("node", "name")
     degree = found.filter("n is not null").groupBy(F.col("u").alias("name")).agg(F.sum("n").alias("n"))
