@@ -4,8 +4,8 @@ Any global order of the shingles gives a filter: two sets that link share a shin
 ``n - ceil(0.8 n) + 1`` of each (the prefix). This join intersects the filters of three orders before it compares sets:
 
 1. Documents with the same set become one node. Nobody compares copies.
-2. Order one puts shingles that many documents have last. It comes from a count of all shingles in a table of fixed
-   size (``COUNTERS``), rounded to levels; ties are ordered by hash. Prefix shingles of all nodes are grouped in Spark,
+2. Order one puts rare shingles first and those that many documents have last. It comes from a count of all shingles
+   in a table of fixed size (``COUNTERS``), rounded to levels; ties are ordered by hash. Prefix shingles of all nodes are grouped in Spark,
    and those that no other node of a fitting size has are dropped.
 3. What is left is a graph of nodes and shingles, so pairs need not be listed: nodes are dealt into cells by the
    smallest shingle around them and by size. Two cells are compared if they share enough prefix shingles: a pair that
@@ -124,7 +124,7 @@ def _sets_and_counts(rows: DataFrame) -> DataFrame:
 
 
 def _levels(scanned: DataFrame) -> np.ndarray:
-    """For each counter 0, or for one that stands out, a level that rises with its count. A byte for each counter."""
+    """For each counter a level that rises with its count: one byte."""
     width = COUNTERS // CHUNKS
     mean = float(scanned.agg(F.sum("size")).first()[0] or 0) / COUNTERS
 
@@ -137,8 +137,10 @@ def _levels(scanned: DataFrame) -> np.ndarray:
         if sums:
             levels = []
             for total in sums.values():
-                level = 1 + np.floor(np.log2(np.maximum(total - mean, 1)))
-                levels.append(np.where(total - mean > 5 * np.sqrt(mean) + 5, level, 0).astype(np.uint8).tobytes())
+                # Steps of a sixteenth of a standard deviation, and of a fourth of a doubling where that is not enough.
+                z = (total - mean) / np.sqrt(mean + 1)
+                far = 192 + np.minimum(63, 4 * np.log2(np.maximum(z, 8) / 8))
+                levels.append(np.where(z < 8, np.clip((z + 4) * 16, 0, 191), far).astype(np.uint8).tobytes())
             yield batch_of(chunk=np.array(list(sums), np.int32), levels=pa.array(levels, pa.binary()))
 
     parts = scanned.filter("chunk is not null").select("chunk", "counts").repartition(CHUNKS, "chunk")
@@ -335,8 +337,8 @@ def _likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return met.filter(F.col("marks").bitwiseAND(mark) != 0).drop("place", "marks")
 
 
-def _links(tasks: DataFrame, texts: DataFrame, levels) -> DataFrame:
-    """(u, v, n): links that hold the groups together (n null), and for each node u the copies it links with, as n."""
+def _links(compared: DataFrame, levels) -> DataFrame:
+    """From (task, inner, partner, name, copies, text): (u, v, n), links that hold the groups together (n null), and for each node u the copies it links with, as n."""
 
     def compare(batches):
         table = gathered(batches)
@@ -382,9 +384,7 @@ def _links(tasks: DataFrame, texts: DataFrame, levels) -> DataFrame:
             n=np.array(list(degrees.values()), np.int64),
         )
 
-    return staged(
-        tasks.join(texts, "name").repartition("task").mapInArrow(compare, "u long, v long, n long"), "shingle-links"
-    )
+    return staged(compared.repartition("task").mapInArrow(compare, "u long, v long, n long"), "shingle-links")
 
 
 def jaccard_components(documents: DataFrame) -> DataFrame:
@@ -407,11 +407,10 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     shared = _shared_prefixes(rows, levels)
     cells = _cells(shared)
     tasks = staged(_tasks(cells, _cell_pairs(shared, cells)), "shingle-tasks")
-    wanted = tasks.select("name").distinct().join(classes, "name").select("name", "copies", "first.*")
+    wanted = tasks.join(classes, "name").select("task", "inner", "partner", "name", "copies", "first.*")
     wanted = staged(wanted, "shingle-wanted")
-    likely = _likely(rows.select("d", "k", "text"), wanted)
-    texts = likely.join(wanted, ["d", "k"]).select("name", "copies", "text")
-    found = _links(tasks, texts, levels)
+    compared = wanted.join(_likely(rows.select("d", "k", "text"), wanted), ["d", "k"]).drop("d", "k")
+    found = _links(compared, levels)
     roots = components(found.filter("v is not null").select("u", "v")).withColumnRenamed("node", "name")
     degree = found.filter("n is not null").groupBy(F.col("u").alias("name")).agg(F.sum("n").alias("n"))
     node = classes.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
