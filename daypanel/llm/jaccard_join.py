@@ -290,9 +290,11 @@ def _tasks(cells: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _bits(row: np.ndarray, column: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
-    flags = np.zeros(shape, bool)
-    flags[row, column] = True
-    return np.packbits(flags, axis=1)
+    """A bit for each (row, column); every place is given once."""
+    width = -(-shape[1] // 8)
+    packed = np.zeros(shape[0] * width, np.uint8)
+    np.add.at(packed, row * width + column // 8, (1 << (column % 8)).astype(np.uint8))
+    return packed.reshape(shape[0], width)
 
 
 def _linked(rows: list[np.ndarray], partner: np.ndarray, inner: bool, levels: np.ndarray):
