@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from .textscan import ALNUM, Block, Rolling, batch_of, byte_values, lower, spans_of, stretches, text_blocks, words
 
 PHRASE = 10
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 BLOCK_BYTES = 8 << 20
 SAMPLE = 8
 _BYTES = byte_values(8)

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 SPANS = "array<struct<low: int, high: int>>"
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
 _LOW = np.uint64(0xFFFFFFFF)
