@@ -6,12 +6,13 @@ have the pair, the word and the entity,
 
     share = pair / word                                 how likely the entity is where the word stands
     bits  = log2(pair * documents / (word * entity))    their pointwise mutual information
+    own   = log2(documents / entity)                    what the entity itself says, the most that ``bits`` can be
 
-A word whose pair stands in ``SUPPORT`` different texts or more, with ``bits`` of at least ``BITS``, is generalised from a
-share of ``GENERALISE`` on and removed from ``REMOVE`` on. Only documents that name the entity are changed, so
+A word whose pair stands in ``SUPPORT`` different texts or more, with ``bits`` of at least ``INFORMATION`` of ``own``, is
+generalised from a share of ``GENERALISE`` on and removed from ``REMOVE`` on. An entity of all documents says nothing. Only documents that name the entity are changed, so
 documents without personal data stay as they are.
 
-Counts cover all documents. Words are counted where a fixed-size bitmap (``BITMAP`` bits) says that they may belong to
+Counts cover all documents, rows that repeat one once. Words are counted where a fixed-size bitmap (``BITMAP`` bits) says that they may belong to
 a pair with enough support, and joined with the pairs exactly afterwards.
 
 Places are code points, ends exclusive. Null and empty texts have no spans. Rows that repeat an id and its text are one
@@ -35,7 +36,7 @@ KINDS = ("email", "ip", "card", "phone")
 ADDED = ("general", "removed")
 NEAR = 5
 SUPPORT = 3
-BITS = 6.0
+INFORMATION = 0.5
 GENERALISE = 0.5
 REMOVE = 0.9
 BITMAP = 1 << 20
@@ -145,23 +146,33 @@ def _scan(rows: DataFrame) -> DataFrame:
     return staged(rows.mapInArrow(scan, schema), "personal")
 
 
-def _bit(word):
-    return F.pmod(word, F.lit(BITMAP))
-
-
-def _word_counts(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(word, n): documents with the word, for every word of ``pairs``."""
-    bits = pairs.select(_bit(F.col("word")).alias("bit")).distinct()
-    packed = bits.groupBy(F.floor(F.col("bit") / 32).alias("at")).agg(
+def _bitmap(bits: DataFrame):
+    """``bits`` (bit), below ``BITMAP``, as flags that every task gets."""
+    packed = bits.distinct().groupBy(F.floor(F.col("bit") / 32).alias("at")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 32).cast("int"))).alias("bits")
     )
     bitmap = np.zeros(BITMAP // 32, np.uint32)
     for at, value in packed.collect():  # BITMAP / 32 rows at most
         bitmap[at] = value
-    shipped = rows.sparkSession.sparkContext.broadcast(bitmap)
+    return bits.sparkSession.sparkContext.broadcast(bitmap)
+
+
+def _flags(shipped) -> np.ndarray:
+    return np.unpackbits(shipped.value.view(np.uint8), bitorder="little").astype(bool)
+
+
+def _word_counts(rows: DataFrame, scanned: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(word, n): documents with the word, for every word of ``pairs``.
+
+    Each block adds up its documents. Those that may have several rows, by a bitmap of their keys, are listed instead,
+    so that each counts once wherever its rows are.
+    """
+    wanted = _bitmap(pairs.select(F.pmod("word", F.lit(BITMAP)).alias("bit")))
+    again = scanned.groupBy("d", "k").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    repeated = _bitmap(again.select(F.pmod(F.col("d").bitwiseXOR(F.col("k")), F.lit(BITMAP)).alias("bit")))
 
     def count(batches):
-        flags = np.unpackbits(shipped.value.view(np.uint8), bitorder="little").astype(bool)
+        flags, several = _flags(wanted), _flags(repeated)
         for block in text_blocks(batches):
             data = lower(block.data)
             found = words(data, block.offsets, ALNUM)
@@ -169,11 +180,16 @@ def _word_counts(rows: DataFrame, pairs: DataFrame) -> DataFrame:
             at = np.flatnonzero(flags[code % BITMAP])
             row = np.searchsorted(found.offsets, at, "right") - 1
             once = np.unique(np.stack((code[at], block.column("d")[row], block.column("k")[row])), axis=1)
-            word, n = np.unique(once[0], return_counts=True)
-            yield batch_of(word=word, n=n)
+            listed = several[(once[1] ^ once[2]) % BITMAP]
+            word, n = np.unique(once[0][~listed], return_counts=True)
+            none = pa.nulls(len(word), pa.int64())
+            yield batch_of(word=word, d=none, k=none, n=n)
+            word, d, k = once[:, listed]
+            yield batch_of(word=word, d=d, k=k, n=np.ones(len(word), np.int64))
 
-    found = rows.select("d", "k", "text").mapInArrow(count, "word long, n long")
-    return found.join(pairs.select("word").distinct(), "word").groupBy("word").agg(F.sum("n").alias("n"))
+    found = rows.select("d", "k", "text").mapInArrow(count, "word long, d long, k long, n long")
+    found = found.groupBy("word", "d", "k").agg(F.when(F.col("d").isNull(), F.sum("n")).otherwise(F.lit(1)).alias("n"))
+    return found.groupBy("word").agg(F.sum("n").alias("n")).join(pairs.select("word").distinct(), "word")
 
 
 def disclosing_words(rows: DataFrame, scanned: DataFrame) -> DataFrame:
@@ -185,11 +201,12 @@ def disclosing_words(rows: DataFrame, scanned: DataFrame) -> DataFrame:
     named = scanned.select("d", "k", F.explode("contexts.entity").alias("entity")).distinct()
     entities = named.groupBy("entity").agg(F.count(F.lit(1)).alias("documents"))
     total = scanned.agg(F.count_distinct("d", "k")).first()[0]
-    judged = pairs.join(entities, "entity").join(_word_counts(rows, pairs), "word")
+    judged = pairs.join(entities, "entity").join(_word_counts(rows, scanned, pairs), "word")
     share = F.least(F.col("pair") / F.col("n"), F.lit(1.0))
     bits = F.log2(F.col("pair") * F.lit(float(total)) / (F.col("n") * F.col("documents")))
-    found = judged.withColumn("share", share).withColumn("bits", bits)
-    found = found.filter((F.col("share") >= GENERALISE) & (F.col("bits") >= BITS))
+    own = F.log2(F.lit(float(total)) / F.col("documents"))
+    found = judged.withColumn("share", share).withColumn("bits", bits).withColumn("own", own)
+    found = found.filter((F.col("share") >= GENERALISE) & (F.col("own") > 0) & (F.col("bits") >= INFORMATION * F.col("own")))
     return found.select("entity", "word", (F.col("share") >= REMOVE).cast("int").alias("kind"))
 
 

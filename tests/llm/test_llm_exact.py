@@ -246,6 +246,26 @@ def test_disclosing_words(spark):
     assert "snorkelwick" not in clean[3] and "[EMAIL]" in clean[3]
 
 
+def test_words_of_frequent_entities(spark):
+    """In a small table, and beside an entity of a third of the documents, a word that goes with the entity goes."""
+    texts = [(i, f"the writer snorkelwick has zed@ex.org and the rest {i}") for i in range(20)]
+    texts += [(100 + i, f"the writer other{i} has nothing and the rest {i}") for i in range(40)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r.spans.split(",") for r in pii_sanitise.digest(rows).collect()}
+    assert all(got[i][1:] == ["removed:11:22"] for i in range(20)) and all(got[100 + i] == [""] for i in range(40))
+    everywhere = spark.createDataFrame([(i, f"the writer {i} has zed@ex.org") for i in range(20)], "doc_id long, text string")
+    assert pii_sanitise.digest(everywhere).filter("n_removed + n_general > 0").count() == 0
+
+
+def test_repeated_rows_count_once(spark):
+    """A word of four documents, three with the entity, is generalised however often a row of the fourth comes."""
+    texts = [(i, f"writer {i} snorkelwick zed@ex.org") for i in range(3)]
+    texts += [(50, "writer snorkelwick")] * 12 + [(100 + i, f"writer other{i}") for i in range(400)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string").repartition(6)
+    got = {r.doc_id: r.spans.split(",") for r in pii_sanitise.digest(rows).collect()}
+    assert all(got[i][1:] == ["general:9:20"] for i in range(3)) and got[50] == [""]
+
+
 OPERATORS = [
     substring_dedup.digest, suffix_dedup.digest, jaccard_join.digest, jaccard_join.keep_one_each, quality_ledger.digest,
     quality_ledger.kept_documents, secret_scan.digest, secret_scan.redact, pii_sanitise.digest, pii_sanitise.sanitise,
