@@ -1,16 +1,18 @@
-"""Personal data, and the words around it that give it away although it is masked.
+"""Personal data, and the words beside it that give it away although it is masked.
 
-Fixed patterns find e-mail addresses, IP addresses, card and telephone numbers: the protected entities. A word close to
-an entity (``NEAR`` words on either side) discloses it as far as the corpus says so: with the number of documents that
-have the pair, the word and the entity,
+Fixed patterns find e-mail addresses, IP addresses, card and telephone numbers: the protected entities. A word of a
+document that names an entity, wherever it stands, discloses it as far as the corpus says so: with the number of
+documents that have the pair, the word and the entity,
 
     share = pair / word                                 how likely the entity is where the word stands
     bits  = log2(pair * documents / (word * entity))    their pointwise mutual information
     own   = log2(documents / entity)                    what the entity itself says, the most that ``bits`` can be
 
 A word whose pair stands in ``SUPPORT`` different texts or more, with ``bits`` of at least ``INFORMATION`` of ``own``, is
-generalised from a share of ``GENERALISE`` on and removed from ``REMOVE`` on. An entity of all documents says nothing. Only documents that name the entity are changed, so
-documents without personal data stay as they are.
+generalised from a share of ``GENERALISE`` on and removed from ``REMOVE`` on. An entity of all documents says nothing. Only documents that name the entity are changed, at every place of the word, so documents without personal data stay as
+they are. Words may have any length.
+
+Pairs are listed only for entities that stand in ``SUPPORT`` different texts, since no other pair can have so many.
 
 Counts cover all documents, rows that repeat one once. Words are counted where a fixed-size bitmap (``BITMAP`` bits) says that they may belong to
 a pair with enough support, and joined with the pairs exactly afterwards.
@@ -34,13 +36,11 @@ from .textscan import ALNUM, Rolling, as_long, batch_of, byte_values, keyed, low
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("general", "removed")
-NEAR = 5
 SUPPORT = 3
 INFORMATION = 0.5
 GENERALISE = 0.5
 REMOVE = 0.9
 BITMAP = 1 << 20
-LEAST_LETTERS = 3
 _BYTES = byte_values(9)
 
 # The patterns. The local part of an address is found backwards from its "@", so that a long stretch
@@ -101,49 +101,49 @@ def _entity(kind: int, value: str) -> str:
 
 
 SPANS = "array<struct<kind: int, low: int, high: int>>"
-CONTEXTS = "array<struct<entity: string, word: long, low: int, high: int>>"
+PLACES = "array<struct<word: long, low: int, high: int>>"
 
 
 def _scan(rows: DataFrame) -> DataFrame:
-    """(doc_id, d, k, spans, contexts) of every document; contexts are the words near its entities."""
+    """(doc_id, d, k, spans, entities, places) of every document; places are all words of one that names an entity."""
     span_type = pa.list_(pa.struct([("kind", pa.int32()), ("low", pa.int32()), ("high", pa.int32())]))
-    word_type = pa.list_(
-        pa.struct([("entity", pa.string()), ("word", pa.int64()), ("low", pa.int32()), ("high", pa.int32())])
-    )
 
-    def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
+    def places(text: str, spans: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         raw = np.frombuffer(text.encode(), np.uint8)
         data = lower(raw)
         found = words(data, np.array([0, len(data)]), ALNUM)
         points = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))  # code points before each byte
         low, high = points[found.starts], points[found.ends]
         code = as_long(Rolling(_BYTES[data]).stretch(found.starts, found.ends))
-        open_ = high - low >= LEAST_LETTERS
+        open_ = np.ones(len(low), bool)
         for _, start, end in spans:
             open_[np.searchsorted(high, start, "right") : np.searchsorted(low, end, "left")] = False
-        out = []
-        for kind, start, end in spans:
-            entity = _entity(kind, text[start:end])
-            first, last = np.searchsorted(high, start, "right"), np.searchsorted(low, end, "left")
-            for i in (*range(max(0, first - NEAR), first), *range(last, min(len(low), last + NEAR))):
-                if open_[i]:
-                    out.append({"entity": entity, "word": int(code[i]), "low": int(low[i]), "high": int(high[i])})
-        return out
+        return code[open_], low[open_].astype(np.int32), high[open_].astype(np.int32)
+
+    none = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def scan(batches):
         for batch in batches:
-            spans, near = [], []
+            spans, entities, open_ = [], [], [none]
+            ends = [0]
             for text in batch.column("text").to_pylist():
                 found = list(base_spans(text)) if text else []
                 spans.append([{"kind": n, "low": a, "high": b} for n, a, b in found])
-                near.append(contexts(text, found) if found else [])
+                entities.append(sorted({_entity(n, text[a:b]) for n, a, b in found}))
+                if found:
+                    open_.append(places(text, found))
+                ends.append(ends[-1] + (len(open_[-1][0]) if found else 0))
+            each = [pa.array(np.concatenate(x)) for x in zip(*open_)]
             yield batch_of(
                 doc_id=batch.column("doc_id"), d=batch.column("d"), k=batch.column("k"),
-                spans=pa.array(spans, span_type), contexts=pa.array(near, word_type),
+                spans=pa.array(spans, span_type), entities=pa.array(entities, pa.list_(pa.string())),
+                places=pa.ListArray.from_arrays(
+                    pa.array(ends, pa.int32()), pa.StructArray.from_arrays(each, names=["word", "low", "high"])
+                ),
             )
 
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, d long, k long, spans {SPANS}, contexts {CONTEXTS}"
-    return staged(rows.mapInArrow(scan, schema), "personal")
+    key = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, d long, k long"
+    return staged(rows.mapInArrow(scan, f"{key}, spans {SPANS}, entities array<string>, places {PLACES}"), "personal")
 
 
 def _bitmap(bits: DataFrame):
@@ -192,14 +192,39 @@ def _word_counts(rows: DataFrame, scanned: DataFrame, pairs: DataFrame) -> DataF
     return found.groupBy("word").agg(F.sum("n").alias("n")).join(pairs.select("word").distinct(), "word")
 
 
+def _named(scanned: DataFrame) -> DataFrame:
+    """(d, k, entity): the documents that name each entity."""
+    return scanned.select("d", "k", F.explode("entities").alias("entity")).distinct()
+
+
+def _words(scanned: DataFrame) -> DataFrame:
+    """(d, k, words): the distinct words of each document that names an entity."""
+    own = scanned.filter(F.size("entities") > 0).select("d", "k", F.array_distinct("places.word").alias("words"))
+    return own.dropDuplicates(["d", "k"])
+
+
+def _pairs(scanned: DataFrame, named: DataFrame) -> DataFrame:
+    """(d, k, entity, word): each entity of ``named`` with each word of the document."""
+    lists = named.groupBy("d", "k").agg(F.collect_list("entity").alias("entities"))
+    met = _words(scanned).join(lists, ["d", "k"])
+    return met.select("d", "k", "words", F.explode("entities").alias("entity")).select(
+        "d", "k", "entity", F.explode("words").alias("word")
+    )
+
+
 def disclosing_words(rows: DataFrame, scanned: DataFrame) -> DataFrame:
     """(entity, word, kind): pairs above the thresholds; kind 0 is generalised, 1 removed."""
-    near = scanned.select("d", "k", F.explode("contexts").alias("c")).select("d", "k", "c.entity", "c.word").distinct()
-    texts = near.groupBy("entity", "word", "k").agg(F.count(F.lit(1)).alias("n"))
+    named = _named(scanned)
+    texts = named.groupBy("entity", "k").agg(F.count(F.lit(1)).alias("n"))
+    entities = texts.groupBy("entity").agg(F.sum("n").alias("documents"), F.count(F.lit(1)).alias("texts"))
+    entities = staged(entities.filter(F.col("texts") >= SUPPORT).select("entity", "documents"), "personal-entities")
+    listed = _pairs(scanned, named.join(entities, "entity"))
+    texts = listed.groupBy("entity", "word", "k").agg(F.count(F.lit(1)).alias("n"))
     pairs = texts.groupBy("entity", "word").agg(F.sum("n").alias("pair"), F.count(F.lit(1)).alias("texts"))
-    pairs = staged(pairs.filter(F.col("texts") >= SUPPORT), "personal-pairs")
-    named = scanned.select("d", "k", F.explode("contexts.entity").alias("entity")).distinct()
-    entities = named.groupBy("entity").agg(F.count(F.lit(1)).alias("documents"))
+    # A word stands in as many documents at least as name any entity and have it, so its share is no higher than this.
+    inside = _words(scanned).select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("least"))
+    pairs = pairs.filter(F.col("texts") >= SUPPORT).join(inside, "word")
+    pairs = staged(pairs.filter(F.col("pair") / F.col("least") >= GENERALISE).drop("least"), "personal-pairs")
     total = scanned.agg(F.count_distinct("d", "k")).first()[0]
     judged = pairs.join(entities, "entity").join(_word_counts(rows, scanned, pairs), "word")
     share = F.least(F.col("pair") / F.col("n"), F.lit(1.0))
@@ -214,9 +239,11 @@ def personal_data(documents: DataFrame) -> DataFrame:
     """doc_id, d, k, spans (base, by kind and start) and added (kind 0 generalised, 1 removed; by start)."""
     rows = keyed(documents)
     scanned = _scan(rows)
-    words_ = disclosing_words(rows, scanned)
-    near = scanned.select("d", "k", F.explode("contexts").alias("c")).select("d", "k", "c.*").distinct()
-    hit = near.join(words_, ["entity", "word"]).groupBy("d", "k", "low", "high").agg(F.max("kind").alias("kind"))
+    words_ = staged(disclosing_words(rows, scanned), "personal-words")
+    named = _named(scanned).join(words_.select("entity").distinct(), "entity")
+    judged = _pairs(scanned, named).join(words_, ["entity", "word"]).groupBy("d", "k", "word").agg(F.max("kind").alias("kind"))
+    places = scanned.filter(F.size("entities") > 0).select("d", "k", F.explode("places").alias("p")).select("d", "k", "p.*")
+    hit = places.join(judged, ["d", "k", "word"]).groupBy("d", "k", "low", "high").agg(F.max("kind").alias("kind"))
     added = hit.groupBy("d", "k").agg(F.array_sort(F.collect_list(F.struct("kind", "low", "high"))).alias("added"))
     found = scanned.select("doc_id", "d", "k", "spans").join(added, ["d", "k"], "left")
     return found.withColumn("added", F.coalesce("added", F.array().cast(SPANS)))

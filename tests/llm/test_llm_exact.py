@@ -257,6 +257,20 @@ def test_words_of_frequent_entities(spark):
     assert pii_sanitise.digest(everywhere).filter("n_removed + n_general > 0").count() == 0
 
 
+def test_words_far_from_their_entity(spark):
+    """A name in the greeting goes with the address in the signature, at every place and of any length."""
+    far = " ".join(f"and{n} the rest" for n in range(20))
+    texts = [(i, f"hello 李 snorkelwick {far} snorkelwick {far} zed@ex.org") for i in range(3)]
+    texts = [(i, f"{text} {i}x") for i, text in texts] + [(100 + i, f"hello {far} {i}") for i in range(300)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r for r in pii_sanitise.digest(rows).collect()}
+    clean = {r.doc_id: r.text for r in pii_sanitise.sanitise(rows).collect()}
+    for i, text in texts:
+        assert got[i].n_removed == (3 if i < 100 else 0) and got[i].n_general == 0
+        want = text.replace("snorkelwick", "").replace("李", "").replace("zed@ex.org", "[EMAIL]")
+        assert clean[i] == want
+
+
 def test_repeated_rows_count_once(spark):
     """A word of four documents, three with the entity, is generalised however often a row of the fourth comes."""
     texts = [(i, f"writer {i} snorkelwick zed@ex.org") for i in range(3)]
