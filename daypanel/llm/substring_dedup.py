@@ -113,12 +113,15 @@ def joined_runs(row: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.
     return row[first], low[first], high[np.append(first[1:] - 1, len(row) - 1)[: len(first)]]
 
 
-def fold(codes: np.ndarray, d: np.ndarray, k: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def fold(
+    codes: np.ndarray, d: np.ndarray, k: np.ndarray, low: np.ndarray, flag: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Groups of equal rows: order by (codes, d, k, low) without repeated rows, the group of each, first of each group.
 
-    ``codes`` is a list of arrays that are equal where rows are equal.
+    ``codes`` is a list of arrays that are equal where rows are equal. Of repeated rows one with a ``flag`` stays, if
+    any has it.
     """
-    order = np.lexsort((low, k, d, *codes[::-1]))
+    order = np.lexsort((*(() if flag is None else (~flag,)), low, k, d, *codes[::-1]))
     equal = np.ones(max(0, len(order) - 1), bool)
     for x in codes:
         equal &= x[order[1:]] == x[order[:-1]]
@@ -200,7 +203,7 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW) -> DataFrame:
         )
         if not table.num_rows:
             return
-        order, group, first = fold([anchor, whole, n], d, k, low)
+        order, group, first = fold([anchor, whole, n], d, k, low, many)
         size = np.bincount(group)
         several = np.bincount(group, many[order]) > 0
         full = (size > 1) | several

@@ -32,6 +32,32 @@ def test_word_windows_of_a_table(spark):
     compare(substring_dedup.digest(spark.read.parquet(SAMPLE)), substring_dedup.brute_force(texts))
 
 
+def test_rows_of_a_document_in_several_blocks(spark):
+    """A document that stands twice keeps what its second row knows of a copy in that row's block."""
+    from conftest_llm import prose
+
+    texts = {1: prose(41, 80) * 2, 2: prose(42, 150), 3: "other " + prose(42, 150)}
+    names = ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    before = [spark.conf.get(name) for name in names]
+    try:
+        for name, value in zip(names, ("1", "2")):  # blocks hold documents 1 and 2, then 2 and 3
+            spark.conf.set(name, value)
+        rows = spark.createDataFrame([(i, texts[i]) for i in (1, 2, 2, 3)], "doc_id long, text string").coalesce(1)
+        compare(substring_dedup.digest(rows), substring_dedup.brute_force(texts))
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
+
+
+def test_fold_keeps_flags():
+    import numpy as np
+
+    one = np.ones(3, np.int64)
+    for flag in ([False, True, False], [True, False, False], [False, False, True]):
+        order, _, _ = substring_dedup.fold([one], one, one, one, np.array(flag))
+        assert [flag[i] for i in order] == [True]
+
+
 @pytest.mark.parametrize("window", [100, 30, 9])
 def test_byte_strings(odd_documents, odd_texts, window):
     compare(suffix_dedup.digest(odd_documents, window), suffix_dedup.brute_force(odd_texts, window))
