@@ -390,10 +390,11 @@ def _links(compared: DataFrame, levels) -> DataFrame:
 
 
 def jaccard_components(documents: DataFrame) -> DataFrame:
-    """d, k, doc_id, n_shingles, component_id, n_links, for each distinct document.
+    """d, k, doc_id, n_shingles, root, component_id, n_links, for each distinct document.
 
-    ``component_id`` is the smallest id that links lead to; ``n_links`` counts the documents linked directly, copies
-    included.
+    ``root`` names the component, one value for each (null without shingles). ``component_id`` is the smallest id that
+    links lead to, which components share where ids are null or repeated; ``n_links`` counts the documents linked
+    directly, copies included.
     """
     spark = documents.sparkSession
     rows = keyed(documents)
@@ -419,11 +420,12 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     least = node.groupBy("root").agg(F.min("least").alias("component_id"))
     node = node.join(least, "root").join(degree, "name", "left")
     links = (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links")
-    return sets.join(node.select("name", "component_id", links), "name", "left").select(
+    return sets.join(node.select("name", "root", "component_id", links), "name", "left").select(
         "d",
         "k",
         "doc_id",
         F.col("size").alias("n_shingles"),
+        "root",
         F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
@@ -438,11 +440,12 @@ def digest(documents: DataFrame) -> DataFrame:
 def keep_one_each(documents: DataFrame) -> DataFrame:
     """The documents, all columns, without those that belong to the component of a document with a smaller id.
 
-    Documents without shingles stay. Of rows that repeat an id and its text one stays; so does one text, the first by
-    hash, of an id with several texts in a component.
+    Documents without shingles stay, and one document of each component, whatever ids it shares with others. A null id
+    is the smallest. Of rows that repeat an id and its text one stays; so does one text, the first by hash, of an id
+    with several texts in a component.
     """
     found = jaccard_components(documents)
-    first = found.filter("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("d", "k")).alias("first"))
+    first = found.filter("n_shingles > 0").groupBy("root").agg(F.min(F.struct("d", "k")).alias("first"))
     kept = first.select("first.*").unionByName(found.filter("n_shingles = 0").select("d", "k"))
     key = [
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("d"),

@@ -126,6 +126,19 @@ def test_one_of_each_group_stays(odd_documents, odd_texts):
     assert ids == sorted(i for i, (n, c, _) in want.items() if n == 0 or c == i or i == NULL_ID)
 
 
+def test_unlinked_texts_stay_whatever_their_ids(spark):
+    """Null and repeated ids name no component: texts that do not link all stay, and one of each group that does."""
+    from conftest_llm import near, prose
+
+    alone = [prose(3000 + i, 60) for i in range(6)]
+    groups = [prose(3100 + i, 300) for i in range(3)]
+    rows = [(None, t) for t in alone[:4]] + [(5, t) for t in alone[4:]]
+    rows += [(i, t) for i, base in zip((None, 5, 5), groups) for t in (base, near(base, 1, 0.003))]
+    kept = [r.text for r in jaccard_join.keep_one_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(t for t in kept if t in alone) == sorted(alone)
+    assert len(kept) == 9 and all(sum(t in kept for i, t in rows if t[:20] == base[:20]) == 1 for base in groups)
+
+
 BENCHMARK = [("b1", "Passage of twelve words that nobody else would ever write down like this here"), ("b2", "ONE, two!"),
              (None, "a a a a a a a a a a a"), ("b3", None), ("b4", "..."), ("b1", "ñandú 日本語")]
 
