@@ -1,7 +1,9 @@
 """The numbered queries over the whole tables, and their DuckDB texts where SQL can say the same.
 
 Not in SQL: op3 (a trained classifier), op4 (a JSON parser and levels of turns), op5 and op9 (trained models and corpus
-statistics add spans). The tests hold those against brute force.
+statistics add spans), op12 (eigenvectors). The tests hold those against brute force. The text of op11 knows the markup of
+the given pages only: one ``article`` of headings and paragraphs, two kinds of character references; the tests hold other
+markup against expected texts.
 """
 
 from __future__ import annotations
@@ -13,14 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 from . import (
     chat_format,
     decontaminate,
+    html_extract,
     jaccard_join,
     language_id,
+    merkle_manifest,
     pii_sanitise,
     quality_ledger,
     secret_scan,
     source_mix,
     substring_dedup,
     suffix_dedup,
+    whitening,
 )
 
 
@@ -68,6 +73,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(_table(spark, sf_dir, "documents"))
 
 
+def op11_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.digest(_table(spark, sf_dir, "pages"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -81,6 +98,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontaminate,
         op9_pii_sanitise,
         op10_suffix_dedup,
+        op11_html_extract,
+        op12_whitening,
+        op13_merkle_manifest,
     )
 }
 
@@ -217,6 +237,70 @@ select d.doc_id, coalesce(n_bytes, 0) n_bytes, coalesce(n_removed, 0) n_removed,
 from documents d left join kept using (doc_id)
 """
 
+_OP11 = r"""
+with a as (
+  select page_id, url, string_split_regex(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '</?(?:p|h1)>') blocks
+  from pages
+), plain as (
+  select page_id, url, list_transform(blocks, lambda b: trim(regexp_replace(regexp_replace(replace(regexp_replace(
+    replace(b, '<br>', ' '), '</?b>', '', 'g'), '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) blocks from a
+), t as (
+  select page_id, url, coalesce(array_to_string(list_filter(blocks, lambda b: b <> ''), chr(10) || chr(10)), '') text from plain
+)
+select page_id, url, text, length(text) n_chars from t
+"""
+
+
+def _form(x: str) -> str:
+    return f"coalesce(strlen(cast({x} as varchar)) || ':' || cast({x} as varchar), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(_form(x) for x in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+_OP13 = f"""
+with recursive crc_nibbles as (
+  select list_transform(range(16), lambda i: list_reduce([i, 0, 0, 0, 0], lambda c, z: xor(c >> 1, (c & 1) * 3988292384))) t
+), d as (
+  select doc_id, lang, {_leaf('n_chars')} leaf, {_leaf('n_chars + 1')} other,
+    n_chars is not null and doc_id is not null and xor(list_reduce(list_prepend(4294967295, flatten(list_transform(
+      string_split(cast(doc_id as varchar), ''), lambda x: [ord(x) & 15, ord(x) >> 4]))),
+      lambda c, x: xor(t[(xor(c, x) & 15) + 1], c >> 4)), 4294967295) % 7 = 0 hit
+  from documents, crc_nibbles
+), leaves as (
+  select doc_id, leaf, case when hit then other else leaf end start, dense_rank() over (order by lang nulls first) - 1 tree,
+    row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 place
+  from d
+), trees as (
+  select tree, 0 lvl, place, leaf h, count(*) over (partition by tree) n from leaves
+  union all
+  select tree, lvl + 1, place // 2, sha256(string_agg(h, '' order by place)), (any_value(n) + 1) // 2
+  from trees where n > 1 group by tree, lvl, place // 2
+), tops as (
+  select tree, h subroot, lvl height from trees where n = 1
+), upper as (
+  select 0 lvl, tree place, subroot h, count(*) over () n from tops
+  union all
+  select lvl + 1, place // 2, sha256(string_agg(h, '' order by place)), (any_value(n) + 1) // 2
+  from upper where n > 1 group by lvl, place // 2
+), climb as (
+  select doc_id, leaf, tree, place, start folded, '' proof, 0 step, height,
+    (select max(lvl) from upper) over_height from leaves join tops using (tree)
+  union all
+  select doc_id, leaf, c.tree, c.place, case when step < height
+      then sha256(case when (c.place >> step) % 2 = 1 then a.h || folded else folded || coalesce(a.h, '') end)
+      else sha256(case when (c.tree >> (step - height)) % 2 = 1 then b.h || folded else folded || coalesce(b.h, '') end) end,
+    proof || coalesce(a.h, b.h, ''), step + 1, height, over_height
+  from climb c
+  left join trees a on step < height and a.tree = c.tree and a.lvl = step and a.place = xor(c.place >> step, 1)
+  left join upper b on step >= height and b.lvl = step - height and b.place = xor(c.tree >> (step - height), 1)
+  where step < height + over_height
+)
+select doc_id, leaf, subroot, u.h root, sha256(proof) proof_sha256, folded folded_root, folded = u.h verified
+from climb join tops using (tree), upper u where step = climb.height + over_height and u.n = 1
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_ledger": _OP1,
     "op2_jaccard_join": _OP2,
@@ -224,4 +308,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_source_mix": source_mix.oracle_sql(),
     "op8_decontaminate": _OP8,
     "op10_suffix_dedup": _OP10,
+    "op11_html_extract": _OP11,
+    "op13_merkle_manifest": _OP13,
 }
