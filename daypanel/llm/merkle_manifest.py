@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from ..session import staged
 
 #: Levels of the tree in one node row, and leaves that one copy of a node row serves.
-LEVELS = 6
-SERVED = 4096
+LEVELS = 8
+SERVED = 512
 #: Rows whose key has a crc32 divisible by this are tampered with.
 TAMPERED = 7
 _PASS = 1 << 56  # node names: number of the pass, then the place
