@@ -9,8 +9,10 @@ key, until one is left; the tops of the groups, ordered by name, make a tree in
    consecutive nodes and the link to its parent, the node row above. Each pass has 1 / 2^LEVELS of the rows of the pass
    before. With ``levels=1`` a node row is a pair and the parent link leads one level up.
 3. A recursive query climbs from every leaf: it joins the node row, appends the siblings on the way and folds the hash,
-   until a row without a parent is done. The upper node rows serve very many leaves, so a node row comes in one copy for
-   every ``SERVED`` leaves under it, and a climbing row takes the copy of its number: no task gets all leaves of a tree.
+   until a row without a parent is done. The tops of the groups climb first; their siblings stand in the topmost node row
+   of their group, so the leaves need no further step for them. The upper node rows serve very many leaves, so a node row
+   comes in one copy for every ``SERVED`` leaves under it, and a climbing row takes the copy of its number: no task gets
+   all leaves of a tree.
 
 Siblings and hashes are binary inside, lowercase hex outside.
 
@@ -31,12 +33,12 @@ from pyspark.sql import functions as F
 from ..session import staged
 
 #: Levels of the tree in one node row, and leaves that one copy of a node row serves.
-LEVELS = 8
-SERVED = 512
+LEVELS = 9
+SERVED = 1024
 #: Rows whose key has a crc32 divisible by this are tampered with.
 TAMPERED = 7
 _PASS = 1 << 56  # node names: number of the pass, then the place
-_TOP = -1  # the tree over the groups
+_WAY = "array<struct<sibling: binary, before: boolean>>"
 
 
 def canonical(value: Column) -> Column:
@@ -88,13 +90,15 @@ def _levels(lowest: Column, height: Column) -> Column:
     return F.aggregate(steps, F.array(lowest), lambda levels, _: above(levels))
 
 
-def _node_rows(nodes: DataFrame, levels: int, top_tree: bool) -> tuple[DataFrame, DataFrame]:
-    """Node rows over ``nodes`` (tree, place, n, h, served), and the tops of the trees (tree, h, served).
+def _node_rows(nodes: DataFrame, levels: int) -> tuple[DataFrame, DataFrame]:
+    """Node rows over ``nodes`` (tree, place, n, h), and the tops of the trees (tree, h).
 
-    A node row has tree, node (its name), parent_tree, parent, at (the place of its top among the nodes of its parent),
-    ``nodes`` by level, and served (the leaves under it). The number of passes is the logarithm of the largest tree.
+    A node row has tree, node (its name), parent (null at the top), at (the place of its top among the nodes of its
+    parent), ``nodes`` by level, and served (the leaves under it). The number of passes is the logarithm of the largest
+    tree.
     """
-    wide, rest, built, passes = 1 << levels, nodes, None, 0
+    wide, built, passes = 1 << levels, None, 0
+    rest = nodes.withColumn("served", F.lit(1).cast("long"))
     while True:
         block = rest.groupBy("tree", F.col("n").alias("below"), F.expr(f"place div {wide}").alias("place")).agg(
             F.transform(F.array_sort(F.collect_list(F.struct("place", "h"))), lambda x: x["h"]).alias("h"),
@@ -102,62 +106,62 @@ def _node_rows(nodes: DataFrame, levels: int, top_tree: bool) -> tuple[DataFrame
         )
         # A tree ends at the level where one node is left: n nodes have as many levels above as n - 1 has binary digits.
         height = F.when(F.col("below") == 1, 0).otherwise(F.least(F.length(F.bin(F.col("below") - 1)), F.lit(levels)))
-        ends = F.col("below") <= wide
-        up = F.lit(None) if top_tree else F.expr(f"tree div {wide}")
-        block = staged(
-            block.select(
-                "tree",
-                (F.lit(passes * _PASS) + F.col("place")).alias("node"),
-                F.when(~ends, F.col("tree")).when(F.lit(not top_tree), F.lit(_TOP)).cast("long").alias("parent_tree"),
-                F.when(ends, up).otherwise(F.lit((passes + 1) * _PASS) + F.expr(f"place div {wide}")).cast("long").alias("parent"),
-                F.when(ends, F.col("tree") % wide).otherwise(F.col("place") % wide).cast("int").alias("at"),
-                _levels(F.col("h"), height).alias("nodes"),
-                "served",
-                "place",
-                "below",
-            ),
-            "merkle-levels",
+        parent = F.lit((passes + 1) * _PASS) + F.expr(f"place div {wide}")
+        block = block.select(
+            "tree",
+            (F.lit(passes * _PASS) + F.col("place")).alias("node"),
+            F.when(F.col("below") > wide, parent).alias("parent"),
+            (F.col("place") % wide).cast("int").alias("at"),
+            _levels(F.col("h"), height).alias("nodes"),
+            "served",
+            "place",
+            "below",
         )
+        block = staged(block, "merkle-levels")
         built = block if built is None else built.unionByName(block)
         top = F.element_at("nodes", -1)[0].alias("h")
-        rest = block.filter(f"below > {wide}").select(
+        rest = block.filter("parent is not null").select(
             "tree", "place", F.expr(f"(below + {wide - 1}) div {wide}").alias("n"), top, "served"
         )
         if rest.isEmpty():
-            return built.drop("place", "below"), built.filter(f"below <= {wide}").select("tree", top, "served")
+            return built.drop("place", "below"), built.filter("parent is null").select("tree", top)
         passes += 1
 
 
-def _climbed(spark, starts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``starts`` (row, key, leaf, folded, tree, node, at) with subroot, root, proof and the folded hash at the top.
+def _climbed(starts: DataFrame, nodes: DataFrame, above: DataFrame | None, way: bool = False) -> DataFrame:
+    """``starts`` (row, key, leaf, folded, tree, node, at) with subroot, root, proof and the hash folded up to the root.
 
-    Written before it is returned, since the limit on the rows of a recursion is lifted for this query only.
+    ``above`` (tree, over, over_root) has the siblings from the top of each tree to the root over all. The proof is all
+    siblings in one piece, or with ``way`` an array that says on which side each stands. Written before it is returned,
+    since the limit on the rows of a recursion is lifted for this query only.
     """
+    spark = starts.sparkSession
     copies = F.expr(f"(served + {SERVED - 1}) div {SERVED}")
-    above = nodes.select(
-        F.col("tree").alias("parent_tree"), F.col("node").alias("parent"), copies.cast("long").alias("parent_copies")
-    )
-    linked = nodes.join(above, ["parent_tree", "parent"], "left")
-    stored = staged(
-        linked.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1))).drop("served"), "merkle-nodes"
-    )
+    parents = nodes.select("tree", F.col("node").alias("parent"), copies.alias("parent_copies"))
+    inner = nodes.filter("parent is not null").join(parents, ["tree", "parent"])
+    none = {"over": F.array().cast(_WAY), "over_root": F.lit(None).cast("binary")}
+    tops = nodes.filter("parent is null").withColumn("parent_copies", F.lit(None).cast("long"))
+    tops = tops.withColumns(none) if above is None else tops.join(above, "tree")
+    stored = inner.withColumns(none).unionByName(tops)
+    stored = stored.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1))).drop("served")
+    empty, more = (f"cast(array() as {_WAY})", "concat(proof, way)") if way else (
+        "cast('' as binary)", "aggregate(way, proof, (p, s) -> concat(p, coalesce(s.sibling, cast('' as binary))))"
+    )
     climb = f"""
       with recursive climb(row, key, leaf, folded, proof, subroot, root, tree, node, copy, at) as (
-        select row, key, leaf, folded, cast('' as binary), cast(null as binary), cast(null as binary),
-          tree, node, 0L, at
+        select row, key, leaf, folded, {empty}, cast(null as binary), cast(null as binary), tree, node, 0L, at
         from {{starts}}
         union all
         select row, key, leaf,
           aggregate(way, folded, (h, s) -> unhex(sha2(lower(concat(
             if(s.before, hex(s.sibling), ''), hex(h), if(s.before, '', coalesce(hex(s.sibling), '')))), 256))),
-          aggregate(way, proof, (p, s) -> concat(p, coalesce(s.sibling, cast('' as binary)))),
-          if(parent_tree <=> tree, subroot, coalesce(subroot, top)), if(parent is null, top, root),
-          parent_tree, parent, pmod(row, parent_copies), parent_at
+          {more}, if(parent is null, top, null), if(parent is null, coalesce(over_root, top), null),
+          if(parent is null, null, tree), parent, pmod(row, parent_copies), parent_at
         from (
-          select c.row, c.key, c.leaf, c.folded, c.proof, c.subroot, c.root, c.tree, n.parent_tree, n.parent,
-            n.parent_copies, n.at parent_at, element_at(n.nodes, -1)[0] top,
-            transform(slice(n.nodes, 1, size(n.nodes) - 1), (level, k) -> struct(
-              get(level, shiftright(c.at, k) ^ 1) as sibling, shiftright(c.at, k) % 2 = 1 as before)) way
+          select c.row, c.key, c.leaf, c.folded, c.proof, c.tree, n.parent, n.parent_copies, n.at parent_at, n.over_root,
+            element_at(n.nodes, -1)[0] top,
+            concat(transform(slice(n.nodes, 1, size(n.nodes) - 1), (level, k) -> struct(
+              get(level, shiftright(c.at, k) ^ 1) as sibling, shiftright(c.at, k) % 2 = 1 as before)), n.over) way
           from climb c join {{nodes}} n on c.tree = n.tree and c.node = n.node and c.copy = n.copy
         )
       )
@@ -167,7 +171,7 @@ def _climbed(spark, starts: DataFrame, nodes: DataFrame) -> DataFrame:
     before = spark.conf.get(limit, None)
     spark.conf.set(limit, "-1")
     try:
-        return staged(spark.sql(climb, starts=starts, nodes=stored), "merkle-proofs")
+        return staged(spark.sql(climb, starts=starts, nodes=staged(stored, "merkle-nodes")), "merkle-proofs")
     finally:
         if before is None:
             spark.conf.unset(limit)
@@ -180,7 +184,8 @@ def manifest(rows: DataFrame, levels: int = LEVELS) -> DataFrame:
 
     ``start`` is the hash that is folded along the siblings of the row's leaf, null for the leaf itself.
     """
-    spark, wide = rows.sparkSession, 1 << levels
+    wide = 1 << levels
+    first = [F.expr(f"place div {wide}").alias("node"), (F.col("place") % wide).cast("int").alias("at")]
     # Null before every name. Row numbers are stored before anything is ordered by them, so a retry has the same.
     group = F.coalesce(F.concat(F.lit("1"), F.col("group").cast("string")), F.lit("0"))
     leaves = staged(
@@ -189,23 +194,19 @@ def manifest(rows: DataFrame, levels: int = LEVELS) -> DataFrame:
     groups = _numbered(leaves.select("group").distinct().withColumn("all", F.lit(0)), "all", ["group"])
     groups = staged(groups.select("group", F.col("place").alias("tree"), F.col("n").alias("trees")), "merkle-groups")
     numbered = staged(_numbered(leaves, "group", ["key", "leaf", "row"], groups), "merkle-places")
-    built, tops = _node_rows(
-        numbered.select("tree", "place", "n", F.col("leaf").alias("h"), F.lit(1).cast("long").alias("served")), levels, False
-    )
-    tops = tops.join(groups, "tree").select(
-        F.lit(_TOP).cast("long").alias("tree"), F.col("tree").alias("place"), F.col("trees").alias("n"), "h", "served"
-    )
-    over, _ = _node_rows(tops, levels, True)
-    starts = numbered.select(
-        "row",
-        "key",
-        "leaf",
-        F.coalesce("start", "leaf").alias("folded"),
-        "tree",
-        F.expr(f"place div {wide}").alias("node"),
-        (F.col("place") % wide).cast("int").alias("at"),
+    built, tops = _node_rows(numbered.select("tree", "place", "n", F.col("leaf").alias("h")), levels)
+    # One tree over all groups, in which a group's place is its number.
+    tops = staged(
+        tops.join(groups, "tree").select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("place"), F.col("trees").alias("n"), "h"),
+        "merkle-tops",
     )
-    return _climbed(spark, starts, built.unionByName(over)).drop("row")
+    over, _ = _node_rows(tops, levels)
+    place = F.col("place")
+    starts = tops.select(place.alias("row"), place.alias("key"), F.col("h").alias("leaf"), F.col("h").alias("folded"), "tree", *first)
+    above = _climbed(starts, over, None, way=True)
+    above = above.select(F.col("key").alias("tree"), F.col("proof").alias("over"), F.col("root").alias("over_root"))
+    starts = numbered.select("row", "key", "leaf", F.coalesce("start", "leaf").alias("folded"), "tree", *first)
+    return _climbed(starts, built, above).drop("row")
 
 
 def tampered(doc_id: Column) -> Column:
