@@ -16,7 +16,7 @@ are ignored, or carried by ``mix``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
@@ -65,17 +65,22 @@ def targets(cells: DataFrame, margin: str, exponent: float = 1.0, shares: dict[s
 
 
 def rake(cells: DataFrame, wanted: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """The cells with ``share``: fitted to every marginal in turn. Each round is written, so plans stay short."""
+    """The cells with ``share``: fitted to every marginal in turn.
+
+    The targets are joined once; a marginal is then a sum over the cells that share a value. Each round is written, so
+    plans stay short.
+    """
     out = cells.withColumn("share", F.col("tokens").cast("double"))
+    for margin, target in wanted.items():
+        out = out.join(target.withColumnRenamed("target", f"{margin}_target"), margin, "left")
+    out = staged(out, "mix-round")
     for _ in range(rounds):
-        for margin, target in wanted.items():
-            present = out.groupBy(margin).agg(F.sum("share").alias("present"))
-            factor = present.join(target, margin).filter("present > 0")
-            factor = factor.select(margin, (F.col("target") / F.col("present")).alias("factor"))
-            scaled = F.col("share") * F.coalesce("factor", F.lit(0.0))
-            out = out.join(factor, margin, "left").withColumn("share", scaled).drop("factor")
+        for margin in wanted:
+            present = F.sum("share").over(Window.partitionBy(margin))
+            scaled = F.col("share") * F.col(f"{margin}_target") / F.nullif(present, F.lit(0.0))
+            out = out.withColumn("share", F.coalesce(scaled, F.lit(0.0)))
         out = staged(out, "mix-round")
-    return out
+    return out.drop(*(f"{margin}_target" for margin in wanted))
 
 
 def calibrated(cells: DataFrame, budget: float = BUDGET) -> DataFrame:
