@@ -14,11 +14,12 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypanel.operators import encode, impute, metrics, scoring, sequences, vocabulary
+from daypanel.operators import encode, impute, label_model, metrics, scoring, sequences, vocabulary
 from daypanel.plans.flow import VOCABULARY, BaseRelations, Flow
 from daypanel.session import build_session, size_shuffles
 from daypanel.sources.tables import StageStore, write_csv
 
+LABEL_MODEL = "label model"
 MODEL_NAMES = {"rnn": "cross-attention RNN", "lstm": "cross-attention LSTM", "gru": "cross-attention GRU"}
 
 
@@ -47,6 +48,23 @@ def prepare(store: StageStore, relations: BaseRelations, n_drugs: int = VOCABULA
     return flow
 
 
+def learn(store: StageStore, flow: Flow, passes: int = label_model.PASSES, patience: int | None = label_model.PATIENCE) -> DataFrame:
+    """Train the label model on the stored sequences, score the test admissions and append the run report.
+
+    The weights are a stage, so they can be read by a later run.
+    """
+    start = time.monotonic()
+    n_labels, n_features = flow.n_drugs, len(flow.layout.names)
+    steps = store.read("sequences").select("hadm_id", F.inline("steps"))
+    vectors = label_model.step_vectors(steps, n_labels)
+    learned = label_model.train(vectors, n_labels, n_labels, n_features, passes, patience)
+    store.write("label_weights", learned.weights)
+    scored = label_model.score(vectors.filter("split = 'test'"), learned, n_labels, n_labels, n_features)
+    scored = store.write("scored_label_model", scored)
+    store.append("reports", metrics.run_report(scored, LABEL_MODEL, time.monotonic() - start))
+    return scored
+
+
 def score(
     store: StageStore,
     cell: str,
@@ -68,13 +86,11 @@ def score(
 
 
 def run(spark: SparkSession, base_dir: str, out_dir: str, n_drugs: int = VOCABULARY) -> None:
+    """Base relations to reports. Networks are not scored here, since their weights come from outside: see ``score``."""
     store = StageStore(spark, out_dir)
     relations = BaseRelations(spark, base_dir)
     size_shuffles(spark, relations.prescriptions, *relations.events)
-    flow = prepare(store, relations, n_drugs)
-    n_features = len(flow.layout.names)
-    for cell in MODEL_NAMES:
-        score(store, cell, scoring.random_weights(cell, n_drugs, n_features), n_drugs, n_features)
+    learn(store, prepare(store, relations, n_drugs))
 
 
 if __name__ == "__main__":

@@ -10,6 +10,7 @@ import re
 
 from daypanel.operators import registry as R
 from daypanel.operators.impute import NEIGHBOURS
+from daypanel.plans.oracle_learning import learning_parts, learning_queries, vector_parts, vector_queries
 from daypanel.plans.oracle_network import network_query
 from daypanel.plans.settings import BLOCK_ROWS, LINE_DRUGS, N_DRUGS, PAD_STEPS, SCORED_STEPS
 from daypanel.sources.schemas import CATEGORIES, SIGNAL_ORDER, STATIC_ORDER
@@ -181,7 +182,7 @@ CTES = {
     "listed": "select * from tidy where hadm_id in (select hadm_id from aligned)",
     "n_dummies": " union all ".join(f"select count(distinct {c}) as n from listed" for c in CATEGORIES),
     "pairs": f"""select a.hadm_id, a.startdate, b.hadm_id as other, b.startdate as other_day,
-        {', '.join(f'a.{s} as own_{s}, b.{s} as {s}' for s in LIVE)},
+        {', '.join(f'a.{s} as own_{s}, b.{s} as {s}' for s in [*LIVE, "hospital_expire_flag"])},
         greatest(1e-6, ({' + '.join(_GAPS)})
           / ({' + '.join(_SHARED)} + 3 + (select sum(n) from n_dummies))) as distance
         from knn_rows a join knn_rows b on a.block = b.block
@@ -191,7 +192,7 @@ CTES = {
             select * from pairs where own_{s} is null and {s} is not null
             qualify row_number() over (partition by hadm_id, startdate order by distance, other, other_day)
               <= {NEIGHBOURS}) group by hadm_id, startdate"""
-        for s in LIVE
+        for s in [*LIVE, "hospital_expire_flag"]
     },
     "imputed": f"""select k.hadm_id, k.startdate,
         {', '.join(f'round(coalesce(k.{s}, n_{s}.mean, 0), 6) as {s}' for s in LIVE)}
@@ -335,6 +336,9 @@ QUERIES = {
         as soft_jaccard_loss from scored""",
 }
 
+_TEST = f"{_hash('cast(hadm_id as varchar)')} % 100 < 25"
+CTES |= vector_parts(LIVE) | learning_parts(_TEST)
+QUERIES |= vector_queries() | learning_queries()
 
 for _cell in ("rnn", "lstm", "gru"):
     _parts, QUERIES[f"score_{_cell}"] = network_query(_cell)

@@ -413,6 +413,80 @@ def dual_sequence(spark, sf_dir):
     )
 
 
+# Whole feature vectors, as text: place and value, in millionths, of every feature that is not 0
+
+
+def _vector_text(features: Column) -> Column:
+    cells = F.transform(
+        features, lambda v, place: F.struct(place.alias("place"), F.round(v * 1000000).cast("bigint").alias("value"))
+    )
+    shown = F.filter(cells, lambda cell: cell["value"] != 0)
+    return F.array_join(F.transform(shown, lambda c: F.concat_ws(":", c["place"].cast("string"), c["value"].cast("string"))), ",")
+
+
+@query
+def imputed_features(spark, sf_dir):
+    return flow(spark, sf_dir).imputed.select(*KEYS, _vector_text(F.col("features")).alias("features"))
+
+
+@query
+def matrix_features(spark, sf_dir):
+    matrix = flow(spark, sf_dir).matrix
+    return matrix.select(*KEYS, _vector_text(F.col("features")).alias("features"), _listed(F.col("drugs")).alias("drugs"))
+
+
+@query
+def sequence_features(spark, sf_dir):
+    def along(of) -> Column:
+        return F.array_join(F.transform("steps", of), "|")
+
+    return flow(spark, sf_dir).sequences.select(
+        "hadm_id",
+        F.size("steps").alias("n_steps"),
+        along(lambda s: _listed(s["drugs"])).alias("drugs"),
+        along(lambda s: _listed(s["label"])).alias("labels"),
+        along(lambda s: _vector_text(s["features"])).alias("features"),
+    )
+
+
+def _padded_features(spark, sf_dir, as_int: bool) -> DataFrame:
+    f = flow(spark, sf_dir)
+    padded = S.pad_truncate(f.sequences, len(f.layout.names), P.PAD_STEPS, as_int)
+    cells = padded.select("hadm_id", F.posexplode(F.arrays_zip("drugs", "features", "labels")).alias("at", "cell"))
+    return cells.select(
+        "hadm_id",
+        (F.col("at") + 1).alias("position"),
+        _listed(F.col("cell.drugs")).alias("drugs"),
+        _listed(F.col("cell.labels")).alias("labels"),
+        _vector_text(F.col("cell.features")).alias("features"),
+    )
+
+
+@query
+def padded_features(spark, sf_dir):
+    return _padded_features(spark, sf_dir, as_int=False)
+
+
+@query
+def padded_features_whole(spark, sf_dir):
+    return _padded_features(spark, sf_dir, as_int=True)
+
+
+@query
+def dual_features(spark, sf_dir):
+    f = flow(spark, sf_dir)
+    padded = S.pad_truncate(f.sequences, len(f.layout.names), P.SCORED_STEPS)
+    dual = S.dual_sequence(padded, P.N_DRUGS)
+    cells = dual.select("hadm_id", F.posexplode(F.arrays_zip("seqx1", "seqx2", "y")).alias("at", "cell"))
+    return cells.select(
+        "hadm_id",
+        (F.col("at") + 1).alias("position"),
+        _bits(F.col("cell.seqx1")).alias("seqx1"),
+        _bits(F.col("cell.y")).alias("y"),
+        _vector_text(F.col("cell.seqx2")).alias("features"),
+    )
+
+
 # Metrics, on the true next-day labels and scores made by a hash
 
 
@@ -513,9 +587,30 @@ def score_gru(spark, sf_dir):
     return _scored(spark, sf_dir, "gru")
 
 
+def _learned(spark, sf_dir, passes: int, patience: int | None) -> tuple[DataFrame, label_model.Learned, tuple[int, int, int]]:
+    f = flow(spark, sf_dir)
+    sizes = (P.N_DRUGS, P.N_DRUGS, len(f.layout.names))
+    vectors = label_model.step_vectors(f.steps, P.N_DRUGS)
+    return vectors, label_model.train(vectors, *sizes, passes=passes, patience=patience), sizes
+
+
 @query
 def label_model_scores(spark, sf_dir):
-    scored = label_model.label_model(flow(spark, sf_dir).steps, range(P.TOP_LABELS), P.N_DRUGS)
+    """Scores of all labels for the test admissions after a fixed number of passes from zero weights."""
+    vectors, learned, sizes = _learned(spark, sf_dir, P.LEARN_PASSES, None)
+    scored = label_model.score(vectors.filter("split = 'test'"), learned, *sizes)
     return scored.select("hadm_id", "step", F.posexplode(F.arrays_zip("truth", "score")).alias("place", "cell")).select(
         "hadm_id", "step", "place", F.col("cell.truth").alias("truth"), F.round("cell.score", 4).alias("score")
     )
+
+
+@query
+def early_stopping(spark, sf_dir):
+    """The monitor after each pass, which passes raised it, and the one whose weights are kept."""
+    _, learned, _ = _learned(spark, sf_dir, P.STOP_PASSES, P.LEARN_PATIENCE)
+    rows, highest = [], -1.0
+    for step, loss, jaccard in learned.history:
+        rows.append((step, loss, jaccard, jaccard > highest, step == learned.kept))
+        highest = max(highest, jaccard)
+    passes = spark.createDataFrame(rows, "step int, loss double, jaccard double, better boolean, kept boolean")
+    return passes.withColumns({"loss": F.round("loss", 6), "jaccard": F.round("jaccard", 8)})

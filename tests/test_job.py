@@ -80,6 +80,16 @@ def test_scoring_and_reports_append(spark, done):
     assert all(0 <= r.jaccard <= 1 and 0 <= r.lrap <= 1 for r in reports)
 
 
+def test_learning_reports_append(done):
+    store, flow = done
+    before = store.read("reports").count()
+    scored = job.learn(store, flow, passes=3, patience=None)
+    assert store.read("label_weights").count() == 40 * (1 + 40 + len(flow.layout.names))
+    steps = store.read("sequences").filter("split = 'test'").select(F.explode("steps")).count()
+    assert scored.count() == steps
+    assert store.read("reports").count() == before + 1
+
+
 def test_blank_cells_are_null(spark, tmp_path):
     (tmp_path / "x.csv").write_text("hadm_id,num\n1,\n2,5\n")
     rows = tables.read_csv(spark, str(tmp_path / "x.csv"), schemas.ADMISSION_DAYS).orderBy("hadm_id").collect()

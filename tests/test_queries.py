@@ -11,7 +11,6 @@ import __spark_entry__ as contract
 
 QUERIES = {k: f for k, f in contract.queries().items() if k not in contract.TEXT_QUERIES}  # tests/llm has those
 ORACLE = {k: q for k, q in contract.oracle_sql().items() if k not in contract.TEXT_QUERIES}
-ROWS_ONLY = {"label_model_scores"}
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +23,7 @@ def duck(sf_dir):
 
 
 def test_what_has_no_oracle():
-    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY and set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -38,17 +37,11 @@ def test_equal_rows(spark, sf_dir, duck, name):
     assert rows == wanted and sum(rows.values()) > 0
 
 
-@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
-def test_rows_only(spark, sf_dir, name):
-    rows = QUERIES[name](spark, sf_dir).collect()
-    assert rows and all(r[name] is not None for r in rows for name in ("hadm_id", "step"))
-
-
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"label_model_scores"}))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_nested_loops(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
     assert "CartesianProduct" not in text and "NestedLoop" not in text

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,7 +83,8 @@ def test_goldens(readings):
     wrong = []
     for k, (name, item, text, expected) in enumerate(rows()):
         seen = got.get(k, (name, GONE))
-        if seen != (name, expected):
+        exact = Decimal(str(expected)) if isinstance(expected, (int, float)) else expected
+        if seen != (name, exact):
             wrong.append((name, item, text, expected, seen))
     assert not wrong
 

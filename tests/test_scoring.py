@@ -79,6 +79,8 @@ def test_label_model_learns_a_plain_rule(spark):
     """Drug 0 today means label 1 tomorrow."""
     rows = [(h, s, [0] if (h + s) % 2 else [1], [float(s)], [1] if (h + s) % 2 else [0]) for h in range(80) for s in range(1, 5)]
     steps = spark.createDataFrame(rows, "hadm_id bigint, step int, drugs array<int>, features array<double>, label array<int>")
-    scored = label_model.label_model(steps, [0, 1], 2)
+    vectors = label_model.step_vectors(steps, 2)
+    learned = label_model.train(vectors, 2, 2, 1, passes=30, patience=None)
+    scored = label_model.score(vectors.filter("split = 'test'"), learned, 2, 2, 1)
     assert 0 < scored.select("hadm_id").distinct().count() < 80
     assert metrics.jaccard(scored).first()[0] == 1.0
