@@ -6,24 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-WHOLE = "decimal(38,0)"
-_SMALL = 10**17  # twice a total below this, and a count, fit into 64 bits
-
-
 def rounded_quotient(total: Column, count: Column) -> Column:
-    """``total / count`` rounded half away from zero, as decimal(38,0); null when there is nothing to divide by.
+    """``total / count`` of longs, rounded half away from zero; null when there is nothing to divide by.
 
-    Totals of up to 17 digits, nearly all of them, are divided in 64 bits. For longer ones the remainder is taken off
-    first, so the division of decimals has no places behind the point to round.
+    Twice the total must fit into 64 bits.
     """
     n = F.nullif(count.cast("bigint"), F.lit(0).cast("bigint"))
-    small = F.when(F.abs(total) < _SMALL, total).cast("bigint")
-    shift = F.when(small >= 0, n).otherwise(-n)
-    quick = F.call_function("div", small * 2 + shift, n * 2)
-    twice = (F.abs(total.cast(WHOLE)) * 2).cast(WHOLE) + n
-    whole = ((twice.cast(WHOLE) - twice.cast(WHOLE) % (n * 2)).cast(WHOLE) / (n * 2)).cast(WHOLE)
-    exact = F.when(total >= 0, whole).otherwise(-whole)
-    return F.when(F.abs(total) < _SMALL, quick.cast(WHOLE)).otherwise(exact)
+    return F.call_function("div", total * 2 + F.when(total >= 0, n).otherwise(-n), n * 2)
 
 
 def bucket_hash(key: Column) -> Column:

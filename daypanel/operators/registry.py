@@ -18,18 +18,13 @@ PERCENT = "percent"  # a fraction written ".5" or ".25" becomes 50 or 25
 # The text shapes the readings are known to take.
 NUMERIC_TEXT = r"^([0-9]+[.]?[0-9]*|[.][0-9]+)\z"
 PLAIN_TEXT = r"^[0-9]+([.][0-9]*)?\z"  # what nearly every reading looks like
+SHORT_TEXT = r"^[0-9]{1,7}([.][0-9]*)?\z"  # plain, and fewer than 10^9 units at any scale
 UPPER_BOUND = "GREATER THAN "
 GLUCOSE_MARKS = ("cs", "fs", "\\")
 CELSIUS_ITEMS = (223762, 676)
 HEIGHT_ITEM = 226730
 WEIGHT_ITEM = 3693
 
-# Longer whole parts are no readings and are counted as rejected. Up to here a sum of units is exact in the 38 digits
-# of a decimal for a million readings per admission, day and signal, even if all of them were that long; a sum beyond
-# that stops the job.
-DIGITS = 30
-
-
 @dataclass(frozen=True)
 class Signal:
     """One output column of the panel.

@@ -1,7 +1,8 @@
 """Readings: extraction, text cleaning, mean fill and daily means.
 
-A reading is carried as a whole number of ``units``: the value times 10**scale of its signal, as decimal(38,0). Sums of
-units are exact, so every later mean is one division and does not depend on the order in which tasks add up.
+A reading is carried as a whole number of units: the value times 10**scale of its signal. Up to nine digits, nearly all
+readings, are a long in ``units``; longer ones, of any length, are digits in ``long_units``, and are added up limb by limb.
+Sums of units are exact, so every later mean is one division and does not depend on the order in which tasks add up.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daypanel.functions.numbers import WHOLE, rounded_quotient
+from daypanel.functions import limbs
+from daypanel.functions.numbers import rounded_quotient
 from daypanel.operators import registry as R
 from daypanel.sources.schemas import KEYS
 
@@ -19,7 +21,14 @@ NO_SIGNAL = -1  # stands for "this day is on the spine"
 
 _SLOTS = max(len(spec.rules) for spec in R.SIGNALS)
 _FENCE = "\u0003"
-_SHORT = 10**9
+_SHORT_DIGITS = 9
+_LONG_FAHRENHEIT = limbs.rounded_quotient_text(
+    f"concat(transform({limbs.pieces('_digits')}, x -> {limbs.limb('x.limb', 'x.piece * 18BD')}), array({limbs.limb('0', '320')}))",
+    "10",
+)
+#: All limbs of a tally: the sum of the short readings belongs to limb 0.
+_SUM = f"concat(array({limbs.limb('0', 'coalesce(total, 0)')}), long_limbs)"
+_STAY_SUM = f"concat(array({limbs.limb('0', 'coalesce(_stay_total, 0)')}), _stay_limbs)"
 _KEEP = "keep"
 _DROPPING = [code for code, spec in enumerate(R.SIGNALS) if spec.drop_missing]
 _DROPPING_CONSTANTS = [
@@ -99,29 +108,29 @@ def _without_marks(value: Column) -> Column:
 
 
 def clean_units(tagged: DataFrame, strict: bool = False) -> DataFrame:
-    """Add ``units`` to tagged readings, without the readings whose signal does not keep missing values.
+    """Add ``units`` and ``long_units`` to tagged readings, without those whose signal does not keep missing values.
 
     A text that is no number after its rules gives null, or an error with ``strict``. What is dropped is decided on the
     raw text: a filter on ``units`` would be pushed down by copying all of the cleaning into the filter.
     """
     text = _without_marks(F.col("value"))
-    number = text.rlike(R.NUMERIC_TEXT) & text.try_cast(f"decimal({R.DIGITS},0)").isNotNull()
-    usable = number | text.isin(*_DROPPING_CONSTANTS)
+    usable = text.rlike(R.NUMERIC_TEXT) | text.isin(*_DROPPING_CONSTANTS)
     return with_units(tagged.filter(~F.col("signal").isin(_DROPPING) | usable), strict)
 
 
 def with_units(tagged: DataFrame, strict: bool = False) -> DataFrame:
-    """Add ``units`` and keep every reading.
+    """Add ``units`` and ``long_units``, one of them null, and keep every reading.
 
     The rules come as columns of a broadcast table, so the generated code holds one short chain of searches instead of
-    one chain per signal. No rule of any signal matches digits that start with a digit, so such texts, nearly all of
-    them, pass after one test; only the others are folded, fenced and searched.
+    one chain per signal. No rule of any signal matches digits that start with a digit, so short texts of that kind,
+    nearly all of them, pass after one test and are read as small decimals; only the others are folded, fenced and
+    searched, and only what is not short after its rule is taken apart digit by digit.
     """
     text, fenced = F.col("_text"), F.col("_fenced")
     ruled = tagged.join(F.broadcast(rule_table(tagged)), "signal").withColumn(
         "_text", F.when(F.col("_marked"), _without_marks(F.col("value"))).otherwise(F.col("value"))
     )
-    odd = F.when(~text.rlike(R.PLAIN_TEXT), F.concat(F.lit(_FENCE), F.lower(text), F.lit(_FENCE)))
+    odd = F.when(~text.rlike(R.SHORT_TEXT), F.concat(F.lit(_FENCE), F.lower(text), F.lit(_FENCE)))
     hit = F.when(fenced.isNull(), F.lit(_KEEP))
     for k in range(_SLOTS):
         hit = hit.when(fenced.contains(F.col(f"_needle_{k}")), F.col(f"_outcome_{k}"))
@@ -137,29 +146,39 @@ def with_units(tagged: DataFrame, strict: bool = False) -> DataFrame:
         .otherwise(outcome)
     )
 
-    def units(scale: int) -> Column:
-        kind = f"decimal({R.DIGITS + scale},{scale})"
-        number = F.col("_settled").cast(kind) if strict else F.col("_settled").try_cast(kind)
-        return (number * 10**scale).cast(WHOLE)
+    kept, scale, number = F.col("_settled"), F.col("_scale"), F.col("_number")
+    whole = kept.try_cast("decimal(8,0)").cast("bigint")
+    hundredths = (kept.try_cast("decimal(10,2)") * 100).cast("bigint")
+    quick = F.when(scale == 0, whole).otherwise(hundredths)
+    digits = F.expr(limbs.rounded_units("_settled", "_scale"))
+    if strict:  # the cast of a text that is no number raises
+        fine = kept.isNull() | F.expr(limbs.is_number("_settled"))
+        digits = F.when(fine, digits).otherwise(kept.cast("decimal(38,2)").cast("string"))
+    long = F.col("_digits")
+    is_long = F.length(long) > _SHORT_DIGITS
 
-    number = F.when(F.col("_scale") == 0, units(0)).otherwise(units(2))
     # After rounding: Celsius to Fahrenheit, rounded again, and a fraction of one written as "1" is the full percentage.
     celsius = F.col("itemid").isin(*R.CELSIUS_ITEMS)
-    one = (F.col("signal") == R.CODE_OF["fio2"]) & (F.col("_number") == 1)
-    final = (
-        F.when(celsius, rounded_quotient((F.col("_number") * 18 + 320).cast(WHOLE), F.lit(10)))
-        .when(one, F.lit(100).cast(WHOLE))
-        .otherwise(F.col("_number"))
-    )
+    one = (F.col("signal") == R.CODE_OF["fio2"]) & (number == 1)
+    fahrenheit = rounded_quotient(number * 18 + 320, F.lit(10))
+    final = F.when(celsius, fahrenheit).when(one, F.lit(100).cast("bigint")).otherwise(number)
     return (
         ruled.withColumn("_fenced", odd)
         .withColumn("_hit", hit)
         .withColumn("_settled", settled)
-        .withColumn("_number", number)
-        .select(*tagged.columns, final.alias("units"))
+        .withColumn("_quick", F.coalesce(F.col("_fenced").isNull() | kept.rlike(R.SHORT_TEXT), F.lit(False)))
+        .withColumn("_digits", F.when(~F.col("_quick"), digits))
+        .withColumn("_number", F.when(F.col("_quick"), quick).when(~is_long, long.cast("bigint")))
+        .withColumn("_long", F.when(is_long & celsius, F.expr(_LONG_FAHRENHEIT)).when(is_long, long))
+        .select(*tagged.columns, final.alias("units"), F.col("_long").alias("long_units"))
     )
 
 
+def in_doubles(units: Column, long_units: Column, signal: Column) -> Column:
+    """The value of a reading."""
+    return F.coalesce(units.cast("double"), long_units.cast("double")) / unit_size(signal).cast("double")
+
+
 def unit_size(signal: Column) -> Column:
     """Units per one, from the scale of the signal."""
     whole = [code for code, spec in enumerate(R.SIGNALS) if spec.scale == 0]
@@ -170,65 +189,109 @@ def signal_name(signal: Column) -> Column:
     return F.element_at(F.array(*[F.lit(spec.name) for spec in R.SIGNALS]), signal + 1)
 
 
-def reading_tally(cleaned: DataFrame, keys: Iterable[str] = ("hadm_id", "startdate", "signal")) -> DataFrame:
-    """Sum of units, readings with and without a value per key. Partial sums are made before the shuffle.
+def _limb_tally(cleaned: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """Per key and limb the sum of the pieces of long readings, and with limb 0 what there is of the others.
 
-    Units below ``_SHORT``, nearly all of them, are added in 64 bits, which hold a billion of them; the others as
-    decimals. The total is the exact sum of both.
+    Short units add up in 64 bits, which hold a billion of them; only a long reading becomes several rows. Partial sums are
+    made before the shuffle.
     """
-    units = F.col("units")
-    short = F.when(F.abs(units) < _SHORT, units).cast("bigint")
-    long = F.when(F.abs(units) >= _SHORT, units)
-    both = [F.coalesce(F.sum(part).cast(WHOLE), F.lit(0).cast(WHOLE)) for part in (short, long)]
-    return cleaned.groupBy(*keys).agg(
-        F.when(F.count(units) > 0, (both[0] + both[1]).cast(WHOLE)).alias("total"),
-        F.count("units").alias("n_valued"),
-        F.count_if(F.col("units").isNull() & ~F.col("signal").isin(_DROPPING)).alias("n_missing"),
+    units, long, cut = F.col("units"), F.col("long_units"), F.col("_cut.limb")
+    return (
+        cleaned.select("*", F.explode_outer(F.expr(limbs.pieces("long_units"))).alias("_cut"))
+        .groupBy(*keys, F.coalesce(cut, F.lit(0)).alias("limb"))
+        .agg(
+            F.sum(units).alias("total"),
+            F.sum("_cut.piece").cast("decimal(38,0)").alias("piece"),
+            (F.count(units) + F.count_if(cut == 0)).alias("n_valued"),
+            F.count_if(units.isNull() & long.isNull() & ~F.col("signal").isin(_DROPPING)).alias("n_missing"),
+        )
     )
 
 
+def _limbs_over(window) -> Column:
+    """The limbs of the long readings of all rows of a window; none where every reading is short."""
+    return F.collect_list(F.when(F.col("piece").isNotNull(), F.struct("limb", "piece"))).over(window)
+
+
+def reading_tally(cleaned: DataFrame, keys: Iterable[str] = ("hadm_id", "startdate", "signal")) -> DataFrame:
+    """Sum of units, readings with and without a value per key.
+
+    The sum is ``total`` for the short readings and, where there are long ones, ``long_limbs``; see ``tally_digits``.
+    """
+    keys = list(keys)
+    rows = _limb_tally(cleaned, keys).withColumn("long_limbs", _limbs_over(Window.partitionBy(*keys)))
+    return rows.filter("limb = 0").select(*keys, "total", "long_limbs", "n_valued", "n_missing")
+
+
+def tally_digits(tally: DataFrame) -> DataFrame:
+    """``reading_tally`` with ``digits``, the sum, and ``rounded_mean``, the mean rounded to whole units, as text."""
+    total, short = F.col("total"), F.size("long_limbs") == 0
+    long = [F.expr(limbs.total_text(_SUM)), F.expr(limbs.rounded_quotient_text(_SUM, "n_valued"))]
+    quick = [total, rounded_quotient(total, F.col("n_valued"))]
+    digits, mean = (F.when(short, q.cast("string")).otherwise(slow) for q, slow in zip(quick, long))
+    return tally.withColumns({"digits": digits, "rounded_mean": mean})
+
+
 def spine_tally(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
-    """The tally of readings on spine days with ``fill``, the admission's mean of the signal rounded to its scale.
+    """The tally of readings on spine days with the admission's mean of the signal rounded to its scale.
 
-    Every spine day also has one row with signal ``NO_SIGNAL``, readings or not. The spine comes in as such rows of the
-    same table instead of through a join, so that one exchange by admission serves the restriction to spine days, the
-    fill, and whatever is grouped or joined by admission or by day afterwards. An admission has at most one row per
-    calendar day and signal here, however many readings it has, which bounds the window partitions.
+    The mean is ``fill``, or digits in ``long_fill`` for a stay with long readings. Every spine day also has one row with
+    signal ``NO_SIGNAL``, readings or not. The spine comes in as such rows of the same table instead of through a join, so
+    that one exchange by admission serves the restriction to spine days, the fill, and whatever is grouped or joined by
+    admission or by day afterwards. An admission has at most one row per calendar day and signal here, and a few more for
+    long readings, however many readings it has, which bounds the window partitions.
     """
     nothing = F.lit(0).cast("bigint")
     days = spine.select(
         *KEYS,
         F.lit(NO_SIGNAL).alias("signal"),
-        F.lit(None).cast(WHOLE).alias("total"),
+        F.lit(0).alias("limb"),
+        F.lit(None).cast("bigint").alias("total"),
+        F.lit(None).cast("decimal(38,0)").alias("piece"),
         nothing.alias("n_valued"),
         nothing.alias("n_missing"),
     )
-    day, stay = Window.partitionBy(*KEYS), Window.partitionBy("hadm_id", "signal")
+    cell, day, stay = Window.partitionBy(*KEYS, "signal"), Window.partitionBy(*KEYS), Window.partitionBy("hadm_id", "signal")
+    short, mean = F.size("_stay_limbs") == 0, rounded_quotient(F.col("_stay_total"), F.col("_stay_valued"))
     return (
-        reading_tally(cleaned)
+        _limb_tally(cleaned, [*KEYS, "signal"])
         .unionByName(days)
         .repartition("hadm_id")
-        .withColumn("_on_spine", F.max(F.col("signal") == NO_SIGNAL).over(day))
+        .withColumns({"long_limbs": _limbs_over(cell), "_on_spine": F.max(F.col("signal") == NO_SIGNAL).over(day)})
         .filter("_on_spine")
-        .drop("_on_spine")
-        .withColumn("fill", rounded_quotient(F.sum("total").over(stay), F.sum("n_valued").over(stay)))
+        .withColumns(
+            {
+                "_stay_total": F.sum("total").over(stay),
+                "_stay_valued": F.sum("n_valued").over(stay),
+                "_stay_limbs": _limbs_over(stay),
+            }
+        )
+        .filter("limb = 0")
+        .withColumns(
+            {
+                "fill": F.when(short, mean),
+                "long_fill": F.when(~short, F.expr(limbs.rounded_quotient_text(_STAY_SUM, "_stay_valued"))),
+            }
+        )
+        .select(*KEYS, "signal", "total", "long_limbs", "n_valued", "n_missing", "fill", "long_fill")
     )
 
 
-def mean_after_fill(total: Column, n_valued: Column, n_missing: Column, fill: Column, size: Column) -> Column:
-    """Mean of a day in which every missing reading counts as ``fill``; null when the admission has no value at all."""
-    none = F.lit(0).cast(WHOLE)
-    filled = F.coalesce(total, none) + F.when(n_missing > 0, (n_missing * fill).cast(WHOLE)).otherwise(none)
-    n = n_valued + n_missing
-    return F.when(n > 0, filled.cast("double") / (n * size).cast("double"))
+def mean_after_fill(tally: DataFrame) -> Column:
+    """Mean of a day in which every missing reading counts as the fill; null when the admission has no value at all."""
+    total, missing, fill = (F.coalesce(tally[name], F.lit(0).cast("bigint")) for name in ("total", "n_missing", "fill"))
+    size, n = unit_size(tally["signal"]), tally["n_valued"] + missing
+    fills = f"transform({limbs.pieces('long_fill')}, x -> {limbs.limb('x.limb', 'x.piece * n_missing')})"
+    long = F.expr(limbs.total_text(f"concat({_SUM}, {fills})")).cast("double")
+    filled = F.when(tally["long_fill"].isNotNull(), long).otherwise((total + missing * fill).cast("double"))
+    known = tally["fill"].isNotNull() | tally["long_fill"].isNotNull()
+    return F.when((n > 0) & known, filled / (n * size).cast("double"))
 
 
 def spine_means(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
     """Mean per (admission, day, signal) on spine days, missing readings filled first; keeps the ``NO_SIGNAL`` rows."""
-    mean = mean_after_fill(
-        F.col("total"), F.col("n_valued"), F.col("n_missing"), F.col("fill"), unit_size(F.col("signal"))
-    )
-    return spine_tally(cleaned, spine).select(*KEYS, "signal", mean.alias("mean"))
+    tally = spine_tally(cleaned, spine)
+    return tally.select(*KEYS, "signal", mean_after_fill(tally).alias("mean"))
 
 
 def daily_signal_mean(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
@@ -243,13 +306,19 @@ def filled_readings(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
     and a key with very many readings is split over tasks by the adaptive join.
     """
     keys = [*KEYS, "signal"]
-    filled = spine_tally(cleaned, spine).filter(F.col("signal") != NO_SIGNAL).select(*keys, "fill")
-    return cleaned.join(filled, keys).withColumn("units", F.coalesce("units", "fill"))
+    filled = spine_tally(cleaned, spine).filter(F.col("signal") != NO_SIGNAL).select(*keys, "fill", "long_fill")
+    known = F.col("units").isNotNull() | F.col("long_units").isNotNull()
+    return cleaned.join(filled, keys).withColumns(
+        {
+            "units": F.when(known, F.col("units")).otherwise(F.col("fill")),
+            "long_units": F.when(known, F.col("long_units")).otherwise(F.col("long_fill")),
+        }
+    )
 
 
 def reject_report(tagged: DataFrame) -> DataFrame:
     """Per signal: readings, readings without text, and texts that gave no number."""
-    rejected = F.col("value").isNotNull() & F.col("units").isNull()
+    rejected = F.col("value").isNotNull() & F.col("units").isNull() & F.col("long_units").isNull()
     return (
         with_units(tagged)
         .groupBy("signal")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daypanel.functions import limbs
 from daypanel.functions.numbers import age_years
 from daypanel.operators.registry import HEIGHT_ITEM, WEIGHT_ITEM
 from daypanel.sources.schemas import CATEGORIES
@@ -18,23 +19,54 @@ BODY_MASS = {"M": 28.3, "F": 26.3}
 SINGLE_BELOW = {"M": 31, "F": 28}
 SINGLE_FROM = 80
 
+_FEW_DIGITS = r"^[0-9]{1,7}([.][0-9]{0,6})?\z"
+_TRIMMED = r"regexp_replace(value, r'[\x00-\x20]+', '')"
+_SHIFTED = limbs.pieces(limbs.rounded_units("value", str(2 * limbs.WIDE)))
+_LONG_PIECES = (
+    f"if(not {limbs.is_number('value')}, null, if(value rlike '[eE]', "
+    f"transform({_SHIFTED}, x -> {limbs.limb('x.limb - 2', 'x.piece')}), "
+    f"{limbs.pieces(_TRIMMED)}))"
+)
 
-def body_measures(chart: DataFrame, strict: bool = False) -> DataFrame:
-    """Mean height and weight per admission from one pass over the chart readings; exact for 26 whole digits."""
-    kind = "decimal(32,6)"
-    number = F.col("value").cast(kind) if strict else F.col("value").try_cast(kind)
 
-    def mean_of(item: int) -> Column:
-        value = F.when(F.col("itemid") == item, F.col("number"))
-        return F.sum(value).cast("double") / F.nullif(F.count(value), F.lit(0).cast("bigint"))
+def body_measures(chart: DataFrame, strict: bool = False) -> DataFrame:
+    """Mean height and weight per admission from one pass over the chart readings, exact for numbers of any length.
 
-    return (
+    Numbers of few digits, nearly all, are added up as decimals; longer ones limb by limb. An exponent is worked into the
+    digits to 30 places behind the point.
+    """
+    value = F.trim("value")
+    short = F.when(value.rlike(_FEW_DIGITS), value.try_cast("decimal(13,6)"))
+    if strict:  # the cast of a text that is no number raises
+        fine = value.isNull() | F.expr(limbs.is_number("value"))
+        short = F.when(fine, short).otherwise(value.cast("decimal(32,6)"))
+    cut = F.when(~value.rlike(_FEW_DIGITS), F.expr(_LONG_PIECES))
+    tally = (
         chart.filter(F.col("itemid").isin(HEIGHT_ITEM, WEIGHT_ITEM))
-        .select("hadm_id", "itemid", number.alias("number"))
-        .groupBy("hadm_id")
-        .agg(mean_of(HEIGHT_ITEM).alias("height"), mean_of(WEIGHT_ITEM).alias("weight"))
+        .select("hadm_id", "itemid", short.alias("number"), F.posexplode_outer(cut).alias("at", "cut"))
+        .groupBy("hadm_id", "itemid", F.col("cut.limb").alias("limb"))
+        .agg(
+            F.sum("number").alias("number"),
+            (F.count("number") + F.count_if(F.col("at") == 0)).alias("n"),
+            F.sum("cut.piece").cast("decimal(38,0)").alias("piece"),
+        )
     )
 
+    def sum_of(item: int) -> Column:
+        mine = F.col("itemid") == item
+        total = F.coalesce(F.sum(F.when(mine, F.col("number"))), F.lit(0).cast("decimal(33,6)"))
+        held = F.collect_list(F.when(mine & F.col("limb").isNotNull(), F.struct("limb", "piece")))
+        return F.struct(total.alias("total"), held.alias("held"), F.sum(F.when(mine, F.col("n"))).alias("n"))
+
+    def mean(name: str) -> Column:
+        both = f"concat({limbs.pieces(f'string({name}.total)')}, {name}.held)"
+        total = F.when(F.size(f"{name}.held") == 0, F.col(f"{name}.total").cast("double"))
+        total = total.otherwise(F.expr(limbs.total_text(both)).cast("double"))
+        return total / F.nullif(F.col(f"{name}.n"), F.lit(0).cast("bigint"))
+
+    sums = tally.groupBy("hadm_id").agg(sum_of(HEIGHT_ITEM).alias("_height"), sum_of(WEIGHT_ITEM).alias("_weight"))
+    return sums.select("hadm_id", mean("_height").alias("height"), mean("_weight").alias("weight"))
+
 
 def admission_body(admissions: DataFrame, chart: DataFrame) -> DataFrame:
     """Every admission with its mean height and weight, null where nothing was measured.

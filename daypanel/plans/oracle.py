@@ -35,8 +35,8 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def _rule_steps(source: str) -> str:
-    """The readings with every rule position applied to the text left by the one before."""
+def _ruled(source: str) -> str:
+    """The readings with every rule position applied to the text left by the one before, as ``t``."""
     glucose = R.CODE_OF["blood_glucose"]
     stripped = "lower(value)"
     for mark in R.GLUCOSE_MARKS:
@@ -64,8 +64,13 @@ def _rule_steps(source: str) -> str:
         sql = f"select * replace (case {' '.join(branches)} else t end as t) from ({sql})"
     digits = ", ".join(str(code) for code, spec in enumerate(R.SIGNALS) if spec.numeric_only)
     shape = R.NUMERIC_TEXT.replace(r"\z", "$")
-    sql = f"""select * replace (case when signal in ({digits}) and not regexp_matches(t, '{shape}') then null
+    return f"""select * replace (case when signal in ({digits}) and not regexp_matches(t, '{shape}') then null
         else t end as t) from ({sql})"""
+
+
+def _rule_steps(source: str) -> str:
+    """``units`` of readings whose numbers are short."""
+    sql = _ruled(source)
     celsius = ", ".join(map(str, R.CELSIUS_ITEMS))
     return f"""
 select * exclude (t, number),
@@ -133,10 +138,34 @@ CTES = {
     **VIEWS,
     **_chain(""),
     **_chain("line_"),
-    "long_valued": _rule_steps(
+    "long_ruled": _ruled(
         f"""(select r.hadm_id, cast(r.charttime as date) as startdate, r.itemid, r.value, m.signal, m.name, m.size
         from fx_long_readings r join (values {_ITEM_ROWS}) as m(item, signal, name, size) on r.itemid = m.item)"""
     ),
+    # Digits of any length: those of the whole part, two more for hundredths, and one for the rounding.
+    "long_digits": """select *, split_part(t, '.', 1) as whole, split_part(t, '.', 2) as behind,
+        case when size = 1 then 0 else 2 end as scale from long_ruled""",
+    "long_valued": """select *, case when t is not null then concat(whole, substr(rpad(behind, 3, '0'), 1, scale))::bignum
+          + (substr(rpad(behind, 3, '0'), scale + 1, 1) >= '5')::int::bignum end as units
+        from long_digits""",
+    "long_sums": """select hadm_id, startdate, name, sum(units) as total, count(units) as n_valued,
+        count(*) filter (units is null) as n_missing from long_valued group by hadm_id, startdate, name""",
+    # Twice the total and the count, over twice the count, 15 digits at a time from the left.
+    "long_twice": """select hadm_id, startdate, name, n_valued as n, d, length(d) // 15 as parts
+        from (select *, lpad(raw, cast(15 * ceil(length(raw) / 15.0) as int), '0') as d
+          from (select *, (total + total + n_valued::bignum)::varchar as raw from long_sums where n_valued > 0))""",
+    "long_division": """select hadm_id, startdate, name, n, d, parts, 0 as part, 0::hugeint as rest, '' as q from long_twice
+        union all
+        select hadm_id, startdate, name, n, d, parts, part + 1,
+          (rest * 1000000000000000 + substr(d, 15 * part + 1, 15)::hugeint) % (2 * n),
+          q || lpad(((rest * 1000000000000000 + substr(d, 15 * part + 1, 15)::hugeint) // (2 * n))::varchar, 15, '0')
+        from long_division where part < parts""",
+    # Body readings with at most 12 places behind the point, as whole numbers of the last of them.
+    "long_heights": """select hadm_id, itemid,
+        concat(split_part(value, '.', 1), rpad(split_part(value, '.', 2), 12, '0'))::bignum as units
+        from fx_long_body where regexp_matches(value, '^[0-9]+([.][0-9]+)?$')""",
+    "long_height_sums": """select hadm_id, itemid, count(*) as n, lpad(sum(units)::varchar, cast(greatest(13, length(sum(units)::varchar)) as int), '0') as total
+        from long_heights group by hadm_id, itemid""",
     "body": f"""select hadm_id, {_mean_item(R.HEIGHT_ITEM)} as height, {_mean_item(R.WEIGHT_ITEM)} as weight
         from fx_body group by hadm_id""",
     "static": f"""select a.subject_id, a.hadm_id, b.gender, {_age()} as age, c.weight, c.height,
@@ -266,10 +295,15 @@ QUERIES = {
         where signal = {R.CODE_OF["body_temperature"]}""",
     "clean_fraction": f"""select hadm_id, startdate, itemid, value as raw, cast(units as bigint) as value from line_kept
         where signal = {R.CODE_OF["fio2"]}""",
-    "clean_long_numbers": f"""select hadm_id, startdate, name as signal, cast(sum(units) as varchar) as total,
-        count(units) as n_valued, count(*) filter (units is null) as n_missing,
-        cast({_rounded("sum(units)", "count(units)")} as varchar) as rounded_mean
-        from long_valued group by hadm_id, startdate, name""",
+    "clean_long_numbers": """select s.hadm_id, s.startdate, s.name as signal, total::varchar as total, n_valued, n_missing,
+        coalesce(nullif(ltrim(q, '0'), ''), case when q is not null then '0' end) as rounded_mean
+        from long_sums s left join (select * from long_division where part = parts) d using (hadm_id, startdate, name)""",
+    "long_body_means": f"""select hadm_id,
+        max(case when itemid = {R.HEIGHT_ITEM} then mean end) as height,
+        max(case when itemid = {R.WEIGHT_ITEM} then mean end) as weight
+        from (select distinct hadm_id from fx_long_body) left join (
+          select hadm_id, itemid, cast(concat(left(total, length(total) - 12), '.', right(total, 12)) as double) / n as mean
+          from long_height_sums) using (hadm_id) group by hadm_id""",
     "reject_report": """select name as signal, count(*) as n_readings,
         count(*) filter (value is null) as n_blank,
         count(*) filter (value is not null and units is null) as n_rejected from line_valued group by name""",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypanel.functions.numbers import bucket_hash, rounded_quotient
+from daypanel.functions.numbers import bucket_hash
 from daypanel.operators import encode, impute, label_model, metrics, panel, scoring, signals, statics
 from daypanel.operators import registry as R
 from daypanel.operators import sequences as S
@@ -50,7 +50,7 @@ def _listed(positions: Column) -> Column:
 
 def _as_values(readings: DataFrame, *columns: str) -> DataFrame:
     signal = F.col("signal")
-    value = F.col("units").cast("double") / signals.unit_size(signal).cast("double")
+    value = signals.in_doubles(F.col("units"), F.col("long_units"), signal)
     return readings.select(*columns, signals.signal_name(signal).alias("signal"), value.alias("value"))
 
 
@@ -178,19 +178,20 @@ def clean_fraction(spark, sf_dir):
 
 @query
 def clean_long_numbers(spark, sf_dir):
-    """Numbers of 13 to 30 digits, a third of them on one day: exact totals and rounded means, as text."""
+    """Numbers of up to 250 digits, a third of them on one day: exact totals and rounded means, as text."""
     tally = signals.reading_tally(signals.clean_units(signals.tag_signals(view(spark, sf_dir, "fx_long_readings"))))
-    mean = rounded_quotient(F.col("total"), F.col("n_valued"))
-    return tally.select(
-        *KEYS,
-        signals.signal_name(F.col("signal")).alias("signal"),
-        F.col("total").cast("string").alias("total"),
-        "n_valued",
-        "n_missing",
-        mean.cast("string").alias("rounded_mean"),
+    name = signals.signal_name(F.col("signal")).alias("signal")
+    return signals.tally_digits(tally).select(
+        *KEYS, name, F.col("digits").alias("total"), "n_valued", "n_missing", "rounded_mean"
     )
 
 
+@query
+def long_body_means(spark, sf_dir):
+    """Body readings of up to 250 digits, some with many places behind the point."""
+    return statics.body_measures(view(spark, sf_dir, "fx_long_body")).select("hadm_id", "height", "weight")
+
+
 @query
 def reject_report(spark, sf_dir):
     return signals.reject_report(line_tagged(spark, sf_dir))

@@ -82,9 +82,18 @@ select case when l.l_orderkey % 3 = 0 then 1 else o.o_custkey end as hadm_id,
   case when l.l_orderkey % 3 = 0 then cast('1995-01-01' as timestamp) else cast(l.l_shipdate as timestamp) end as charttime,
   case l.l_orderkey % 5 when 0 then concat('9', lpad(cast(l.l_orderkey * 7 as string), 12, '0'))
     when 1 then concat('8', lpad(cast(l.l_partkey * 13 as string), 14, '3'), '.25')
-    when 2 then concat('7', lpad(cast(l.l_orderkey + l.l_linenumber as string), 29, '5'))
+    when 2 then concat('7', lpad(cast(l.l_orderkey + l.l_linenumber as string),
+      cast(case l.l_linenumber when 1 then 29 when 2 then 30 when 3 then 99 else 249 end as int), '5'))
     when 3 then null else cast(l.l_partkey % 100 as string) end as value
 from lineitem l join orders o on l.l_orderkey = o.o_orderkey""",
+    "fx_long_body": """
+select case when l_orderkey % 3 = 0 then 1 else l_suppkey end as hadm_id,
+  case when l_linenumber % 2 = 0 then 226730 else 3693 end as itemid,
+  case l_orderkey % 5 when 0 then concat('1', lpad(cast(l_orderkey * 3 as string),
+      cast(case l_linenumber when 1 then 30 when 2 then 99 else 249 end as int), '4'))
+    when 1 then concat(cast(l_partkey as string), '.', lpad(cast(l_orderkey as string), 12, '0'))
+    when 2 then concat(cast(l_partkey % 100 as string), '.5') when 3 then null else 'tall' end as value
+from lineitem""",
     "fx_line_readings": f"""
 select o.o_custkey as hadm_id, m.itemid, l.l_shipdate as charttime,
   case when (l.l_orderkey * 3 + l.l_linenumber) % 11 = 0 then null
