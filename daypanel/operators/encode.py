@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daypanel.functions.ranking import numbered
+from daypanel.session import staged
 from daypanel.sources.schemas import CATEGORIES, KEYS, SIGNAL_ORDER, STATIC_NUMBERS
 
-MAX_CATEGORIES = 2_000
-
 
 def drug_positions(vocabulary: DataFrame) -> DataFrame:
     """Vocabulary drug -> its place in name order, from 0. The vocabulary is a top-N list, so one row holds it all."""
@@ -39,66 +40,115 @@ def multi_hot(positions: Column, width: int) -> Column:
     return F.transform(places, lambda place: F.array_contains(positions, place).cast("int"))
 
 
-def fit_categories(
-    df: DataFrame, columns: Sequence[str] = CATEGORIES, at_most: int = MAX_CATEGORIES
-) -> dict[str, list[str]]:
-    """Distinct non-null values of each column in text order. Runs a job; fails above ``at_most`` values in total.
+def category_dictionary(df: DataFrame, columns: Sequence[str] = CATEGORIES) -> DataFrame:
+    """attribute (its number among the columns), category, place: every distinct non-null value, in order, from place 0.
 
-    Values become vector places, so the driver has to know them. The limit bounds what it receives.
+    Values are made distinct and numbered in ranges, so there is no limit to them and the driver sees none. Stored, since
+    all encodings join it.
     """
-    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("attribute"), F.col(c).alias("category")) for c in columns]))
-    rows = (
-        df.select(pairs)
-        .filter(F.col("category").isNotNull())
-        .distinct()
-        .orderBy("attribute", "category")
-        .limit(at_most + 1)
-        .collect()
-    )
-    if len(rows) > at_most:
-        raise ValueError(f"more than {at_most} categories in {list(columns)}: too many for one vector place each")
-    found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in rows:
-        found[row.attribute].append(row.category)
-    return found
+    pairs = F.inline(F.array(*[F.struct(F.lit(k).alias("attribute"), F.col(c).alias("category")) for k, c in enumerate(columns)]))
+    values = df.select(pairs).filter(F.col("category").isNotNull()).distinct()
+    places = numbered(values, ["attribute", "category"])
+    return staged(places.select("attribute", "category", F.col("place").cast("int").alias("place")), "categories")
 
 
-def one_hot(column: str, values: Sequence[str]) -> list[Column]:
-    """One 0/1 column per value; a null gives zeros everywhere."""
-    return [F.coalesce(F.col(column) == value, F.lit(False)).cast("int") for value in values]
+def _place_of(column: str) -> str:
+    return f"_place_{column}"
+
+
+def with_places(rows: DataFrame, dictionary: DataFrame, columns: Sequence[str] = CATEGORIES) -> DataFrame:
+    """``rows`` with the place of every category, null for a null or unknown one, as ``_place_...``.
+
+    One join per attribute, left to size-based planning: a broadcast for the few values there are as a rule, and beyond
+    that an exchange which the adaptive join splits where a value is frequent.
+    """
+    for k, column in enumerate(columns):
+        known = dictionary.filter(F.col("attribute") == k).select(
+            F.col("category").alias(column), F.col("place").alias(_place_of(column))
+        )
+        rows = rows.join(known, column, "left")
+    return rows
+
+
+def one_hot_bits(dictionary: DataFrame, columns: Sequence[str] = CATEGORIES) -> list[Column]:
+    """For rows with places: the one-hot vector of each attribute as a text of 0 and 1, a null giving zeros everywhere."""
+    sizes = dictionary.groupBy("attribute").agg(F.count(F.lit(1)).cast("int").alias("n"), F.min("place").alias("first"))
+    out = []
+    for k, column in enumerate(columns):
+        mine = sizes.filter(F.col("attribute") == k)
+        n = F.coalesce(mine.select("n").scalar(), F.lit(0))
+        at = F.col(_place_of(column)) - mine.select("first").scalar()
+        hot = F.concat(F.repeat(F.lit("0"), at), F.lit("1"), F.repeat(F.lit("0"), n - at - 1))
+        out.append(F.when(at.isNull(), F.repeat(F.lit("0"), n)).otherwise(hot))
+    return out
 
 
 @dataclass(frozen=True)
 class FeatureLayout:
-    """Which feature stands at which place of the vector. The drugs are kept apart, as positions."""
+    """Which feature stands at which place of the vector. The drugs are kept apart, as positions.
+
+    Signals and numbers come first; the categories follow at the places of their dictionary.
+    """
 
-    categories: Mapping[str, Sequence[str]]
+    dictionary: DataFrame
     signals: Sequence[str] = tuple(SIGNAL_ORDER)
     numbers: Sequence[str] = tuple(STATIC_NUMBERS)
+    columns: Sequence[str] = tuple(CATEGORIES)
+
+    @cached_property
+    def n_categories(self) -> int:
+        """Places of the dictionary in use. Counts its stored rows."""
+        return self.dictionary.count() if self.columns else 0
 
     @property
+    def n_features(self) -> int:
+        return len(self.signals) + len(self.numbers) + self.n_categories
+
+    @cached_property
     def names(self) -> list[str]:
-        dummies = [f"{column}_{value}" for column, values in self.categories.items() for value in values]
-        return [*self.signals, *self.numbers, *dummies]
+        """One name per place, for the header of an exchange file. Reads the dictionary, one name a value, to the driver."""
+        flat = [*self.signals, *self.numbers]
+        if not self.columns:
+            return flat
+        return flat + [f"{self.columns[row.attribute]}_{row.category}" for row in self.dictionary.orderBy("place").collect()]
+
+    def placed(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with what ``vector`` and ``n_set`` need."""
+        return with_places(rows, self.dictionary, self.columns)
+
+    def _flat(self) -> Column:
+        return F.array(*[F.col(name).cast("double") for name in [*self.signals, *self.numbers]]).cast("array<double>")
+
+    def category_places(self) -> Column:
+        """The places of a row's categories, in order: its one-hot vector with only the ones written down."""
+        return F.array_compact(F.array(*[F.col(_place_of(c)) for c in self.columns])).cast("array<int>")
 
     def vector(self) -> Column:
-        flat = [F.col(name) for name in [*self.signals, *self.numbers]]
-        for column, values in self.categories.items():
-            flat += one_hot(column, values)
-        return F.array(*[value.cast("double") for value in flat])
+        zeros = F.array_repeat(F.lit(0.0), self.n_categories)
+        places = self.category_places()
+        hot = F.transform(zeros, lambda _, place: F.array_contains(places, place).cast("double"))
+        return F.concat(self._flat(), hot)
+
+    def n_set(self) -> Column:
+        """Features of a row that are known and not 0."""
+        return (F.size(F.filter(self._flat(), lambda v: v != 0)) + F.size(self.category_places())).cast("bigint")
 
     def without(self, *groups: str) -> FeatureLayout:
         """Leave out feature groups: ``signals``, ``statics`` (numbers and categories) or ``outcome``."""
-        signals = () if "signals" in groups else self.signals
         numbers = () if "statics" in groups else self.numbers
         if "outcome" in groups:
             numbers = tuple(name for name in numbers if name != "hospital_expire_flag")
-        return FeatureLayout({} if "statics" in groups else self.categories, signals, numbers)
+        return replace(
+            self,
+            signals=() if "signals" in groups else self.signals,
+            numbers=numbers,
+            columns=() if "statics" in groups else self.columns,
+        )
 
 
 def feature_matrix(dataset: DataFrame, layout: FeatureLayout) -> DataFrame:
     """Keys and the feature vector; signals may still be missing in it."""
-    return dataset.select(*KEYS, layout.vector().alias("features"))
+    return layout.placed(dataset).select(*KEYS, layout.vector().alias("features"))
 
 
 def flat_frame(rows: DataFrame, layout: FeatureLayout, drugs: Sequence[str] = ()) -> DataFrame:

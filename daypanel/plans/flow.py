@@ -140,9 +140,9 @@ class Flow:
 
     @cached_property
     def layout(self) -> encode.FeatureLayout:
-        """Runs a job: the categories of the admissions in the modelling table become vector places."""
+        """The categories of the admissions in the modelling table become vector places, in a stored dictionary."""
         listed = self.cohort.join(self.spine.select("hadm_id").distinct(), "hadm_id", "left_semi")
-        return encode.FeatureLayout(encode.fit_categories(statics.normalise_categories(listed)))
+        return encode.FeatureLayout(encode.category_dictionary(statics.normalise_categories(listed)))
 
     @cached_property
     def blocked(self) -> DataFrame:

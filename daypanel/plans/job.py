@@ -54,7 +54,7 @@ def learn(store: StageStore, flow: Flow, passes: int = label_model.PASSES, patie
     The weights are a stage, so they can be read by a later run.
     """
     start = time.monotonic()
-    n_labels, n_features = flow.n_drugs, len(flow.layout.names)
+    n_labels, n_features = flow.n_drugs, flow.layout.n_features
     steps = store.read("sequences").select("hadm_id", F.inline("steps"))
     vectors = label_model.step_vectors(steps, n_labels)
     learned = label_model.train(vectors, n_labels, n_labels, n_features, passes, patience)

@@ -274,29 +274,24 @@ def drug_multihot_join(spark, sf_dir):
 @query
 def onehot_static(spark, sf_dir):
     f = flow(spark, sf_dir)
-    vectors = [
-        _bits(F.array(*encode.one_hot(name, values))).alias(f"{name}_hot")
-        for name, values in f.layout.categories.items()
-    ]
-    return statics.normalise_categories(f.cohort).select("hadm_id", *vectors)
+    dictionary = f.layout.dictionary
+    rows = encode.with_places(statics.normalise_categories(f.cohort), dictionary)
+    vectors = [bits.alias(f"{name}_hot") for name, bits in zip(CATEGORIES, encode.one_hot_bits(dictionary))]
+    return rows.select("hadm_id", *vectors)
 
 
 @query
 def feature_groups(spark, sf_dir):
     """Cells set per day in each group of the layout: drugs alone, signals, static part, static part without outcome."""
     f = flow(spark, sf_dir)
-    rows = encode.with_drugs(f.dataset, f.drug_sets)
-
-    def filled(layout: encode.FeatureLayout) -> Column:
-        return F.size(F.filter(layout.vector(), lambda v: v != 0)).cast("bigint")
-
+    rows = f.layout.placed(encode.with_drugs(f.dataset, f.drug_sets))
     only_static = f.layout.without("signals")
     return rows.select(
         *KEYS,
         F.size("drugs").cast("bigint").alias("n_drugs"),
-        filled(f.layout.without("statics")).alias("n_signals"),
-        filled(only_static).alias("n_statics"),
-        filled(only_static.without("outcome")).alias("n_without_outcome"),
+        f.layout.without("statics").n_set().alias("n_signals"),
+        only_static.n_set().alias("n_statics"),
+        only_static.without("outcome").n_set().alias("n_without_outcome"),
     )
 
 
@@ -311,7 +306,7 @@ def impute_blocks(spark, sf_dir):
 
 
 def _live_features(f: Flow) -> list[Column]:
-    names = f.layout.names
+    names = list(f.layout.signals)
     live = ("body_temperature", "heart_rate", "lacta", "pota", "respiratory_rate")
     return [F.round(F.col("features")[names.index(name)], 6).alias(name) for name in live]
 
@@ -452,7 +447,7 @@ def sequence_features(spark, sf_dir):
 
 def _padded_features(spark, sf_dir, as_int: bool) -> DataFrame:
     f = flow(spark, sf_dir)
-    padded = S.pad_truncate(f.sequences, len(f.layout.names), P.PAD_STEPS, as_int)
+    padded = S.pad_truncate(f.sequences, f.layout.n_features, P.PAD_STEPS, as_int)
     cells = padded.select("hadm_id", F.posexplode(F.arrays_zip("drugs", "features", "labels")).alias("at", "cell"))
     return cells.select(
         "hadm_id",
@@ -476,7 +471,7 @@ def padded_features_whole(spark, sf_dir):
 @query
 def dual_features(spark, sf_dir):
     f = flow(spark, sf_dir)
-    padded = S.pad_truncate(f.sequences, len(f.layout.names), P.SCORED_STEPS)
+    padded = S.pad_truncate(f.sequences, f.layout.n_features, P.SCORED_STEPS)
     dual = S.dual_sequence(padded, P.N_DRUGS)
     cells = dual.select("hadm_id", F.posexplode(F.arrays_zip("seqx1", "seqx2", "y")).alias("at", "cell"))
     return cells.select(
@@ -590,7 +585,7 @@ def score_gru(spark, sf_dir):
 
 def _learned(spark, sf_dir, passes: int, patience: int | None) -> tuple[DataFrame, label_model.Learned, tuple[int, int, int]]:
     f = flow(spark, sf_dir)
-    sizes = (P.N_DRUGS, P.N_DRUGS, len(f.layout.names))
+    sizes = (P.N_DRUGS, P.N_DRUGS, f.layout.n_features)
     vectors = label_model.step_vectors(f.steps, P.N_DRUGS)
     return vectors, label_model.train(vectors, *sizes, passes=passes, patience=patience), sizes
 

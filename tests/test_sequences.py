@@ -63,20 +63,58 @@ def test_stats(spark):
 
 
 def test_one_hot_and_layout(spark):
-    df = spark.createDataFrame([("m", "x"), ("f", None), (None, "y")], "gender string, religion string")
-    found = encode.fit_categories(df, ["gender", "religion"])
-    assert found == {"gender": ["f", "m"], "religion": ["x", "y"]}
-    rows = df.select(F.array(*encode.one_hot("gender", found["gender"])).alias("v")).collect()
-    assert [r.v for r in rows] == [[0, 1], [1, 0], [0, 0]]
-    with pytest.raises(ValueError, match="more than 1 categories"):
-        encode.fit_categories(df, ["gender", "religion"], at_most=1)
-    layout = encode.FeatureLayout(found)
-    assert layout.names[30:] == ["age", "weight", "height", "hospital_expire_flag", "gender_f", "gender_m", "religion_x", "religion_y"]
-    assert layout.without("statics").names == layout.names[:30]
+    df = spark.createDataFrame([("m", "x"), ("f", None), (None, "y"), ("f", "é"), ("f", "é")], "gender string, religion string")
+    columns = ["gender", "religion"]
+    dictionary = encode.category_dictionary(df, columns)
+    values = [(0, "f", 0), (0, "m", 1), (1, "x", 2), (1, "y", 3), (1, "é", 4)]
+    assert sorted(map(tuple, dictionary.collect())) == values
+    unknown = spark.createDataFrame([("z", "x")], "gender string, religion string")
+    rows = encode.with_places(df.unionByName(unknown), dictionary, columns)
+    bits = [b.alias(c) for b, c in zip(encode.one_hot_bits(dictionary, columns), ("g", "r"))]
+    got = {(r.gender, r.religion): (r.g, r.r) for r in rows.select(*columns, *bits).collect()}
+    assert got == {
+        ("m", "x"): ("01", "100"), ("f", None): ("10", "000"), (None, "y"): ("00", "010"),
+        ("f", "é"): ("10", "001"), ("z", "x"): ("00", "100"),
+    }
+    layout = encode.FeatureLayout(dictionary, columns=columns)
+    dummies = ["gender_f", "gender_m", "religion_x", "religion_y", "religion_é"]
+    assert layout.names[30:] == ["age", "weight", "height", "hospital_expire_flag", *dummies]
+    assert layout.n_features == len(layout.names)
+    assert layout.without("statics").names == layout.names[:30] and layout.without("statics").n_features == 30
     assert layout.without("signals").names == layout.names[30:]
     assert "hospital_expire_flag" not in layout.without("outcome").names
 
 
+def test_vectors_of_categories(spark):
+    df = spark.createDataFrame([(1, "m", None, 2.0), (2, None, "x", None), (3, "f", "y", 0.0)], "i int, a string, b string, n double")
+    dictionary = encode.category_dictionary(df, ["a", "b"])
+    layout = encode.FeatureLayout(dictionary, signals=(), numbers=("n",), columns=("a", "b"))
+    rows = {r.i: r for r in layout.placed(df).select("i", layout.vector().alias("v"), layout.n_set().alias("k")).collect()}
+    assert {i: r.v for i, r in rows.items()} == {1: [2.0, 0, 1, 0, 0], 2: [None, 0, 0, 1, 0], 3: [0.0, 1, 0, 0, 1]}
+    assert {i: r.k for i, r in rows.items()} == {1: 2, 2: 1, 3: 2}
+    none = encode.category_dictionary(df.filter("false"), ["a", "b"])
+    empty = encode.FeatureLayout(none, signals=(), numbers=("n",), columns=("a", "b"))
+    assert empty.n_features == 1 and empty.placed(df).select(empty.vector().alias("v")).filter("size(v) = 1").count() == 3
+    bits = encode.one_hot_bits(none, ["a", "b"])
+    assert [r.x for r in encode.with_places(df, none, ["a", "b"]).select(bits[0].alias("x")).collect()] == [""] * 3
+
+
+def test_many_categories(spark, monkeypatch):
+    """More values than one range holds, most of them with a common prefix: places are those of the sorted texts."""
+    n = 5000
+    df = spark.range(n).selectExpr("concat('https://', lpad(string((id * 7919) % 5000), 5, '0')) as a", "string(id % 3) as b")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = encode.category_dictionary(df, ["a", "b"]).orderBy("place").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = [(0, f"https://{k:05d}") for k in range(n)] + [(1, str(k)) for k in range(3)]
+    assert [(r.attribute, r.category) for r in got] == want and [r.place for r in got] == list(range(n + 3))
+
+
 def test_multi_hot(spark):
     use = spark.createDataFrame([(1, D[0], "b"), (1, D[0], "b"), (1, D[0], "a"), (1, D[1], "c"), (1, None, "c")], "hadm_id bigint, startdate date, drug string")
     vocabulary = spark.createDataFrame([("c",), ("a",)], "drug string")
