@@ -9,7 +9,8 @@ Words outside the benchmark's vocabulary cannot take part in an occurrence, nor
 is shorter than the shortest phrase; so a shard's index holds the longer stretches alone.
 
 The benchmark is dealt into blocks of a bounded size (``BLOCK_BYTES`` of text). Each block is collected, shipped to
-the tasks and searched in all documents, one pass over them for each block; a benchmark of test sets has one block.
+the tasks and searched in all documents, one pass over them for each block, whose results are written before the next
+block is collected; a benchmark of test sets has one block.
 
 Words are lower-cased (A-Z) alphanumeric stretches. An item of fewer than 10 words, but not none, is one phrase. Null
 texts have no words; an item with a null id marks words but is not listed; items that share an id count once.
@@ -19,6 +20,9 @@ Repeated rows each get their result. Extra columns are ignored, or carried by ``
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +30,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .textscan import ALNUM, Block, Rolling, batch_of, byte_values, lower, spans_of, stretches, text_blocks, words
+from ..session import staged
+from .textscan import (
+    ALNUM,
+    SPANS,
+    Block,
+    Rolling,
+    batch_of,
+    byte_values,
+    frugal,
+    keyed,
+    lower,
+    spans_of,
+    stretches,
+    text_blocks,
+    words,
+)
 
 PHRASE = 10
 SHARD_BYTES = 1 << 20
@@ -200,13 +219,14 @@ class Phrases:
         return found, covered, np.unique(np.concatenate(hits), axis=0)
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[list[tuple[str | None, str]]]:
-    """The items as (id, text), in blocks of about ``block_bytes`` each. One block is collected at a time."""
+def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str | None, str]]]:
+    """The items as (id, text), in blocks of about ``block_bytes`` each. A block is collected when it is asked for."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").filter("text is not null").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(total / block_bytes))
     block = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    return [[tuple(r) for r in items.filter(block == b).collect()] for b in range(n)]
+    for b in range(n):
+        yield [tuple(r) for r in items.filter(block == b).collect()]
 
 
 #: What a document's row says: words, words hit, the items found, and the byte spans to remove.
@@ -246,50 +266,74 @@ def _search(documents: DataFrame, phrases: Phrases, shard_bytes: int) -> DataFra
     whole = T.StructField("document", documents.schema, False)
     schema = T.StructType([whole, *T._parse_datatype_string(RESULT).fields])
     columns = F.struct(*(documents[name] for name in documents.columns))
-    return documents.select(columns.alias("document"), "text").mapInArrow(scan, schema)
+    return documents.select(columns.alias("document"), "text").mapInArrow(frugal(scan), schema)
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, phrase: int = PHRASE, shard_bytes: int = SHARD_BYTES,
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``document`` (all columns as a struct), n_words, n_hit, items (sorted ids) and spans (of bytes, end exclusive).
 
-    With more than one block of the benchmark, each document's spans and items are united: the words that each block
-    covers are counted on the united spans.
+    With more than one block of the benchmark, each is searched in a pass of its own, and what it finds is written before
+    the next block is collected; so the driver and the tasks hold one block at a time. Each document's spans and items are
+    then united, and the words that they cover are counted.
     """
-    blocks = [Phrases(items, phrase) for items in benchmark_blocks(benchmark, block_bytes)]
-    if len(blocks) == 1:
-        return _search(documents, blocks[0], shard_bytes)
-    return _united(documents, blocks, shard_bytes)
-
-
-def _united(documents: DataFrame, blocks: list[Phrases], shard_bytes: int) -> DataFrame:
-    """One pass for each block of items: the result of the passes before travels along as columns."""
-    out = _search(documents, blocks[0], shard_bytes)
-    for phrases in blocks[1:]:
-        flat = out.select("document.*", F.struct("items", "spans").alias("_before"))
-        out = _search(flat, phrases, shard_bytes)
-        fields = [F.col("document")[c].alias(c) for c in documents.columns]
-        out = out.select(
-            F.struct(*fields).alias("document"),
-            "n_words",
-            F.array_sort(F.array_union("items", "document._before.items")).alias("items"),
-            F.concat("spans", "document._before.spans").alias("spans"),
-        ).select("document", "n_words", F.lit(0).cast("long").alias("n_hit"), "items", "spans")
+    blocks = benchmark_blocks(benchmark, block_bytes)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return _search(documents, Phrases(first, phrase), shard_bytes)
+    passes = [_found(documents, Phrases(block, phrase), shard_bytes) for block in chain([first, second], blocks)]
+    return _united(documents, passes)
+
+
+def _found(documents: DataFrame, phrases: Phrases, shard_bytes: int) -> DataFrame:
+    """(d, k, items, spans) of the documents in which a block's phrases occur, written."""
+    found = _search(keyed(documents), phrases, shard_bytes).filter(F.size("spans") > 0)
+    return staged(found.select("document.d", "document.k", "items", "spans").dropDuplicates(["d", "k"]), "benchmark-found")
+
+
+def _united(documents: DataFrame, passes: list[DataFrame]) -> DataFrame:
+    found = reduce(DataFrame.unionByName, passes).groupBy("d", "k").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.flatten(F.collect_list("spans")).alias("spans"),
+    )
+    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("d"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("k")]
+    whole = documents.select(F.struct(*(documents[c] for c in documents.columns)).alias("document"), "text", *key)
+    joined = whole.join(found, ["d", "k"], "left").select(
+        "document",
+        F.lit(0).cast("long").alias("n_words"),
+        F.lit(0).cast("long").alias("n_hit"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.coalesce("spans", F.array().cast(SPANS)).alias("spans"),
+    )
 
     def count(batches):
         for batch in batches:
-            hits, spans = [], []
+            sizes, hits, spans = [], [], []
             texts = batch.column("document").field("text").cast(pa.large_binary())
             for text, (low, high) in zip(texts, spans_of(batch)):
                 raw = np.frombuffer(text.as_py() or b"", np.uint8)
                 found = words(lower(raw), np.array([0, len(raw)]), ALNUM)
+                sizes.append(len(found.starts))
                 hits.append(int((np.searchsorted(found.starts, high) - np.searchsorted(found.starts, low)).sum()))
                 spans.append([{"low": int(a), "high": int(b)} for a, b in zip(low, high)])
-            yield batch.set_column(2, "n_hit", pa.array(hits, pa.int64())).set_column(
-                4, "spans", pa.array(spans, batch.column("spans").type)
-            )
-
-    return out.mapInArrow(count, out.schema)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("document"), pa.array(sizes, pa.int64()), pa.array(hits, pa.int64()), batch.column("items"),
+                    pa.array(spans, batch.column("spans").type),
+                ],
+                joined_names,
+            )
+
+    joined_names = joined.columns
+    return joined.mapInArrow(frugal(count), joined.schema)
+
+
+#: The text without its spans, which are in order, do not touch and lie between characters.
+_CUT = """
+if(size(spans) = 0, document.text, array_join(transform(array(cast(document.text as binary)), t ->
+  transform(sequence(0, size(spans)), i -> cast(substring(t, if(i = 0, 0, spans[i - 1].high) + 1,
+    if(i = size(spans), octet_length(t), spans[i].low) - if(i = 0, 0, spans[i - 1].high)) as string)))[0], ''))
+"""
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, phrase: int = PHRASE) -> DataFrame:
@@ -299,20 +343,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, phrase: int = PHRA
     """
     found = contamination(documents, benchmark, phrase)
 
-    def cut(batches):
-        for batch in batches:
-            kept = []
-            for text, (low, high) in zip(batch.column("text"), spans_of(batch)):
-                raw = text.as_py()
-                if raw is not None and len(low):
-                    data = raw.encode()
-                    edges = [0, *np.stack((low, high), 1).ravel().tolist(), len(data)]
-                    raw = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])).decode()
-                kept.append(raw)
-            yield batch_of(document=batch.column("document"), kept=pa.array(kept, pa.string()))
-
-    schema = T.StructType([found.schema["document"], T.StructField("kept", T.StringType())])
-    new = found.select("document", "document.text", "spans").mapInArrow(cut, schema)
+    new = found.select("document", F.expr(_CUT).alias("kept"))
     changed = {"text": F.col("kept")}
     if "n_chars" in documents.columns:
         was = F.col("document")["n_chars"]

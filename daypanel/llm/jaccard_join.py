@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 from .components import components
-from .textscan import Rolling, as_long, batch_of, byte_values, gathered, keyed, lower, mix, text_blocks, words
+from .textscan import Rolling, as_long, batch_of, byte_values, frugal, gathered, keyed, lower, mix, text_blocks, words
 
 SHINGLE = 5
 COUNTERS = 1 << 22
@@ -120,7 +120,7 @@ def _sets_and_counts(rows: DataFrame) -> DataFrame:
             )
 
     schema = "doc_id long, d long, k long, name long, size long, chunk int, counts binary"
-    return staged(rows.mapInArrow(scan, schema), "shingle-sets")
+    return staged(rows.mapInArrow(frugal(scan), schema), "shingle-sets")
 
 
 def _levels(scanned: DataFrame) -> np.ndarray:
@@ -145,7 +145,7 @@ def _levels(scanned: DataFrame) -> np.ndarray:
 
     parts = scanned.filter("chunk is not null").select("chunk", "counts").repartition(CHUNKS, "chunk")
     out = np.zeros(COUNTERS, np.uint8)
-    for r in parts.mapInArrow(add, "chunk int, levels binary").collect():  # CHUNKS rows of a fixed size
+    for r in parts.mapInArrow(frugal(add), "chunk int, levels binary").collect():  # CHUNKS rows of a fixed size
         out[r.chunk * width : (r.chunk + 1) * width] = np.frombuffer(r.levels, np.uint8)
     return out
 
@@ -183,8 +183,8 @@ def _shared_prefixes(rows: DataFrame, levels) -> DataFrame:
         key = order_key(shingle.view(np.uint64), 0, levels.value)
         yield batch_of(shingle=shingle, key=as_long(key >> np.uint64(1)), name=name[keep], size=size[keep])
 
-    found = rows.mapInArrow(prefixes, "shingle long, name long, size int").repartition("shingle")
-    return staged(found.mapInArrow(shared, "shingle long, key long, name long, size int"), "shingle-shared")
+    found = rows.mapInArrow(frugal(prefixes), "shingle long, name long, size int").repartition("shingle")
+    return staged(found.mapInArrow(frugal(shared), "shingle long, key long, name long, size int"), "shingle-shared")
 
 
 def _cells(shared: DataFrame) -> DataFrame:
@@ -247,7 +247,7 @@ def _cell_pairs(shared: DataFrame, cells: DataFrame) -> DataFrame:
     cell = cells.select("name", "cell", F.col("low").cast("int").alias("low"), F.col("high").cast("int").alias("high"))
     listed = shared.select("shingle", "name").join(cell, "name").select("shingle", "cell", "low", "high")
     schema = "one long, low long, high long, other long, other_low long, other_high long, common long"
-    found = listed.repartition("shingle").mapInArrow(pairs, schema)
+    found = listed.repartition("shingle").mapInArrow(frugal(pairs), schema)
     summed = found.groupBy("one", "low", "high", "other", "other_low", "other_high").agg(F.sum("common").alias("common"))
     enough = F.least(need("low", "high", "other_low", "other_high"), need("other_low", "other_high", "low", "high"))
     size = cells.groupBy(F.col("cell").alias("other")).agg(F.count(F.lit(1)).alias("n"))
@@ -386,7 +386,7 @@ def _links(compared: DataFrame, levels) -> DataFrame:
             n=np.array(list(degrees.values()), np.int64),
         )
 
-    return staged(compared.repartition("task").mapInArrow(compare, "u long, v long, n long"), "shingle-links")
+    return staged(compared.repartition("task").mapInArrow(frugal(compare), "u long, v long, n long"), "shingle-links")
 
 
 def jaccard_components(documents: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .textscan import NOT_SPACE, Rolling, batch_of, byte_values, mix, table_of, text_blocks, words
+from .textscan import NOT_SPACE, Rolling, batch_of, byte_values, frugal, mix, table_of, text_blocks, words
 
 #: The symbols that count, the base limits, and the limits of the method's own rules.
 SYMBOLS = "#*$%&|<>"
@@ -114,7 +114,7 @@ def measure(documents: DataFrame) -> DataFrame:
     whole = T.StructField("document", documents.schema, False)
     schema = T.StructType([whole, *(T.StructField(name, T.LongType()) for name in MEASURES)])
     columns = F.struct(*(documents[name] for name in documents.columns))
-    return documents.select(columns.alias("document"), "text").mapInArrow(scan, schema)
+    return documents.select(columns.alias("document"), "text").mapInArrow(frugal(scan), schema)
 
 
 def ledger(documents: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ the batch. Separators of words are single ASCII bytes, so words of UTF-8 bytes a
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -23,6 +23,30 @@ _HIGH = np.uint64(0xFFFFFFFF00000000)
 _POWERS: dict[str, np.ndarray] = {}
 
 
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, with memory given back to the system as soon as it is free.
+
+    Workers live on between tasks, several of them on one executor. By default the C library keeps what large arrays leave
+    behind; here arrays of a megabyte and more are mapped one by one, and the rest is returned when the task ends. Where
+    the library has no such calls, ``run`` runs as it is.
+    """
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ctypes
+
+        library = ctypes.CDLL(None)
+        if hasattr(library, "mallopt"):
+            library.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if hasattr(library, "malloc_trim"):
+                library.malloc_trim(0)
+
+    return wrapped
+
+
 class Block(NamedTuple):
     """Texts of some rows, end to end. ``offsets`` has one entry more than rows; a null text is empty."""
 

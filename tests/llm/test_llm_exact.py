@@ -159,6 +159,30 @@ def test_benchmark(spark, odd_documents, odd_texts, options):
     assert after[900].text.split() == ["x", "y"] and after[900].n_chars == len(after[900].text)
 
 
+def test_benchmark_blocks_come_one_at_a_time(spark, odd_documents, odd_texts, monkeypatch):
+    """Ten blocks and more: no two are held at once, and removal is the same as with one block."""
+    import gc
+    import weakref
+
+    items = [(f"i{n}", " ".join((odd_texts[15] or "").split()[40 * n : 40 * n + 12])) for n in range(14)]
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    held, most = [], []
+    search = decontaminate._found
+
+    def watched(documents, phrases, shard_bytes):
+        gc.collect()
+        most.append(sum(1 for p in held if p() is not None))
+        held.append(weakref.ref(phrases))
+        return search(documents, phrases, shard_bytes)
+
+    monkeypatch.setattr(decontaminate, "_found", watched)
+    cut = decontaminate.contamination(odd_documents, benchmark, block_bytes=80)
+    got = {(r.document.doc_id, r.document.text): (r.n_words, r.n_hit, tuple(r["items"])) for r in cut.collect()}
+    assert len(most) >= 10 and max(most) <= 1
+    whole = decontaminate.contamination(odd_documents, benchmark)
+    assert got == {(r.document.doc_id, r.document.text): (r.n_words, r.n_hit, tuple(r["items"])) for r in whole.collect()}
+
+
 def test_no_benchmark(spark, odd_documents):
     items = spark.createDataFrame([], "item_id string, text string")
     assert decontaminate.digest(odd_documents, items).filter("contaminated or n_items > 0").count() == 0
