@@ -38,6 +38,7 @@ SHINGLE = 5
 COUNTERS = 1 << 22
 CHUNKS = 16
 CELL = 256
+CELLS = 256  # of a shingle that are compared with each other in one group
 PARTNERS = 512
 BAND = 1.04
 BITMAP = 1 << 24
@@ -208,23 +209,30 @@ def _cells(shared: DataFrame) -> DataFrame:
 
 
 def _cell_pairs(shared: DataFrame, cells: DataFrame) -> DataFrame:
-    """(one, other, n_one, n): cells that share enough prefix shingles, and how many nodes the two have."""
+    """(one, other, n_one, n): cells that share enough prefix shingles, and how many nodes the two have.
+
+    A shingle comes with its cells, not with its nodes, and with at most about two parts of ``CELLS`` cells a group.
+    """
 
     def pairs(batches):
         table = gathered(batches)
         if table is None:
             return
-        shingle, cell, low, high = (table.column(x).to_numpy() for x in ("shingle", "cell", "low", "high"))
-        order = np.lexsort((cell, shingle))
-        order = order[np.append(True, (shingle[order[1:]] != shingle[order[:-1]]) | (cell[order[1:]] != cell[order[:-1]]))]
-        shingle, cell, low, high = shingle[order], cell[order], low[order].astype(np.int64), high[order].astype(np.int64)
+        names = ("shingle", "first", "second", "part", "cell", "low", "high")
+        shingle, first, second, part, cell, low, high = (table.column(x).to_numpy() for x in names)
+        order = np.lexsort((cell, second, first, shingle))
+        shingle, first, second, part, cell, low, high = (x[order] for x in (shingle, first, second, part, cell, low, high))
+        low, high = low.astype(np.int64), high.astype(np.int64)
+        alike = (shingle[1:] == shingle[:-1]) & (first[1:] == first[:-1]) & (second[1:] == second[:-1])
+        group = np.cumsum(np.append(True, ~alike))[: len(shingle)]
         found = []
         at, step = np.arange(len(shingle)), 1
         while len(at):
             at = at[at + step < len(shingle)]
-            at = at[shingle[at + step] == shingle[at]]
+            at = at[group[at + step] == group[at]]
             to = at + step
             fits = (5 * high[at] >= 4 * low[to]) & (5 * high[to] >= 4 * low[at])
+            fits &= (first[at] == second[at]) | (part[at] != part[to])
             found.append(np.stack((at[fits], to[fits])))
             step += 1
         one, other = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
@@ -245,9 +253,16 @@ def _cell_pairs(shared: DataFrame, cells: DataFrame) -> DataFrame:
         return F.floor((20 * a - 16 * F.greatest(F.col(other_high), a)) / 45) + 1
 
     cell = cells.select("name", "cell", F.col("low").cast("int").alias("low"), F.col("high").cast("int").alias("high"))
-    listed = shared.select("shingle", "name").join(cell, "name").select("shingle", "cell", "low", "high")
+    listed = shared.select("shingle", "name").join(cell, "name").select("shingle", "cell", "low", "high").distinct()
     schema = "one long, low long, high long, other long, other_low long, other_high long, common long"
-    found = listed.repartition("shingle").mapInArrow(frugal(pairs), schema)
+    # A shingle of very many cells is cut into parts, and every two parts meet in a group of their own.
+    parts = listed.groupBy("shingle").agg(F.ceil(F.count(F.lit(1)) / CELLS).cast("int").alias("parts")).filter("parts > 1")
+    parted = listed.join(parts, "shingle", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    parted = parted.withColumn("part", F.pmod(F.xxhash64("cell"), F.col("parts")).cast("int"))
+    dealt = parted.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "shingle", F.least("part", "_other").alias("first"), F.greatest("part", "_other").alias("second"), "part", "cell", "low", "high"
+    )
+    found = dealt.repartition("shingle", "first", "second").mapInArrow(frugal(pairs), schema)
     summed = found.groupBy("one", "low", "high", "other", "other_low", "other_high").agg(F.sum("common").alias("common"))
     enough = F.least(need("low", "high", "other_low", "other_high"), need("other_low", "other_high", "low", "high"))
     size = cells.groupBy(F.col("cell").alias("other")).agg(F.count(F.lit(1)).alias("n"))

@@ -24,23 +24,20 @@ _POWERS: dict[str, np.ndarray] = {}
 
 
 def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-    """``run`` for ``mapInArrow``, with memory given back to the system as soon as it is free.
+    """``run`` for ``mapInArrow``, with free memory given back to the system when the task ends.
 
-    Workers live on between tasks, several of them on one executor. By default the C library keeps what large arrays leave
-    behind; here arrays of a megabyte and more are mapped one by one, and the rest is returned when the task ends. Where
-    the library has no such calls, ``run`` runs as it is.
+    Workers live on between tasks, several of them on one executor, and the C library keeps what large arrays leave
+    behind. Where the library has no such call, ``run`` runs as it is.
     """
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ctypes
 
-        library = ctypes.CDLL(None)
-        if hasattr(library, "mallopt"):
-            library.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
         try:
             yield from run(batches)
         finally:
             pa.default_memory_pool().release_unused()
+            library = ctypes.CDLL(None)
             if hasattr(library, "malloc_trim"):
                 library.malloc_trim(0)
 

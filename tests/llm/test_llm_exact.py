@@ -103,10 +103,12 @@ def test_jaccard_of_a_table(spark):
     compare(jaccard_join.digest(spark.read.parquet(SAMPLE)), jaccard_join.brute_force(texts_of(spark)))
 
 
-def test_jaccard_in_small_cells(spark, odd_texts, monkeypatch):
-    """A group of near copies that is spread over many cells and tasks loses no link."""
+@pytest.mark.parametrize("cells", [256, 3])
+def test_jaccard_in_small_cells(spark, odd_texts, monkeypatch, cells):
+    """A group of near copies that is spread over many cells, parts of a shingle's cells and tasks loses no link."""
     from conftest_llm import near, prose
 
+    monkeypatch.setattr(jaccard_join, "CELLS", cells)
     monkeypatch.setattr(jaccard_join, "CELL", 4)
     monkeypatch.setattr(jaccard_join, "PARTNERS", 6)
     base = prose(77, 200)
