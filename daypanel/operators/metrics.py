@@ -27,25 +27,39 @@ def labelled_steps(scored: DataFrame) -> DataFrame:
     return scored.filter(F.exists("truth", lambda t: t > 0))
 
 
+def _precision_of_step() -> Column:
+    """Over the true labels of a step, the mean share of true labels among those scored at least as high.
+
+    The scores are sorted once, with their truth. Walking them from the top, ``seen`` and ``true`` are what stands above
+    the current score, and a group of equal scores, ``tie`` of them with ``hit`` true, is settled when the next score
+    begins: each of its true labels has the share (true + hit) / (seen + tie). So a step costs one sort of its labels.
+    """
+    return F.expr(
+        """
+        transform(array(aggregate(
+          reverse(array_sort(arrays_zip(score, truth))),
+          named_struct('at', cast(null as double), 'seen', 0L, 'true', 0L, 'tie', 0L, 'hit', 0L, 'sum', 0D),
+          (s, c) -> if(s.at is not null and c.score = s.at,
+            named_struct('at', s.at, 'seen', s.seen, 'true', s.true, 'tie', s.tie + 1, 'hit', s.hit + c.truth, 'sum', s.sum),
+            named_struct('at', c.score, 'seen', s.seen + s.tie, 'true', s.true + s.hit, 'tie', 1L, 'hit', bigint(c.truth),
+              'sum', s.sum + if(s.hit = 0, 0D, s.hit * ((s.true + s.hit) / (s.seen + s.tie))))))),
+          s -> (s.sum + if(s.hit = 0, 0D, s.hit * ((s.true + s.hit) / (s.seen + s.tie)))) / nullif(s.true + s.hit, 0L))[0]
+        """
+    )
+
+
 def step_counts(scored: DataFrame) -> DataFrame:
     """Per step: cells both true and predicted, cells true, cells predicted, and the ranking precision.
 
-    Columns that the metric at hand does not ask for are pruned. The precision of a step is, over its true labels, the
-    mean share of true labels among those scored at least as high; equal scores share the larger rank.
+    Columns that the metric at hand does not ask for are pruned. In the ranking equal scores share the larger rank.
     """
     predicted = F.transform("score", lambda s: (s >= THRESHOLD).cast("int"))
-    true_scores = F.transform(
-        F.filter(F.arrays_zip("truth", "score"), lambda cell: cell["truth"] > 0), lambda cell: cell["score"]
-    )
-    share = F.transform(
-        "_true",
-        lambda mine: F.size(F.filter("_true", lambda s: s >= mine)) / F.size(F.filter("score", lambda s: s >= mine)),
-    )
-    return scored.withColumns({"_predicted": predicted, "_true": true_scores}).select(
+    doubles = {"_predicted": predicted, "score": F.col("score").cast("array<double>")}
+    return scored.withColumns(doubles).select(
         _whole(F.zip_with("truth", "_predicted", lambda t, p: t * p)).alias("both"),
         _whole(F.col("truth")).alias("is_true"),
         _whole(F.col("_predicted")).alias("is_predicted"),
-        (_total(share, F.lit(0.0)) / F.nullif(F.size("_true"), F.lit(0))).alias("precision"),
+        _precision_of_step().alias("precision"),
     )
 
 

@@ -49,7 +49,7 @@ def prepare(store: StageStore, relations: BaseRelations, n_drugs: int = VOCABULA
 
 
 def learn(store: StageStore, flow: Flow, passes: int = label_model.PASSES, patience: int | None = label_model.PATIENCE) -> DataFrame:
-    """Train the label model on the stored sequences, score the test admissions and append the run report.
+    """Train the label model on the stored sequences, score the test admissions and store the run report.
 
     The weights are a stage, so they can be read by a later run.
     """
@@ -61,7 +61,7 @@ def learn(store: StageStore, flow: Flow, passes: int = label_model.PASSES, patie
     store.write("label_weights", learned.weights)
     scored = label_model.score(vectors.filter("split = 'test'"), learned, n_labels, n_labels, n_features)
     scored = store.write("scored_label_model", scored)
-    store.append("reports", metrics.run_report(scored, LABEL_MODEL, time.monotonic() - start))
+    store.report("reports", "label_model", metrics.run_report(scored, LABEL_MODEL, time.monotonic() - start))
     return scored
 
 
@@ -73,7 +73,7 @@ def score(
     n_features: int,
     as_int: bool = False,
 ) -> DataFrame:
-    """Score the test admissions with given weights, append the run report and return the scored steps."""
+    """Score the test admissions with given weights, store the run report and return the scored steps."""
     start = time.monotonic()
     test = store.read("sequences").filter(F.col("split") == "test")
     padded = sequences.pad_truncate(test, n_features, as_int=as_int)
@@ -81,7 +81,7 @@ def score(
         "truth", encode.multi_hot(F.col("label"), n_drugs)
     )
     scored = store.write(f"scored_{cell}", scored)
-    store.append("reports", metrics.run_report(scored, MODEL_NAMES[cell], time.monotonic() - start))
+    store.report("reports", cell, metrics.run_report(scored, MODEL_NAMES[cell], time.monotonic() - start))
     return scored
 
 

@@ -321,6 +321,9 @@ QUERIES = {
     "admission_days": "select hadm_id, num from stays",
     "line_admission_days": """select hadm_id, count(*) as num from line_days group by hadm_id
         having count(*) between 2 and 100""",
+    "csv_quarantine": """select case when reason is null then hadm_id end as hadm_id,
+        case when reason is null then startdate end as startdate, case when reason is null then drug end as drug,
+        case when reason is not null then line end as record, reason from fx_csv_lines""",
     "drug_multihot": "select hadm_id, startdate, hot from hot",
     "drug_multihot_join": """select m.hadm_id, m.startdate, m.heart_rate, h.hot
         from modelling m join hot h using (hadm_id, startdate)""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +15,10 @@ from daypanel.operators import sequences as S
 from daypanel.operators import vocabulary as V
 from daypanel.plans import settings as P
 from daypanel.plans.flow import EventRelations, Flow
-from daypanel.sources.schemas import CATEGORIES, KEYS, SIGNAL_ORDER, STATIC_ORDER
+from daypanel.session import shared_dir
+from daypanel.sources.schemas import CATEGORIES, DRUG_USE, KEYS, SIGNAL_ORDER, STATIC_ORDER
 from daypanel.sources.standins import view
+from daypanel.sources.tables import read_csv_checked
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -255,6 +258,22 @@ def null_audit(spark, sf_dir):
     return encode.null_audit(flow(spark, sf_dir).dataset, [*SIGNAL_ORDER, *STATIC_ORDER])
 
 
+# Exchange files
+
+
+@query
+def csv_quarantine(spark, sf_dir):
+    """Lines written as text and read as an exchange file: whole rows, and the broken ones with their reason."""
+    lines = view(spark, sf_dir, "fx_csv_lines").select("line")
+    path = f"{shared_dir(spark)}/daypanel/csv-{uuid.uuid4().hex}"
+    lines.write.text(path)
+    rows, broken = read_csv_checked(spark, path, DRUG_USE, header=False)
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in DRUG_USE]
+    return rows.select(*rows.columns, F.lit(None).cast("string").alias("record"), F.lit(None).cast("string").alias("reason")).unionByName(
+        broken.select(*nothing, "record", "reason")
+    )
+
+
 # Encoding
 
 

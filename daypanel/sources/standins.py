@@ -94,6 +94,16 @@ select case when l_orderkey % 3 = 0 then 1 else l_suppkey end as hadm_id,
     when 1 then concat(cast(l_partkey as string), '.', lpad(cast(l_orderkey as string), 12, '0'))
     when 2 then concat(cast(l_partkey % 100 as string), '.5') when 3 then null else 'tall' end as value
 from lineitem""",
+    "fx_csv_lines": """
+select user_id as hadm_id, cast(ts as date) as startdate, event_type as drug,
+  case when event_id % 13 = 0 then 'columns' when event_id % 17 = 0 then 'value of startdate'
+    when event_id % 19 = 0 then 'columns' when event_id % 23 = 0 then 'value of hadm_id' end as reason,
+  case when event_id % 13 = 0 then concat(cast(user_id as string), ',', cast(cast(ts as date) as string))
+    when event_id % 17 = 0 then concat(cast(user_id as string), ',31/12/2024,', event_type)
+    when event_id % 19 = 0 then concat(cast(user_id as string), ',', cast(cast(ts as date) as string), ',', event_type, ',x')
+    when event_id % 23 = 0 then concat('n', cast(user_id as string), ',', cast(cast(ts as date) as string), ',', event_type)
+    else concat(cast(user_id as string), ',', cast(cast(ts as date) as string), ',', event_type) end as line
+from events""",
     "fx_line_readings": f"""
 select o.o_custkey as hadm_id, m.itemid, l.l_shipdate as charttime,
   case when (l.l_orderkey * 3 + l.l_linenumber) % 11 = 0 then null

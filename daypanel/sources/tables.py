@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daypanel.sources.schemas import BASE, EXPORTS
@@ -18,6 +19,41 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
+_CORRUPT, _FILE = "_corrupt_record", "_file"
+
+
+def read_csv_checked(
+    spark: SparkSession, path: str, schema: T.StructType, header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine) of a CSV exchange file: what can be read whole, and every other record with a reason.
+
+    The quarantine has the record as it stands in the file, the file and the ``reason``: ``columns`` (too few or too many
+    cells), or ``value of`` and the first column whose text is not of its type. Both sides come from one lazy read, which
+    is to be stored before either is used twice. A blank cell is null on both sides; a header that does not name the
+    columns is an error, as in ``read_csv``.
+    """
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema] + [T.StructField(_CORRUPT, T.StringType())])
+    options = {"header": header, "enforceSchema": False, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    raw = spark.read.schema(texts).options(**options).csv(path).withColumn(_FILE, F.input_file_name())
+    typed = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in schema}
+    reason = F.when(F.col(_CORRUPT).isNotNull(), F.lit("columns"))
+    for field in schema:
+        text = F.col(f"`{field.name}`")
+        reason = reason.when(text.isNotNull() & typed[field.name].isNull(), F.lit(f"value of {field.name}"))
+    judged = raw.withColumn("_reason", reason)
+    rows = judged.filter(F.col("_reason").isNull()).select(*[typed[f.name].alias(f.name) for f in schema])
+    cells = F.concat_ws(",", *[F.coalesce(F.col(f"`{f.name}`"), F.lit("")) for f in schema])
+    broken = judged.filter(F.col("_reason").isNotNull()).select(
+        F.coalesce(F.col(_CORRUPT), cells).alias("record"), F.col(_FILE).alias("file"), F.col("_reason").alias("reason")
+    )
+    return rows, broken
+
+
+def quarantine_report(broken: DataFrame) -> DataFrame:
+    """reason, n: how many records are held back for each."""
+    return broken.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """A folder of CSV parts with header and without an index column; many writers, no single merged file."""
     df.write.mode("overwrite").option("header", True).csv(path)
@@ -41,9 +77,9 @@ class StageStore:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(self.path(name))
 
-    def append(self, name: str, df: DataFrame) -> None:
-        """Run reports collect over runs."""
-        df.write.mode("append").parquet(self.path(name))
+    def report(self, name: str, run: str, df: DataFrame) -> None:
+        """Reports collect over runs, one folder each; a run that is done again replaces its own."""
+        df.write.mode("overwrite").parquet(f"{self.path(name)}/run={run}")
 
     def export(self, name: str, df: DataFrame) -> None:
         """One of the three exchange tables as CSV, columns in the declared order."""

@@ -90,6 +90,34 @@ def test_learning_reports_append(done):
     assert store.read("reports").count() == before + 1
 
 
+def test_a_run_done_again_replaces_its_report(spark, tmp_path):
+    store = tables.StageStore(spark, str(tmp_path))
+    for run, value in (("a", 1), ("b", 2), ("a", 3)):
+        store.report("reports", run, spark.range(value, value + 1).toDF("n"))
+    assert sorted((r.run, r.n) for r in store.read("reports").collect()) == [("a", 3), ("b", 2)]
+
+
+def test_broken_records_are_held_back(spark, tmp_path):
+    lines = [
+        "hadm_id,startdate,drug", "1,2024-01-02,a", "2,2024-01-03", "x,2024-01-03,b", "3,2024-13-03,b", "4,,", "5,2024-01-04,c,d",
+        '6,2024-01-05,"e,f"', ",,",
+    ]
+    (tmp_path / "use.csv").write_text("\n".join(lines) + "\n")
+    rows, broken = tables.read_csv_checked(spark, str(tmp_path / "use.csv"), schemas.DRUG_USE)
+    assert rows.schema == schemas.DRUG_USE
+    assert sorted((r.hadm_id or 0, str(r.startdate), r.drug) for r in rows.collect()) == [
+        (0, "None", None), (1, "2024-01-02", "a"), (4, "None", None), (6, "2024-01-05", "e,f"),
+    ]
+    held = {(r.record, r.reason) for r in broken.collect()}
+    assert held == {
+        ("2,2024-01-03", "columns"), ("x,2024-01-03,b", "value of hadm_id"), ("3,2024-13-03,b", "value of startdate"),
+        ("5,2024-01-04,c,d", "columns"),
+    }
+    assert all(r.file.endswith("use.csv") for r in broken.collect())
+    counts = {r.reason: r.n for r in tables.quarantine_report(broken).collect()}
+    assert counts == {"columns": 2, "value of hadm_id": 1, "value of startdate": 1}
+
+
 def test_blank_cells_are_null(spark, tmp_path):
     (tmp_path / "x.csv").write_text("hadm_id,num\n1,\n2,5\n")
     rows = tables.read_csv(spark, str(tmp_path / "x.csv"), schemas.ADMISSION_DAYS).orderBy("hadm_id").collect()
