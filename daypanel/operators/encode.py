@@ -168,8 +168,13 @@ def with_drugs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.join(sets, KEYS)
 
 
+def null_counts(columns: Sequence[str]) -> dict[str, Column]:
+    """The aggregates of the null audit, one a column."""
+    return {name: F.count_if(F.col(name).isNull()) for name in columns}
+
+
 def null_audit(dataset: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Number of nulls per column, one row each, from a single aggregate."""
-    counts = dataset.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in columns])
+    counts = dataset.agg(*[n.alias(name) for name, n in null_counts(columns).items()])
     pairs = [F.struct(F.lit(name).alias("column_name"), F.col(name).alias("n_null")) for name in columns]
     return counts.select(F.inline(F.array(*pairs)))

@@ -73,15 +73,20 @@ def dual_sequence(padded: DataFrame, n_drugs: int) -> DataFrame:
     )
 
 
-def sequence_stats(seqs: DataFrame) -> DataFrame:
-    """One row: sequences, label steps, and days whose drugs or labels are all zero."""
+def sequence_counts() -> dict[str, Column]:
+    """The aggregates of ``sequence_stats``."""
 
     def empty(part: str) -> Column:
         return F.sum(F.size(F.filter("steps", lambda s: F.size(s[part]) == 0))).cast("bigint")
 
-    return seqs.agg(
-        F.count(F.lit(1)).alias("n_sequences"),
-        F.sum(F.size("steps")).cast("bigint").alias("n_steps"),
-        empty("drugs").alias("n_empty_drugs"),
-        empty("label").alias("n_empty_labels"),
-    )
+    return {
+        "n_sequences": F.count(F.lit(1)),
+        "n_steps": F.sum(F.size("steps")).cast("bigint"),
+        "n_empty_drugs": empty("drugs"),
+        "n_empty_labels": empty("label"),
+    }
+
+
+def sequence_stats(seqs: DataFrame) -> DataFrame:
+    """One row: sequences, label steps, and days whose drugs or labels are all zero."""
+    return seqs.agg(*[n.alias(name) for name, n in sequence_counts().items()])

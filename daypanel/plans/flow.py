@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daypanel.operators import encode, impute, panel, sequences, signals, statics, vocabulary
 from daypanel.sources.standins import view
-from daypanel.sources.tables import read_base
+from daypanel.sources.tables import read_base, snapshot
 
 VOCABULARY = 400
 
@@ -24,6 +24,10 @@ class BaseRelations:
     def _read(self, name: str) -> DataFrame:
         return read_base(self.spark, self.root, name)
 
+    def marks(self, *names: str) -> dict[str, str]:
+        """What tells one state of the stored relations from another."""
+        return {name: snapshot(self.spark, f"{self.root}/{name}") for name in names}
+
     @cached_property
     def admissions(self) -> DataFrame:
         return self._read("admissions")
@@ -60,6 +64,9 @@ class EventRelations(BaseRelations):
     def _read(self, name: str) -> DataFrame:
         return view(self.spark, self.root, f"fx_{name}")
 
+    def marks(self, *names: str) -> dict[str, str]:
+        return dict.fromkeys(names, snapshot(self.spark, self.root))
+
     @cached_property
     def tagged(self) -> DataFrame:
         return signals.tag_signals(self._read("readings"), dictionary=self._read("items"))

@@ -1,7 +1,7 @@
 """The whole job as stages on storage: base relations in, exchange files, sequences and run reports out.
 
 Each stage is written once and read by the later ones, so nothing is computed twice and a lost executor or a failed
-run costs one stage. Run it with ``python -m daypanel.plans.job BASE_DIR OUT_DIR``.
+run costs one stage: a run that is started again goes on behind the last stage that is whole. Run it with ``python -m daypanel.plans.job BASE_DIR OUT_DIR``.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 import sys
 import time
 from collections.abc import Mapping
+from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from daypanel.operators import encode, impute, label_model, metrics, scoring, sequences, vocabulary
 from daypanel.plans.flow import VOCABULARY, BaseRelations, Flow
 from daypanel.session import build_session, size_shuffles
+from daypanel.sources.schemas import KEYS, SIGNAL_ORDER, STATIC_ORDER
 from daypanel.sources.tables import StageStore, write_csv
 
 LABEL_MODEL = "label model"
@@ -24,44 +26,90 @@ MODEL_NAMES = {"rnn": "cross-attention RNN", "lstm": "cross-attention LSTM", "gr
 
 
 def prepare(store: StageStore, relations: BaseRelations, n_drugs: int = VOCABULARY, **flow_options) -> Flow:
-    """Clean, assemble and encode; export the exchange tables. Leaves every stage in ``store``."""
+    """Clean, assemble and encode; export the exchange tables. Leaves every stage in ``store``.
+
+    Stages whose sources and options have not changed are read, not made again. Those with an admission number are
+    bucketed by it, so that they meet without an exchange.
+    """
     flow = Flow(relations, n_drugs, **flow_options)
-    flow.vocabulary = store.write("vocabulary", flow.vocabulary)
-    flow.use = store.write("drug_use", vocabulary.daily_drug_use(flow.use))
-    flow.spine = store.write("spine", flow.spine)
-    flow.static = store.write("static", flow.static)
-    flow.panel = store.write("panel", flow.panel)
-    flow.dataset = store.write("dataset", flow.dataset)
-    flow.keys = flow.dataset.select("hadm_id", "startdate")
-    flow.stays = store.write("admission_days", flow.stays)
+    stage, stay = store.stage, KEYS[:1]
+    drugs = {**relations.marks("prescriptions"), "n_drugs": n_drugs}
+    flow.vocabulary = stage("vocabulary", lambda: flow.vocabulary, options=drugs)
+    flow.use = stage("drug_use", lambda: vocabulary.daily_drug_use(flow.use), ["vocabulary"], bucketed=KEYS)
+    flow.spine = stage("spine", lambda: flow.spine, ["drug_use"], bucketed=KEYS)
+    people = relations.marks("admissions", "patients", "chartevents")
+    flow.static = stage("static", lambda: flow.static, options=people, bucketed=stay)
+    readings = relations.marks("chartevents", "labevents", "d_items", "d_labitems")
+    flow.panel = stage("panel", lambda: flow.panel, ["spine"], options=readings, bucketed=KEYS)
+    counts = encode.null_counts([*SIGNAL_ORDER, *STATIC_ORDER])
+    flow.dataset = stage("dataset", lambda: flow.dataset, ["panel", "static"], options=people, audit=counts, bucketed=KEYS)
+    flow.keys = flow.dataset.select(*KEYS)
+    bounds = {"stay_days": flow.stay_days}
+    flow.stays = stage("admission_days", lambda: flow.stays, ["dataset"], options=bounds, bucketed=stay)
     for name, df in (("drug_use", flow.use), ("admission_days", flow.stays), ("dataset", flow.dataset)):
-        store.export(name, df)
-
-    matrix = store.write("onehot", encode.feature_matrix(flow.dataset, flow.layout))
-    write_csv(encode.flat_frame(matrix, flow.layout), store.path("csv/dataset_onehot"))
-    blocked = impute.assign_blocks(matrix, flow.keys.count(), flow.block_rows)
-    flow.imputed = store.write("imputed", impute.knn_impute(blocked))
-    drugs = [row.drug for row in flow.positions.orderBy("position").collect()]  # the vocabulary, at most n_drugs names
-    write_csv(encode.flat_frame(flow.matrix, flow.layout, drugs), store.path("csv/dataset_imputed"))
+        store.once(f"csv/{name}", lambda name=name, df=df: store.export(name, df), [name])
+
+    flow.layout = encode.FeatureLayout(stage("categories", lambda: flow.layout.dictionary, ["static", "spine"], options=people))
+    matrix = stage("onehot", lambda: encode.feature_matrix(flow.dataset, flow.layout), ["dataset", "categories"])
+    store.once(
+        "csv/dataset_onehot",
+        lambda: write_csv(encode.flat_frame(matrix, flow.layout), store.path("csv/dataset_onehot")),
+        ["onehot"],
+    )
+
+    def imputed() -> DataFrame:
+        return impute.knn_impute(impute.assign_blocks(matrix, flow.keys.count(), flow.block_rows))
+
+    flow.imputed = stage("imputed", imputed, ["onehot"], options={"block_rows": flow.block_rows}, bucketed=KEYS)
+
+    def export_imputed() -> None:
+        drugs = [row.drug for row in flow.positions.orderBy("position").collect()]  # the vocabulary, at most n_drugs names
+        write_csv(encode.flat_frame(flow.matrix, flow.layout, drugs), store.path("csv/dataset_imputed"))
+
+    store.once("csv/dataset_imputed", export_imputed, ["imputed", "drug_use"])
     split = sequences.split_of(F.col("hadm_id")).alias("split")
-    store.write("sequences", flow.sequences.select("hadm_id", split, "steps"))
+    stage(
+        "sequences",
+        lambda: flow.sequences.select("hadm_id", split, "steps"),
+        ["imputed", "drug_use", "admission_days"],
+        audit=sequences.sequence_counts(),
+        bucketed=stay,
+    )
     return flow
 
 
 def learn(store: StageStore, flow: Flow, passes: int = label_model.PASSES, patience: int | None = label_model.PATIENCE) -> DataFrame:
     """Train the label model on the stored sequences, score the test admissions and store the run report.
 
-    The weights are a stage, so they can be read by a later run.
+    Weights and scales are stages, so they can be read by a later run. A run that is done again with the same sequences
+    and options reads its scores and has one report.
     """
     start = time.monotonic()
     n_labels, n_features = flow.n_drugs, flow.layout.n_features
-    steps = store.read("sequences").select("hadm_id", F.inline("steps"))
-    vectors = label_model.step_vectors(steps, n_labels)
-    learned = label_model.train(vectors, n_labels, n_labels, n_features, passes, patience)
-    store.write("label_weights", learned.weights)
-    scored = label_model.score(vectors.filter("split = 'test'"), learned, n_labels, n_labels, n_features)
-    scored = store.write("scored_label_model", scored)
-    store.report("reports", "label_model", metrics.run_report(scored, LABEL_MODEL, time.monotonic() - start))
+
+    @cache
+    def vectors() -> DataFrame:
+        steps = store.read("sequences").select("hadm_id", F.inline("steps"))
+        return label_model.step_vectors(steps, n_labels)
+
+    def weigh() -> DataFrame:
+        return label_model.train(vectors(), n_labels, n_labels, n_features, passes, patience).weights
+
+    rule = {"n_labels": n_labels, "passes": passes, "patience": patience}
+    scales = store.stage("label_scales", lambda: label_model.scales_of(vectors(), n_labels), ["sequences"], options=rule)
+    weights = store.stage("label_weights", weigh, ["sequences"], options=rule)
+
+    def scores() -> DataFrame:
+        learned = label_model.Learned(weights, scales, [], 0)
+        return label_model.score(vectors().filter("split = 'test'"), learned, n_labels, n_labels, n_features)
+
+    scored = store.stage("scored_label_model", scores, ["sequences", "label_weights", "label_scales"])
+    run = f"label_model-{store.fingerprint('scored_label_model')[:12]}"
+    store.once(
+        f"report-{run}",
+        lambda: store.report("reports", run, metrics.run_report(scored, LABEL_MODEL, time.monotonic() - start)),
+        ["scored_label_model"],
+    )
     return scored
 
 
@@ -87,6 +135,7 @@ def score(
 
 def run(spark: SparkSession, base_dir: str, out_dir: str, n_drugs: int = VOCABULARY) -> None:
     """Base relations to reports. Networks are not scored here, since their weights come from outside: see ``score``."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")  # days meet in the buckets of their admission
     store = StageStore(spark, out_dir)
     relations = BaseRelations(spark, base_dir)
     size_shuffles(spark, relations.prescriptions, *relations.events)

@@ -392,6 +392,9 @@ def _needed(sql: str) -> list[str]:
                 todo.append(CTES[name])
     return [name for name in CTES if name in found]
 
+for kept, same in (("null_audit_of_write", "null_audit"), ("sequence_stats_of_write", "sequence_stats"), ("stored_sequences", "sequences")):
+    QUERIES[kept] = QUERIES[same]
+
 
 def oracle(name: str) -> str:
     """The query with the parts it needs in front, in an order in which each comes after what it reads."""

@@ -18,7 +18,7 @@ from daypanel.plans.flow import EventRelations, Flow
 from daypanel.session import shared_dir
 from daypanel.sources.schemas import CATEGORIES, DRUG_USE, KEYS, SIGNAL_ORDER, STATIC_ORDER
 from daypanel.sources.standins import view
-from daypanel.sources.tables import read_csv_checked
+from daypanel.sources.tables import StageStore, read_csv_checked
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -258,6 +258,40 @@ def null_audit(spark, sf_dir):
     return encode.null_audit(flow(spark, sf_dir).dataset, [*SIGNAL_ORDER, *STATIC_ORDER])
 
 
+def _stages(spark: SparkSession) -> StageStore:
+    return StageStore(spark, f"{shared_dir(spark)}/daypanel/stages-{uuid.uuid4().hex}")
+
+
+@query
+def null_audit_of_write(spark, sf_dir):
+    """The null audit as counted by the write of the modelling table, without a scan of its own."""
+    f, store = flow(spark, sf_dir), _stages(spark)
+    store.stage("dataset", lambda: f.dataset, audit=encode.null_counts([*SIGNAL_ORDER, *STATIC_ORDER]))
+    return spark.createDataFrame(sorted(store.audit("dataset").items()), "column_name string, n_null bigint")
+
+
+@query
+def sequence_stats_of_write(spark, sf_dir):
+    f, store = flow(spark, sf_dir), _stages(spark)
+    store.stage("sequences", lambda: S.sequences(f.labelled_days), audit=S.sequence_counts(), bucketed=["hadm_id"])
+    counts = store.audit("sequences")
+    return spark.createDataFrame([counts], ", ".join(f"{name} bigint" for name in counts))
+
+
+@query
+def stored_sequences(spark, sf_dir):
+    """Sequences written in buckets and read by a second run, which finds them in the manifest."""
+    f, store = flow(spark, sf_dir), _stages(spark)
+    marks = f.relations.marks("events")
+
+    def run(store: StageStore) -> DataFrame:
+        days = store.stage("days", lambda: f.labelled_days, options=marks, bucketed=KEYS)
+        return store.stage("sequences", lambda: S.sequences(days), ["days"], bucketed=["hadm_id"])
+
+    run(store)
+    return _sequence_texts(run(StageStore(spark, store.root)))
+
+
 # Exchange files
 
 
@@ -358,12 +392,11 @@ def sequence_stats(spark, sf_dir):
     return S.sequence_stats(S.sequences(flow(spark, sf_dir).labelled_days))
 
 
-@query
-def sequences(spark, sf_dir):
+def _sequence_texts(seqs: DataFrame) -> DataFrame:
     def along(of) -> Column:
         return F.array_join(F.transform("steps", of), "|")
 
-    return S.sequences(flow(spark, sf_dir).labelled_days).select(
+    return seqs.select(
         "hadm_id",
         F.size("steps").alias("n_steps"),
         along(lambda s: F.date_format(s["startdate"], "yyyy-MM-dd")).alias("days"),
@@ -372,6 +405,11 @@ def sequences(spark, sf_dir):
     )
 
 
+@query
+def sequences(spark, sf_dir):
+    return _sequence_texts(S.sequences(flow(spark, sf_dir).labelled_days))
+
+
 @query
 def split_admissions(spark, sf_dir):
     return flow(spark, sf_dir).stays.select("hadm_id", S.split_of(F.col("hadm_id")).alias("split"))

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from daypanel import session
 from daypanel.operators import registry as R
-from daypanel.operators import scoring
+from daypanel.operators import encode, panel, scoring, sequences, statics
 from daypanel.plans import job
 from daypanel.plans.flow import BaseRelations, EventRelations, Flow
 from daypanel.sources import schemas, tables
+from daypanel.sources.schemas import SIGNAL_ORDER, STATIC_ORDER
 from daypanel.sources.standins import view
 
 
@@ -174,9 +175,134 @@ def test_flat_exchange_frames(spark, done):
     assert onehot.columns == ["hadm_id", "startdate", *flow.layout.names]
 
 
-def test_job_can_run_again(spark, base, done):
-    """Last, since it replaces the files that the first run's frames list."""
+def test_the_job_audits_what_it_writes(done):
     store, _ = done
-    before = store.read("dataset").count()
-    job.prepare(store, BaseRelations(spark, base), 40, block_rows=50)
-    assert store.read("dataset").count() == before
+    wanted = {row.column_name: row.n_null for row in encode.null_audit(store.read("dataset"), [*SIGNAL_ORDER, *STATIC_ORDER]).collect()}
+    assert store.audit("dataset") == wanted
+    assert store.audit("sequences") == sequences.sequence_stats(store.read("sequences")).first().asDict()
+
+
+def test_stored_days_meet_without_an_exchange_by_admission(spark, done):
+    """Panel to modelling table, features and drugs to sequences, with no side broadcast but the vocabulary."""
+    store, flow = done
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    try:
+        table = panel.modelling_table(flow.panel, statics.adult_cohort(flow.static).withColumn("hospital_expire_flag", F.lit(0.0)))
+        sets = encode.drug_sets(flow.use, F.broadcast(flow.positions))
+        steps = sequences.next_day_labels(encode.with_drugs(flow.imputed, sets), flow.stays)
+        whole = sequences.sequences(steps)
+        for df in (table, whole):
+            text = df._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning(hadm_id" not in text and "Bucketed: true" in text
+        assert whole.count() == store.read("sequences").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+
+
+def test_job_can_run_again(spark, base, done):
+    """Nothing has changed, so nothing is written; another block size makes the stages from there on anew."""
+    store, flow = done
+    reports = store.read("reports").count()
+    again = tables.StageStore(spark, store.root)
+    same = job.prepare(again, BaseRelations(spark, base), 40, block_rows=50)
+    scored = job.learn(again, same, passes=3, patience=None)
+    assert again.written == [] and again.read("reports").count() == reports
+    assert same.dataset.exceptAll(flow.dataset).count() == 0 and scored.count() > 0
+    other = tables.StageStore(spark, store.root)
+    job.prepare(other, BaseRelations(spark, base), 40, block_rows=60)
+    assert other.written == ["imputed", "csv/dataset_imputed", "sequences"]
+
+
+# Below: jobs of their own, since they change what they read.
+
+
+@pytest.fixture
+def two_rows(spark, tmp_path):
+    source = str(tmp_path / "source")
+    spark.range(10).toDF("n").write.parquet(source)
+    return source, tables.StageStore(spark, str(tmp_path / "out"))
+
+
+def test_a_stage_is_made_once(spark, two_rows):
+    source, store = two_rows
+
+    def make():
+        mark = {"source": tables.snapshot(spark, source)}
+        small = store.stage("small", lambda: spark.read.parquet(source).filter("n < 5"), options=mark)
+        return store.stage("sum", lambda: small.agg(F.sum("n").alias("n")), ["small"]).first().n
+
+    assert make() == 10 and store.written == ["small", "sum"]
+    assert make() == 10 and store.written == ["small", "sum"]  # nothing changed
+    spark.createDataFrame([(-7,)], "n long").write.mode("append").parquet(source)
+    assert make() == 3 and store.written == ["small", "sum"] * 2  # the source changed
+
+
+def test_a_killed_run_goes_on_at_the_stage_it_died_in(spark, two_rows):
+    source, store = two_rows
+
+    def make(store, broken):
+        first = store.stage("first", lambda: spark.read.parquet(source))
+        fault = F.when(F.col("n") == 9, F.raise_error(F.lit("killed"))).otherwise(F.col("n"))
+        second = store.stage("second", lambda: first.select(fault.alias("n") if broken else F.col("n")), ["first"])
+        return store.stage("third", lambda: second.agg(F.count("n").alias("n")), ["second"]).first().n
+
+    with pytest.raises(Exception, match="killed"):
+        make(store, True)
+    assert store.written == ["first"]
+    later = tables.StageStore(spark, store.root)
+    assert make(later, False) == 10 and later.written == ["second", "third"]
+
+
+def test_an_unfinished_write_is_not_believed(spark, two_rows):
+    """With its old options again, too: the files may be those of the new ones."""
+    source, store = two_rows
+    store.stage("s", lambda: spark.range(3).toDF("n"), options={"size": 3})
+    with pytest.raises(ZeroDivisionError):
+        store.stage("s", lambda: 1 / 0, options={"size": 4})
+    again = tables.StageStore(spark, store.root)
+    assert again.stage("s", lambda: spark.range(3).toDF("n"), options={"size": 3}).count() == 3
+    assert again.written == ["s"]
+    with pytest.raises(KeyError):
+        again.fingerprint("nothing")
+
+
+def test_the_write_counts(spark, two_rows):
+    source, store = two_rows
+    counts = {"rows": F.count(F.lit(1)), "sum": F.sum("n"), "none": F.count_if(F.col("n").isNull())}
+    store.stage("s", lambda: spark.range(5).toDF("n"), audit=counts)
+    assert store.audit("s") == {"rows": 5, "sum": 10, "none": 0}
+    assert tables.StageStore(spark, store.root).audit("s") == {"rows": 5, "sum": 10, "none": 0}
+    store.stage("e", lambda: spark.range(0).toDF("n"), audit=counts)
+    assert store.audit("e") == {"rows": 0, "sum": None, "none": 0}
+    assert store.audit("unknown") == {}
+
+
+def test_buckets_meet_without_an_exchange(spark, two_rows):
+    _, store = two_rows
+    days = spark.range(300).select((F.col("id") % 50).alias("hadm_id"), F.col("id").alias("day"))
+    days = store.stage("days", lambda: days, bucketed=["hadm_id", "day"])
+    people = spark.range(50).select(F.col("id").alias("hadm_id"), (F.col("id") * 2).alias("age"))
+    people = store.stage("people", lambda: people, bucketed=["hadm_id"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = days.join(people, "hadm_id").groupBy("hadm_id").agg(F.count("day").alias("n"), F.max("age").alias("age"))
+        assert "Exchange" not in met._jdf.queryExecution().executedPlan().toString()
+        assert met.filter("n = 6 and age = 2 * hadm_id").count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_buckets_are_known_to_a_new_session(spark, two_rows):
+    _, store = two_rows
+    frame = spark.range(20).select("id", F.array(F.struct(F.col("id").alias("x"))).alias("parts"))
+    store.stage("s", lambda: frame, bucketed=["id"])
+    spark.sql(f"drop table {store._table('s')}")  # as a session that never saw it
+    again = tables.StageStore(spark, store.root)
+    got = again.stage("s", lambda: 1 / 0, bucketed=["id"])
+    assert got.schema.simpleString() == frame.schema.simpleString() and got.count() == 20
+    assert "Bucketed: true" in got.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+    spark.sql(f"drop table {store._table('s')}")
+    third = tables.StageStore(spark, store.root)
+    assert third.stage("s", lambda: frame.filter("id < 7"), options={"new": 1}, bucketed=["id"]).count() == 7
