@@ -10,21 +10,25 @@ What a turn says beside its text stands in marked JSON:
 Each turn is parsed on its own. Calls and results then meet in a hash join by conversation and identifier, calls and
 schemas by conversation and tool name. A call needs the calls that it names in ``depends_on`` or whose identifier is
 the whole of a string argument ``$id``. So a turn waits for others: one with a result for the call, one with a call for
-the results of what that needs. Turns are put in levels, one join for each, written to the shared folder; what hangs on
-a circle has no level. Inside a turn calls stand behind those of the turn that they need.
+the results of what that needs. Turns are put in levels by the longest way, inside a conversation where its links are few
+(``WHOLE_EDGES``), by a join for each level otherwise; what hangs on a circle has no level. Inside a turn calls stand
+behind those of the turn that they need.
 
 The result has a row for each turn, so no conversation is gathered in one task. Sorting a conversation by
 (``order_turn``, ``order_level``, ``turn``) is a topological order, and leaves turns as they are where they are in one.
 
 Of several calls with one identifier the first counts, by turn and place; so does the first of several results and of
-several schemas of a name. The others are marked duplicate. JSON that does not parse, or that has no identifier, stays
-text and is counted as broken. Canonical JSON has sorted keys, no blanks, and characters as they are. A null text is an
+several schemas of a name. The others are marked duplicate. JSON that is not strict (see ``json_schema``) stays text and is
+counted as broken; so does a call or result whose identifier is not a text or a number, and one whose name is not a text.
+A schema with words that are malformed or not known is checked as far as it goes, and its calls are counted apart.
+Canonical JSON has sorted keys, no blanks, and characters as they are. A null text is an
 empty message, a null role the role "none"; a null conversation is one without links. Rows that repeat all four
 columns count once. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 
@@ -33,16 +37,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
+from .json_schema import canonical, check, read
 from .textscan import batch_of
 
 MARK = re.compile(r"<(tools|tool_call|tool_result)>(.*?)</\1>", re.S)
+WHOLE_EDGES = 20_000  # of a conversation that is followed in one piece, some 2 MB
+_ROUNDS_A_PLAN = 16
 _ITEM = "place: int, kind: string, id: string, name: string, value: string, needs: array<string>"
 
 
-def canonical(value) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
-
-
 def references(value) -> set[str]:
     """Identifiers that stand in an argument as the string ``$id``."""
     if isinstance(value, dict):
@@ -52,54 +55,17 @@ def references(value) -> set[str]:
     return {value[1:]} if isinstance(value, str) and len(value) > 1 and value[0] == "$" else set()
 
 
-_TYPES = {
-    "object": dict, "array": list, "string": str, "boolean": bool, "null": type(None), "integer": int, "number": (int, float),
-}
-
-
-def problems(value, schema, path: str = "$") -> list[str]:
-    """Where a value breaks a JSON schema: type, enum, const, bounds, lengths, pattern, items, properties, required."""
-    if not isinstance(schema, dict):
-        return []
-    out = []
-    kinds = schema.get("type")
-    kinds = kinds if isinstance(kinds, list) else [kinds] if kinds else []
-
-    def fits(kind):
-        if kind in ("integer", "number") and isinstance(value, bool):
-            return False
-        if kind == "integer" and isinstance(value, float):
-            return value.is_integer()
-        return isinstance(value, _TYPES.get(kind, object))
-
-    if kinds and not any(map(fits, kinds)):
-        return [f"{path}: type"]
-    if "enum" in schema and value not in schema["enum"]:
-        out.append(f"{path}: enum")
-    if "const" in schema and value != schema["const"]:
-        out.append(f"{path}: const")
-    if isinstance(value, (int, float)) and not isinstance(value, bool):
-        if value < schema.get("minimum", value) or value > schema.get("maximum", value):
-            out.append(f"{path}: bounds")
-    if isinstance(value, str):
-        if not schema.get("minLength", 0) <= len(value) <= schema.get("maxLength", len(value)):
-            out.append(f"{path}: length")
-        if "pattern" in schema and not re.search(schema["pattern"], value):
-            out.append(f"{path}: pattern")
-    if isinstance(value, list):
-        if not schema.get("minItems", 0) <= len(value) <= schema.get("maxItems", len(value)):
-            out.append(f"{path}: length")
-        for i, x in enumerate(value):
-            out += problems(x, schema.get("items"), f"{path}[{i}]")
-    if isinstance(value, dict):
-        known = schema.get("properties", {})
-        out += [f"{path}.{k}: missing" for k in schema.get("required", []) if k not in value]
-        for k, x in value.items():
-            if k in known:
-                out += problems(x, known[k], f"{path}.{k}")
-            elif schema.get("additionalProperties", True) is False:
-                out.append(f"{path}.{k}: unknown")
-    return sorted(out)
+def _identifier(value) -> str:
+    """A text as it is, a number as it is written. Nothing else names a call."""
+    if isinstance(value, bool) or not isinstance(value, (str, int, float)):
+        raise ValueError("no identifier")
+    return value if isinstance(value, str) else canonical(value)
+
+
+def _name(value) -> str:
+    if not isinstance(value, str):
+        raise ValueError("no name")
+    return value
 
 
 def parse(role: str | None, text: str | None) -> tuple[str, list[dict], int]:
@@ -107,22 +73,25 @@ def parse(role: str | None, text: str | None) -> tuple[str, list[dict], int]:
     items, broken = [], 0
 
     def item(kind, raw):
-        value = json.loads(raw)
+        value = read(raw)
         if kind == "tools":
             return [
-                {"kind": "schema", "id": None, "name": str(t["name"]), "value": canonical(t.get("parameters", {})), "needs": []}
+                {"kind": "schema", "id": None, "name": _name(t["name"]), "value": canonical(t.get("parameters", {})), "needs": []}
                 for t in value
             ]
         if kind == "tool_call":
             arguments = value.get("arguments", {})
-            arguments = json.loads(arguments) if isinstance(arguments, str) else arguments
-            needs = {str(x) for x in value.get("depends_on", [])} | references(arguments)
+            arguments = read(arguments) if isinstance(arguments, str) else arguments
+            listed = value.get("depends_on", [])
+            if not isinstance(listed, list):
+                raise ValueError("no list")
+            needs = {_identifier(x) for x in listed} | references(arguments)
             return [
-                {"kind": "call", "id": str(value["id"]), "name": str(value.get("name", "")), "value": canonical(arguments),
-                 "needs": sorted(needs)}
+                {"kind": "call", "id": _identifier(value["id"]), "name": _name(value.get("name", "")),
+                 "value": canonical(arguments), "needs": sorted(needs)}
             ]
         return [
-            {"kind": "result", "id": str(value["id"]), "name": None, "value": canonical(value.get("content")), "needs": []}
+            {"kind": "result", "id": _identifier(value["id"]), "name": None, "value": canonical(value.get("content")), "needs": []}
         ]
 
     def replace(m):
@@ -175,38 +144,94 @@ def _first(rows: DataFrame, *by: str) -> DataFrame:
     return rows.withColumn("duplicate", F.row_number().over(place) > 1)
 
 
-def _levels(nodes: DataFrame, edges: DataFrame, most_levels: int) -> DataFrame:
-    """(k, level, at) of each turn that hangs on no circle: behind all turns that it waits for.
+def _longest_ways(turns: dict[int, object], before: dict[int, set[int]]) -> dict[int, tuple[int, object]]:
+    """level and at of each turn of one conversation that hangs on no circle."""
+    users: dict[int, list[int]] = {}
+    for k, needed in before.items():
+        for b in needed:
+            users.setdefault(b, []).append(k)
+    open_ = {k: len(before.get(k, ())) for k in turns}
+    level, at = dict.fromkeys(turns, 0), dict(turns)
+    ready, out = [k for k, n in open_.items() if not n], {}
+    while ready:
+        b = ready.pop()
+        out[b] = (level[b], at[b])
+        for k in users.get(b, ()):
+            level[k] = max(level[k], level[b] + 1)
+            at[k] = max((x for x in (at[k], at[b]) if x is not None), default=None)
+            open_[k] -= 1
+            if not open_[k]:
+                ready.append(k)
+    return out
 
-    ``nodes`` has k and turn, ``edges`` has k and the turn ``before`` it. The level is the longest way to a turn that
-    waits for none; ``at`` is the latest turn number on the way, its own included.
-    """
-    edges = staged(edges.distinct(), "chat-edges")
-    waiting = edges.select("k").distinct()
-    level = nodes.join(waiting, "k", "left_anti").select("k", F.lit(0).alias("level"), F.col("turn").alias("at"))
-    out = level = staged(level, "chat-level")
-    waiting = staged(nodes.join(waiting, "k", "left_semi"), "chat-waiting")
-    for n in range(1, most_levels + 1):
-        if waiting.isEmpty():
-            return out
+
+def _levels_inside(edges: DataFrame) -> DataFrame:
+    """(k, level, at) for all turns of ``edges``, level null on a circle; each conversation is one bounded group."""
+    kind = edges.schema["turn"].dataType.simpleString()
+
+    def follow(group: pa.Table) -> pa.Table:
+        turns, before = {}, {}
+        for k, turn, b, turn_before in zip(*(group[n].to_pylist() for n in ("k", "turn", "before", "turn_before"))):
+            turns[k], turns[b] = turn, turn_before
+            before.setdefault(k, set()).add(b)
+        ways = _longest_ways(turns, before)
+        level, at = zip(*(ways.get(k, (None, None)) for k in turns))
+        columns = [pa.array(list(turns), pa.int64()), pa.array(level, pa.int32()), pa.array(at, group["turn"].type)]
+        return pa.table(columns, names=["k", "level", "at"])
+
+    return edges.groupBy("conv_id").applyInArrow(follow, f"k long, level int, at {kind}")
+
+
+def _levels_in_rounds(edges: DataFrame) -> DataFrame:
+    """The same for conversations of any size: a join for each level, until no turn is free any more."""
+    nodes = edges.select("k", "turn").union(edges.select("before", "turn_before")).distinct()
+    edges = edges.select("k", "before")
+    waits = edges.select("k").distinct()
+    free = nodes.join(waits, "k", "left_anti").select("k", F.lit(0).alias("level"), F.col("turn").alias("at"))
+    out = level = staged(free, "chat-level")
+    waiting = staged(nodes.join(waits, "k", "left_semi"), "chat-waiting")
+    n = 0
+    while not level.isEmpty() and not waiting.isEmpty():
+        n += 1
         met = edges.join(out.select(F.col("k").alias("before"), "level", "at"), "before", "left")
         state = met.groupBy("k").agg(F.count_if(F.col("level").isNull()).alias("open"), F.max("at").alias("last"))
         level = waiting.join(state.filter("open = 0"), "k").select(
             "k", F.lit(n).alias("level"), F.greatest("turn", "last").alias("at")
         )
         level = staged(level, "chat-level")
-        if level.isEmpty():
-            return out
         out = out.unionByName(level)
+        if n % _ROUNDS_A_PLAN == 0:
+            out = staged(out, "chat-levels")
         waiting = staged(waiting.join(level, "k", "left_anti"), "chat-waiting")
-    raise RuntimeError(f"turns wait for each other over more than {most_levels} levels")
+    return out.unionByName(waiting.select("k", F.lit(None).cast("int").alias("level"), F.lit(None).cast(out.schema["at"].dataType).alias("at")))
 
 
-def format_chat(conversations: DataFrame, most_levels: int = 10_000) -> DataFrame:
+def _levels(nodes: DataFrame, edges: DataFrame, whole_edges: int) -> DataFrame:
+    """(k, level, at) of each turn: behind all turns that it waits for; level is null for one that hangs on a circle.
+
+    ``nodes`` has k and turn, ``edges`` has conv_id, k, turn, and ``before``, ``turn_before`` of the turn it waits for. The
+    level is the longest way to a turn that waits for none; ``at`` is the latest turn number on the way, its own included.
+    Conversations of up to ``whole_edges`` edges are followed in one piece, larger ones in rounds over all of them.
+    """
+    edges = staged(edges.distinct(), "chat-edges")
+    sizes = edges.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    large = staged(sizes.filter(F.col("n") > whole_edges).select("conv_id"), "chat-large")
+    placed = _levels_inside(edges.join(large, "conv_id", "left_anti"))
+    if not large.isEmpty():
+        placed = placed.unionByName(_levels_in_rounds(staged(edges.join(large, "conv_id", "left_semi"), "chat-edges")))
+    placed = placed.withColumn("placed", F.lit(True))
+    first = F.col("placed").isNull()
+    return nodes.join(placed, "k", "left").select(
+        "k", F.when(first, 0).otherwise(F.col("level")).alias("level"), F.when(first, F.col("turn")).otherwise(F.col("at")).alias("at")
+    )
+
+
+def format_chat(conversations: DataFrame, whole_edges: int = WHOLE_EDGES) -> DataFrame:
     """A row for each turn: conv_id, turn, role, counts of its calls and results, where it goes, and ``message``.
 
     n_calls, n_results; n_linked (with a partner), n_orphans (without), n_duplicates, n_invalid (calls whose arguments
-    break the schema), n_unknown (calls of a tool without a schema), n_circular, n_broken; order_turn, order_level.
+    break the schema), n_unchecked (calls whose schema has parts that were not checked), n_unknown (calls of a tool without
+    a schema), n_circular, n_broken; order_turn, order_level.
     """
     turns = _turns(conversations)
     items = turns.select("conv_id", "turn", "k", F.explode("items").alias("item")).select("conv_id", "turn", "k", "item.*")
@@ -216,15 +241,18 @@ def format_chat(conversations: DataFrame, most_levels: int = 10_000) -> DataFram
     schemas = schemas.select("conv_id", "name", F.col("value").alias("schema"))
 
     key = ["conv_id", "id"]
-    done = results.filter("not duplicate").select("conv_id", "id", F.col("k").alias("answer"))
-    called = calls.filter("not duplicate").select("conv_id", "id", F.col("k").alias("origin"))
+    done = results.filter("not duplicate").select("conv_id", "id", F.struct("k", "turn").alias("answer"))
+    called = calls.filter("not duplicate").select("conv_id", "id", F.struct("k", "turn").alias("origin"))
     calls = calls.join(done, key, "left").join(schemas, ["conv_id", "name"], "left")
     results = results.join(called, key, "left")
     # A result waits for its call, a call for the results of what it needs, or for the call if that has none.
-    needed = calls.filter("not duplicate").select("conv_id", "id", F.coalesce("answer", "k").alias("before"))
-    needs = calls.select("conv_id", "k", F.explode("needs").alias("id")).join(needed, key).select("k", "before")
-    edges = needs.unionByName(results.filter("origin is not null").select("k", F.col("origin").alias("before")))
-    level = _levels(items.select("k", "turn").distinct(), edges.filter("k <> before"), most_levels)
+    needed = calls.filter("not duplicate").select("conv_id", "id", F.coalesce("answer", F.struct("k", "turn")).alias("to"))
+    needs = calls.select("conv_id", "k", "turn", F.explode("needs").alias("id")).join(needed, key)
+    waits = needs.select("conv_id", "k", "turn", "to").unionByName(
+        results.filter("origin is not null").select("conv_id", "k", "turn", F.col("origin").alias("to"))
+    )
+    edges = waits.select("conv_id", "k", "turn", F.col("to.k").alias("before"), F.col("to.turn").alias("turn_before"))
+    level = _levels(items.select("k", "turn").distinct(), edges.filter("k <> before"), whole_edges)
 
     columns = ["k", "place", "kind", "id", "name", "value", "needs", "duplicate"]
     both = calls.select(*columns, "schema", F.col("answer").isNotNull().alias("met")).unionByName(
@@ -248,23 +276,38 @@ def format_chat(conversations: DataFrame, most_levels: int = 10_000) -> DataFram
 
 
 _COLUMNS = (
-    "n_calls", "n_results", "n_linked", "n_orphans", "n_duplicates", "n_invalid", "n_unknown", "n_circular", "n_broken",
+    "n_calls", "n_results", "n_linked", "n_orphans", "n_duplicates", "n_invalid", "n_unchecked", "n_unknown", "n_circular", "n_broken",
     "order_turn", "order_level", "message",
 )
 
 
 def _in_order(calls: list[dict]) -> tuple[list[dict], set[str]]:
-    """The calls of one turn, each behind those of the turn that it needs, and the identifiers on a circle."""
-    out, left, have = [], list(calls), set()
+    """The calls of one turn, each behind those of the turn that it needs, and the identifiers on a circle.
+
+    Of those that may come next the one that was written first does. Calls with one identifier count as one that is made
+    when the first of them is.
+    """
     here = {x["id"] for x in calls}
-    while left:
-        ready = [x for x in left if not (set(x["needs"]) & here) - have]
-        if not ready:
-            return out + left, {x["id"] for x in left}
-        out.append(ready[0])
-        left.remove(ready[0])
-        have.add(ready[0]["id"])
-    return out, set()
+    open_, users = [], {}
+    for i, x in enumerate(calls):
+        needs = set(x["needs"]) & here
+        open_.append(len(needs))
+        for n in needs:
+            users.setdefault(n, []).append(i)
+    ready = [i for i, n in enumerate(open_) if not n]  # a heap, since it ascends
+    out, have, made = [], set(), set()
+    while ready:
+        i = heapq.heappop(ready)
+        out.append(calls[i])
+        made.add(i)
+        if calls[i]["id"] not in have:
+            have.add(calls[i]["id"])
+            for j in users.get(calls[i]["id"], ()):
+                open_[j] -= 1
+                if not open_[j]:
+                    heapq.heappush(ready, j)
+    left = [x for i, x in enumerate(calls) if i not in made]
+    return out + left, {x["id"] for x in left}
 
 
 def _message(
@@ -276,8 +319,9 @@ def _message(
     calls, circle = _in_order([x for x in items if x["kind"] == "call"])
     for x in calls:
         value = json.loads(x["value"])
-        wrong = problems(value, json.loads(x["schema"])) if x["schema"] else []
+        wrong, unchecked = check(value, json.loads(x["schema"])) if x["schema"] else ([], [])
         out["n_invalid"] += bool(wrong)
+        out["n_unchecked"] += bool(unchecked)
         out["n_unknown"] += x["schema"] is None
         out["n_circular"] += level is None or x["id"] in circle
         entry = {"id": x["id"], "name": x["name"], "arguments": value}

@@ -12,7 +12,7 @@ from conftest_llm import SCHEMA, by_id, prose, rows_of
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from daypanel.llm import chat_format, decontaminate, jaccard_join, language_id, quality_ledger, secret_scan, source_mix
+from daypanel.llm import chat_format, decontaminate, jaccard_join, json_schema, language_id, quality_ledger, secret_scan, source_mix
 from daypanel.llm.components import components
 from daypanel.llm.queries import ORACLE_SQL, QUERIES
 
@@ -130,10 +130,10 @@ def test_chat_of_nothing(spark):
 def test_schemas():
     schema = {"type": "object", "properties": {"a": {"type": "integer", "minimum": 2}, "b": {"type": "array", "items": {"enum": ["x"]}}},
               "required": ["a"], "additionalProperties": False}
-    assert chat_format.problems({"a": 2, "b": ["x"]}, schema) == []
-    assert chat_format.problems({"a": True}, schema) == ["$.a: type"]
-    assert chat_format.problems({"a": 1, "b": ["x", "y"], "c": 0}, schema) == ["$.a: bounds", "$.b[1]: enum", "$.c: unknown"]
-    assert chat_format.problems([], schema) == ["$: type"] and chat_format.problems({}, schema) == ["$.a: missing"]
+    assert json_schema.problems({"a": 2, "b": ["x"]}, schema) == []
+    assert json_schema.problems({"a": True}, schema) == ["$.a: type"]
+    assert json_schema.problems({"a": 1, "b": ["x", "y"], "c": 0}, schema) == ["$.a: bounds", "$.b[1]: enum", "$.c: unknown"]
+    assert json_schema.problems([], schema) == ["$: type"] and json_schema.problems({}, schema) == ["$.a: missing"]
 
 
 def test_mix_meets_its_targets(spark):
