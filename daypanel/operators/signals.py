@@ -17,6 +17,8 @@ from daypanel.functions.numbers import rounded_quotient
 from daypanel.operators import registry as R
 from daypanel.sources.schemas import KEYS
 
+SPINE_BITS = 1 << 24  # of the filter of days: 262,144 words of 64
+
 NO_SIGNAL = -1  # stands for "this day is on the spine"
 
 _SLOTS = max(len(spec.rules) for spec in R.SIGNALS)
@@ -76,6 +78,21 @@ def on_spine(tagged: DataFrame, spine: DataFrame) -> DataFrame:
     return tagged.join(spine, KEYS, "left_semi")
 
 
+def near_spine(tagged: DataFrame, spine: DataFrame, bits: int = SPINE_BITS) -> DataFrame:
+    """Readings whose day may be on the spine: all that are, and a few others.
+
+    A Bloom filter with one hash, in words of 64 bits: at most ``bits / 64`` rows are broadcast, however many days there
+    are. It stands in front of the cleaning, so that texts of other days are not cleaned; what uses the readings still
+    restricts them to the spine itself. A share of days over ``bits`` of the others passes, so with more days than bits
+    the filter only costs its look-up.
+    """
+    bit = F.pmod(F.xxhash64(*KEYS), F.lit(bits))
+    word, place = F.shiftright(bit, 6).alias("_word"), (bit % 64).cast("int").alias("_place")
+    words = spine.select(word, place).groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _place)")).alias("_set"))
+    met = tagged.select("*", word, place).join(F.broadcast(words), "_word")
+    return met.filter("shiftright(_set, _place) & 1 = 1").select(*tagged.columns)
+
+
 def _quoted(text: str | None) -> str:
     return "cast(null as string)" if text is None else "r'" + text + "'" if "'" not in text else f'r"{text}"'
 

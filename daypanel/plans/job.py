@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypanel.operators import encode, impute, label_model, metrics, scoring, sequences, vocabulary
+from daypanel.operators import encode, impute, label_model, metrics, scoring, sequences, signals, vocabulary
 from daypanel.plans.flow import VOCABULARY, BaseRelations, Flow
 from daypanel.session import build_session, size_shuffles
 from daypanel.sources.schemas import KEYS, SIGNAL_ORDER, STATIC_ORDER
@@ -37,6 +37,7 @@ def prepare(store: StageStore, relations: BaseRelations, n_drugs: int = VOCABULA
     flow.vocabulary = stage("vocabulary", lambda: flow.vocabulary, options=drugs)
     flow.use = stage("drug_use", lambda: vocabulary.daily_drug_use(flow.use), ["vocabulary"], bucketed=KEYS)
     flow.spine = stage("spine", lambda: flow.spine, ["drug_use"], bucketed=KEYS)
+    flow.cleaned = signals.clean_units(signals.near_spine(relations.tagged, flow.spine))
     people = relations.marks("admissions", "patients", "chartevents")
     flow.static = stage("static", lambda: flow.static, options=people, bucketed=stay)
     readings = relations.marks("chartevents", "labevents", "d_items", "d_labitems")

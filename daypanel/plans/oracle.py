@@ -392,7 +392,13 @@ def _needed(sql: str) -> list[str]:
                 todo.append(CTES[name])
     return [name for name in CTES if name in found]
 
-for kept, same in (("null_audit_of_write", "null_audit"), ("sequence_stats_of_write", "sequence_stats"), ("stored_sequences", "sequences")):
+#: The same rows by another way.
+for kept, same in {
+    "wide_panel_near_spine": "wide_panel",
+    "null_audit_of_write": "null_audit",
+    "sequence_stats_of_write": "sequence_stats",
+    "stored_sequences": "sequences",
+}.items():
     QUERIES[kept] = QUERIES[same]
 
 

@@ -227,6 +227,13 @@ def wide_panel(spark, sf_dir):
     return flow(spark, sf_dir).panel
 
 
+@query
+def wide_panel_near_spine(spark, sf_dir):
+    """The same panel with the texts of days off the spine left uncleaned."""
+    f = flow(spark, sf_dir)
+    return panel.wide_panel(signals.clean_units(signals.near_spine(f.relations.tagged, f.spine)), f.spine)
+
+
 @query
 def line_wide_panel(spark, sf_dir):
     cleaned = signals.clean_units(line_tagged(spark, sf_dir))

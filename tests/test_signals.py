@@ -120,3 +120,30 @@ def test_one_admission_with_a_third_of_the_rows(spark):
     wanted = wanted.reindex(both.index)
     np.testing.assert_allclose(both.to_numpy(float), wanted[["heart_rate", "spo2"]].to_numpy(float), rtol=1e-12)
     assert len(both) == len(listed)
+
+
+@pytest.mark.parametrize("bits", (64, 1 << 12, signals.SPINE_BITS))
+def test_days_off_the_spine_are_not_cleaned(spark, bits):
+    tagged = spark.range(20_000).select(
+        (F.col("id") % 200).alias("hadm_id"),
+        F.date_add(F.lit(DAY[0]), (F.col("id") % 97).cast("int")).alias("startdate"),
+        F.col("id").alias("n"),
+    )
+    spine = tagged.filter("hadm_id < 5 and day(startdate) < 10").select(*KEYS).distinct()
+    near, on = signals.near_spine(tagged, spine, bits), signals.on_spine(tagged, spine)
+    assert near.columns == tagged.columns and on.exceptAll(near).count() == 0 < on.count()
+    n, days_of = near.count(), spine.count()
+    if bits == 64:  # full: all pass
+        assert n > 15_000
+    else:  # a share of days over bits of the others, and some more by chance
+        assert n <= on.count() + 20_000 * days_of / bits * 1.5 + 20
+
+
+def test_the_filter_stands_before_the_cleaning(spark):
+    rows = [(1, 211, DAY[0], "80"), (1, 211, DAY[3], "81"), (9, 211, DAY[0], "82")]
+    data = [(h, i, dt.datetime.combine(d, dt.time(9)), v) for h, i, d, v in rows]
+    tagged = signals.tag_signals(spark.createDataFrame(data, "hadm_id bigint, itemid int, charttime timestamp_ntz, value string"))
+    cleaned = signals.clean_units(signals.near_spine(tagged, days(spark, [(1, DAY[0])])))
+    assert [(r.hadm_id, r.units) for r in cleaned.collect()] == [(1, 80)]
+    text = cleaned._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("units") < text.index("_set")  # the plan is read from its end
