@@ -10,6 +10,7 @@ Targets are tempered shares of what is there (``TARGETS``: the exponent of each
 A given value that no document has cannot be met and is left out, as are values without a target: they get weight 0.
 
 Tokens are counted as a quarter of the code points, rounded up. A null or empty text has none and weight as its cell.
+``fit_report`` tells which targets were met; after ``ROUNDS`` rounds some may not be, and contradicting ones never are.
 Null sources or languages are cells of their own, named ``(none)``. Rows that repeat an id fall together. Extra columns
 are ignored, or carried by ``mix``.
 """
@@ -104,11 +105,44 @@ def calibrated(cells: DataFrame, budget: float = BUDGET) -> DataFrame:
     return weighted.select(*MARGINS, "weight", F.least(F.lit(1.0), F.col("weight") * F.lit(factor)).alias("probability"))
 
 
-def cell_probabilities(documents: DataFrame, shares: dict[str, dict[str, float]] | None = None, budget: float = BUDGET) -> DataFrame:
+def _fitted(documents: DataFrame, shares: dict[str, dict[str, float]] | None) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The raked cells, and the targets they were raked to."""
     rows = documents.select(*_features(documents))
     cells = staged(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), "mix-cells")
     wanted = {m: staged(targets(cells, m, TARGETS[m], (shares or {}).get(m)), "mix-target") for m in MARGINS}
-    return staged(calibrated(rake(cells, wanted), budget), "mix-probability")
+    return rake(cells, wanted), wanted
+
+
+def cell_probabilities(documents: DataFrame, shares: dict[str, dict[str, float]] | None = None, budget: float = BUDGET) -> DataFrame:
+    return staged(calibrated(_fitted(documents, shares)[0], budget), "mix-probability")
+
+
+def fit_report(documents: DataFrame, shares: dict[str, dict[str, float]] | None = None, tolerance: float = 0.01) -> DataFrame:
+    """margin, value, target, share, met: how near the raked tokens come to every target, a row for each.
+
+    A target is met if the share is within ``tolerance`` of it. Targets that contradict each other leave some of the first
+    marginals unmet, since the last one is scaled last. Here a given value that no document has keeps its target, so it is
+    unmet, and so may be the others of its marginal.
+    """
+    cells, wanted = _fitted(documents, shares)
+    total = cells.agg(F.sum("share").alias("total"))
+    out = None
+    for margin, target in wanted.items():
+        given = (shares or {}).get(margin)
+        if given:
+            sum_ = float(sum(given.values())) or 1.0
+            target = documents.sparkSession.createDataFrame(
+                [(value, share / sum_) for value, share in given.items()], f"{margin} string, target double"
+            )
+        there = cells.groupBy(margin).agg(F.sum("share").alias("share"))
+        both = there.join(target, margin, "full").select(
+            F.lit(margin).alias("margin"),
+            F.col(margin).alias("value"),
+            F.coalesce("target", F.lit(0.0)).alias("target"),
+            F.coalesce(F.col("share") / F.nullif(total.scalar(), F.lit(0.0)), F.lit(0.0)).alias("share"),
+        )
+        out = both if out is None else out.unionByName(both)
+    return out.withColumn("met", F.abs(F.col("share") - F.col("target")) <= tolerance)
 
 
 def weighted(documents: DataFrame, **options) -> DataFrame:
@@ -131,8 +165,11 @@ def digest(documents: DataFrame) -> DataFrame:
 
 
 def mix(documents: DataFrame, **options) -> DataFrame:
-    """The documents that are drawn, all columns, with ``mix_topic`` and ``mix_weight`` behind them."""
-    rows = weighted(documents, **options).filter("kept")
+    """The documents that are drawn, all columns, with ``mix_topic`` and ``mix_weight`` behind them.
+
+    Columns of these two names that the documents have already are replaced.
+    """
+    rows = weighted(documents.drop("mix_topic", "mix_weight"), **options).filter("kept")
     return rows.select("document.*", F.col("topic").alias("mix_topic"), F.round("weight", 6).alias("mix_weight"))
 
 

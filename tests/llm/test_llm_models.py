@@ -157,6 +157,30 @@ def test_mix_of_odd_documents(odd_documents, empty_documents):
     assert source_mix.digest(empty_documents).collect() == [] and source_mix.mix(empty_documents).collect() == []
 
 
+def test_mix_twice(spark, odd_documents, tmp_path):
+    """Columns of the first mix are replaced by those of the second, also in other letters."""
+    again = source_mix.mix(source_mix.mix(odd_documents, budget=1.0).withColumnRenamed("mix_topic", "Mix_Topic"), budget=1.0)
+    assert again.columns == [*odd_documents.columns, "mix_topic", "mix_weight"]
+    again.write.parquet(str(tmp_path / "twice"))
+
+
+def test_targets_that_cannot_be_met_are_named(spark):
+    """Sources and languages are the same split, so their targets contradict each other: the later marginal wins."""
+    rows = [(n, "prose " * 20, *(("a", "en") if n % 2 else ("b", "de"))) for n in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    shares = {"source": {"a": 0.9, "b": 0.1}, "lang": {"en": 0.2, "de": 0.7, "fr": 0.1}}
+    got = {(r.margin, r.value): r for r in source_mix.fit_report(docs, shares).collect()}
+    assert {k: r.met for k, r in got.items()} == {
+        ("source", "a"): False, ("source", "b"): False, ("lang", "en"): False, ("lang", "de"): False, ("lang", "fr"): False,
+        ("topic", "prose"): True,
+    }
+    assert got["lang", "fr"].share == 0 and got["source", "a"].share == pytest.approx(2 / 9)
+    assert got["source", "a"].target == pytest.approx(0.9)
+    possible = {"source": {"a": 0.9, "b": 0.1}, "lang": {"en": 0.9, "de": 0.1}}
+    assert all(r.met for r in source_mix.fit_report(docs, possible).collect())
+    assert source_mix.fit_report(docs.limit(0)).collect() == []
+
+
 def test_components(spark):
     rng = random.Random(1)
     links = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1100)]
