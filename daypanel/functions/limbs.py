@@ -100,6 +100,7 @@ def rounded_quotient_text(limbs: str, count: str) -> str:
 
 _SHAPE = r"r'^[\x00-\x20]*([+-]?)([0-9]*)(?:[.]([0-9]*))?(?:[eE]([+-]?[0-9]{1,3}))?[\x00-\x20]*$'"
 _NUMBER = r"r'^[\x00-\x20]*[+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]{1,3})?[\x00-\x20]*\z'"
+_UNSIGNED = r"r'^[0-9]+(?:[.][0-9]*)?\z'"
 
 
 def is_number(text: str) -> str:
@@ -110,7 +111,8 @@ def is_number(text: str) -> str:
 def rounded_units(text: str, scale: str) -> str:
     """A number as text, times 10^scale and rounded to whole, halves away from zero; null if the text is no number.
 
-    Digits behind the scale only decide the rounding, so the first of them is enough.
+    Digits behind the scale only decide the rounding, so the first of them is enough. Digits without sign and exponent and
+    with no more places than the scale, nearly all numbers, only have zeros put behind; the others are taken apart.
     """
     names = ("s", "w", "b", "e")
     read = ", ".join(f"'{name}', regexp_extract(t, {_SHAPE}, {k})" for k, name in enumerate(names, 1))
@@ -125,4 +127,9 @@ def rounded_units(text: str, scale: str) -> str:
     size = _plain(f"if(c.up, rpad({head}, length(c.kept), '0'), c.kept)")
     signed = _let("w", size, "concat(if(c.s = '-' and w <> '0', '-', ''), w)")
     parsed = _let("x", f"named_struct({read})", _let("y", moved, _let("c", cut, signed)))
-    return f"if({is_number(text)}, {_let('t', text, parsed)}, null)"
+    whole = f"substring_index({text}, '.', 1)"
+    behind = f"substring({text}, length({whole}) + 2)"
+    plain = f"concat({whole}, rpad({behind}, {scale}, '0'))"
+    plain = f"if(startswith({text}, '0'), {_plain(plain)}, {plain})"
+    is_plain = f"{text} rlike {_UNSIGNED} and length({behind}) <= {scale}"
+    return f"case when {is_plain} then {plain} when {is_number(text)} then {_let('t', text, parsed)} end"

@@ -9,10 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from daypanel.functions import limbs
+from daypanel.functions import digits, limbs
 from daypanel.functions.numbers import rounded_quotient
 from daypanel.operators import registry as R
 from daypanel.sources.schemas import KEYS
@@ -167,10 +171,10 @@ def with_units(tagged: DataFrame, strict: bool = False) -> DataFrame:
     whole = kept.try_cast("decimal(8,0)").cast("bigint")
     hundredths = (kept.try_cast("decimal(10,2)") * 100).cast("bigint")
     quick = F.when(scale == 0, whole).otherwise(hundredths)
-    digits = F.expr(limbs.rounded_units("_settled", "_scale"))
+    units = F.expr(limbs.rounded_units("_settled", "_scale"))
     if strict:  # the cast of a text that is no number raises
         fine = kept.isNull() | F.expr(limbs.is_number("_settled"))
-        digits = F.when(fine, digits).otherwise(kept.cast("decimal(38,2)").cast("string"))
+        units = F.when(fine, units).otherwise(kept.cast("decimal(38,2)").cast("string"))
     long = F.col("_digits")
     is_long = F.length(long) > _SHORT_DIGITS
 
@@ -184,7 +188,7 @@ def with_units(tagged: DataFrame, strict: bool = False) -> DataFrame:
         .withColumn("_hit", hit)
         .withColumn("_settled", settled)
         .withColumn("_quick", F.coalesce(F.col("_fenced").isNull() | kept.rlike(R.SHORT_TEXT), F.lit(False)))
-        .withColumn("_digits", F.when(~F.col("_quick"), digits))
+        .withColumn("_digits", F.when(~F.col("_quick"), units))
         .withColumn("_number", F.when(F.col("_quick"), quick).when(~is_long, long.cast("bigint")))
         .withColumn("_long", F.when(is_long & celsius, F.expr(_LONG_FAHRENHEIT)).when(is_long, long))
         .select(*tagged.columns, final.alias("units"), F.col("_long").alias("long_units"))
@@ -233,20 +237,65 @@ def _limbs_over(window) -> Column:
 def reading_tally(cleaned: DataFrame, keys: Iterable[str] = ("hadm_id", "startdate", "signal")) -> DataFrame:
     """Sum of units, readings with and without a value per key.
 
-    The sum is ``total`` for the short readings and, where there are long ones, ``long_limbs``; see ``tally_digits``.
+    The sum is ``total`` for the short readings and, where there are long ones, ``long_totals``; see ``tally_digits``. Rows
+    of a key are added up chunk by chunk before the shuffle, the long ones as whole numbers, so a key with very many
+    readings sends a row for each chunk. No reading is cut into limbs.
     """
     keys = list(keys)
-    rows = _limb_tally(cleaned, keys).withColumn("long_limbs", _limbs_over(Window.partitionBy(*keys)))
-    return rows.filter("limb = 0").select(*keys, "total", "long_limbs", "n_valued", "n_missing")
+    missing = F.col("units").isNull() & F.col("long_units").isNull() & ~F.col("signal").isin(_DROPPING)
+    rows = cleaned.select(*keys, "units", "long_units", missing.cast("bigint").alias("_missing"))
+    sums = "total bigint, long_total string, n_valued bigint, n_missing bigint"
+    schema = T.StructType([*rows.select(*keys).schema, *T.StructType.fromDDL(sums)])
+
+    def add(batches):
+        for chunk in digits.chunks(batches):
+            is_long = pc.is_valid(chunk["long_units"])
+            parts = chunk.filter(pc.invert(is_long)).group_by(keys, use_threads=False)
+            parts = parts.aggregate([("units", "sum"), ("units", "count"), ("_missing", "sum")])
+            yield from as_sums(parts, parts["units_sum"], None, parts["units_count"], parts["_missing_sum"])
+            parts = chunk.filter(is_long).group_by(keys, use_threads=False)
+            parts = parts.aggregate([("long_units", "list"), ("long_units", "count")])
+            totals = digits.added(parts["long_units_list"].combine_chunks())
+            yield from as_sums(parts, None, totals, parts["long_units_count"], np.zeros(len(totals), np.int64))
+
+    def as_sums(parts, total, long_total, n_valued, n_missing):
+        cells = [
+            pa.nulls(parts.num_rows, pa.int64()) if total is None else total,
+            pa.nulls(parts.num_rows, pa.string()) if long_total is None else long_total,
+            n_valued,
+            n_missing,
+        ]
+        return pa.table([*(parts[key] for key in keys), *cells], names=schema.fieldNames()).to_batches()
+
+    return (
+        rows.mapInArrow(add, schema)
+        .groupBy(*keys)
+        .agg(
+            F.sum("total").alias("total"),
+            F.collect_list("long_total").alias("long_totals"),
+            F.sum("n_valued").alias("n_valued"),
+            F.sum("n_missing").alias("n_missing"),
+        )
+    )
 
 
 def tally_digits(tally: DataFrame) -> DataFrame:
     """``reading_tally`` with ``digits``, the sum, and ``rounded_mean``, the mean rounded to whole units, as text."""
-    total, short = F.col("total"), F.size("long_limbs") == 0
-    long = [F.expr(limbs.total_text(_SUM)), F.expr(limbs.rounded_quotient_text(_SUM, "n_valued"))]
-    quick = [total, rounded_quotient(total, F.col("n_valued"))]
-    digits, mean = (F.when(short, q.cast("string")).otherwise(slow) for q, slow in zip(quick, long))
-    return tally.withColumns({"digits": digits, "rounded_mean": mean})
+    total = F.col("total")
+    mean = rounded_quotient(total, F.col("n_valued"))
+    quick = tally.withColumns({"digits": total.cast("string"), "rounded_mean": mean.cast("string")})
+
+    def settle(batches):
+        for batch in batches:
+            is_long = pc.greater(pc.list_value_length(batch["long_totals"]), 0)
+            long = batch.filter(is_long)
+            found = digits.totals_and_means(*(long[name] for name in ("long_totals", "total", "n_valued")))
+            for name, texts in zip(("digits", "rounded_mean"), found):
+                cells = pc.replace_with_mask(batch[name], is_long, pa.array(texts, pa.string()))
+                batch = batch.set_column(batch.schema.get_field_index(name), name, cells)
+            yield batch
+
+    return quick.mapInArrow(settle, quick.schema)
 
 
 def spine_tally(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
