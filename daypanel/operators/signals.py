@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from daypanel.functions import digits, limbs
 from daypanel.functions.numbers import rounded_quotient
 from daypanel.operators import registry as R
+from daypanel.session import spread
 from daypanel.sources.schemas import KEYS
 
 SPINE_BITS = 1 << 24  # of the filter of days: 262,144 words of 64
@@ -305,7 +306,8 @@ def spine_tally(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
     signal ``NO_SIGNAL``, readings or not. The spine comes in as such rows of the same table instead of through a join, so
     that one exchange by admission serves the restriction to spine days, the fill, and whatever is grouped or joined by
     admission or by day afterwards. An admission has at most one row per calendar day and signal here, and a few more for
-    long readings, however many readings it has, which bounds the window partitions.
+    long readings, however many readings it has, which bounds the window partitions. The exchange has as many partitions as
+    the stored size asks for, so that the memory of the three sorts of a task does not grow with the input.
     """
     nothing = F.lit(0).cast("bigint")
     days = spine.select(
@@ -319,10 +321,9 @@ def spine_tally(cleaned: DataFrame, spine: DataFrame) -> DataFrame:
     )
     cell, day, stay = Window.partitionBy(*KEYS, "signal"), Window.partitionBy(*KEYS), Window.partitionBy("hadm_id", "signal")
     short, mean = F.size("_stay_limbs") == 0, rounded_quotient(F.col("_stay_total"), F.col("_stay_valued"))
+    rows = _limb_tally(cleaned, [*KEYS, "signal"]).unionByName(days)
     return (
-        _limb_tally(cleaned, [*KEYS, "signal"])
-        .unionByName(days)
-        .repartition("hadm_id")
+        spread(rows, "hadm_id", cleaned, spine)
         .withColumns({"long_limbs": _limbs_over(cell), "_on_spine": F.max(F.col("signal") == NO_SIGNAL).over(day)})
         .filter("_on_spine")
         .withColumns(

@@ -22,6 +22,9 @@ SETTINGS = {
 
 
 PARTITION_BYTES = 128 * 1024 * 1024
+TASK_BYTES = 16 * 1024 * 1024
+MOST_PARTITIONS = 50_000
+_UNKNOWN_BYTES = 1 << 62  # Spark puts the largest long in place of a size it does not know
 _OWN: dict[str, str] = {}  # scratch folders of local sessions, by application
 
 
@@ -59,6 +62,28 @@ def size_shuffles(spark: SparkSession, *inputs: DataFrame) -> int:
     return wanted
 
 
+def spread(df: DataFrame, key: str, *inputs: DataFrame) -> DataFrame:
+    """``df`` dealt by ``key`` over a number of partitions that follows the stored size of what ``inputs`` are read from.
+
+    A partition stands for about ``TASK_BYTES`` of stored tables. Tasks that sort whole partitions then need the same memory
+    at any size, whereas AQE merges partitions up to its own size of compressed rows, and never makes more of them than the
+    session has set. A small input, a partition or less for each core, is left to AQE; others get no fewer partitions than
+    the session has, or a join by ``key`` would deal them again. Runs nothing.
+    """
+    spark = df.sparkSession
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(-(-sum(map(_stored_bytes, inputs)) // TASK_BYTES), MOST_PARTITIONS)
+    small = wanted <= min(now, spark.sparkContext.defaultParallelism)
+    return df.repartition(key) if small else df.repartition(max(now, wanted), key)
+
+
+def _stored_bytes(df: DataFrame) -> int:
+    """Bytes of the tables under a plan, each as often as it is read; those of unknown size count nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+    return sum(size for size in sizes if size < _UNKNOWN_BYTES)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
